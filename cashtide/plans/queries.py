@@ -298,13 +298,13 @@ def payments_dedup(spark, sf_dir):
 @query
 def duplicate_dlq(spark, sf_dir):
     """Dead letters of the later copies."""
-    checked = quality.stored_verdicts(_checked(spark, sf_dir), "seq", "arrived")
+    checked = quality.stored_verdicts(_checked(spark, sf_dir))
     copies = duplicates.later_copies(quality.valid_payments(checked, "seq", "arrived"))
     return duplicates.duplicate_letters(copies, F.col("arrived"))
 
 
 def _all_letters(spark, sf_dir):
-    checked = quality.stored_verdicts(_checked(spark, sf_dir), "seq", "arrived")
+    checked = quality.stored_verdicts(_checked(spark, sf_dir))
     refused = quality.rejected_payments(checked, F.col("arrived"))
     copies = duplicates.later_copies(quality.valid_payments(checked, "seq", "arrived"))
     return quality.dead_letters(refused, duplicates.duplicate_letters(copies, F.col("arrived")))

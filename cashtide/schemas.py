@@ -58,61 +58,124 @@ STAGE_TIME = "timestamp_parse"
 STAGE_DUPLICATE = "duplicate_detection"
 
 
-def _struct(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+_TEXT, _LONG, _TIME, _FLAG = T.StringType(), T.LongType(), T.TimestampType(), T.BooleanType()
+
+
+def _struct(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
 
 
 # Every JSON field is read as text first: the type checks are ours, not the JSON reader's.
 PAYMENT_TEXT = _struct(
-    "payment_id STRING, currency STRING, settlement_account STRING, amount STRING, "
-    "direction STRING, rail STRING, counterparty STRING, event_time STRING"
+    payment_id=_TEXT,
+    currency=_TEXT,
+    settlement_account=_TEXT,
+    amount=_TEXT,
+    direction=_TEXT,
+    rail=_TEXT,
+    counterparty=_TEXT,
+    event_time=_TEXT,
 )
 PAYMENT = _struct(
-    "payment_id STRING, currency STRING, settlement_account STRING, amount_cents BIGINT, "
-    "direction STRING, rail STRING, counterparty STRING, event_time TIMESTAMP, seq BIGINT"
+    payment_id=_TEXT,
+    currency=_TEXT,
+    settlement_account=_TEXT,
+    amount_cents=_LONG,
+    direction=_TEXT,
+    rail=_TEXT,
+    counterparty=_TEXT,
+    event_time=_TIME,
+    seq=_LONG,
 )
 THRESHOLD_TEXT = _struct(
-    "currency STRING, settlement_account STRING, warning_threshold STRING, "
-    "critical_threshold STRING, updated_by STRING, updated_at STRING"
+    currency=_TEXT,
+    settlement_account=_TEXT,
+    warning_threshold=_TEXT,
+    critical_threshold=_TEXT,
+    updated_by=_TEXT,
+    updated_at=_TEXT,
 )
 THRESHOLD = _struct(
-    "currency STRING, settlement_account STRING, warning_cents BIGINT, critical_cents BIGINT, "
-    "updated_at TIMESTAMP, updated_by STRING, seq BIGINT"
+    currency=_TEXT,
+    settlement_account=_TEXT,
+    warning_cents=_LONG,
+    critical_cents=_LONG,
+    updated_at=_TIME,
+    updated_by=_TEXT,
+    seq=_LONG,
 )
 DLQ = _struct(
-    "raw STRING, payment_id STRING, currency STRING, settlement_account STRING, "
-    "amount DECIMAL(20,2), direction STRING, error STRING, stage STRING, detected_at TIMESTAMP"
+    raw=_TEXT,
+    payment_id=_TEXT,
+    currency=_TEXT,
+    settlement_account=_TEXT,
+    amount=MONEY,
+    direction=_TEXT,
+    error=_TEXT,
+    stage=_TEXT,
+    detected_at=_TIME,
 )
 
 # Stored tables.
 TABLES = {
     "liquidity_positions": _struct(
-        "currency STRING, settlement_account STRING, available_balance DECIMAL(20,2), "
-        "total_inbound DECIMAL(20,2), total_outbound DECIMAL(20,2), payment_count BIGINT, "
-        "last_payment_id STRING, event_time TIMESTAMP, last_updated TIMESTAMP"
+        currency=_TEXT,
+        settlement_account=_TEXT,
+        available_balance=MONEY,
+        total_inbound=MONEY,
+        total_outbound=MONEY,
+        payment_count=_LONG,
+        last_payment_id=_TEXT,
+        event_time=_TIME,
+        last_updated=_TIME,
     ),
     "liquidity_flow_summary": _struct(
-        "window_start TIMESTAMP, window_end TIMESTAMP, currency STRING, settlement_account STRING, "
-        "net_flow DECIMAL(20,2), total_inbound DECIMAL(20,2), total_outbound DECIMAL(20,2), "
-        "payment_count BIGINT"
+        window_start=_TIME,
+        window_end=_TIME,
+        currency=_TEXT,
+        settlement_account=_TEXT,
+        net_flow=MONEY,
+        total_inbound=MONEY,
+        total_outbound=MONEY,
+        payment_count=_LONG,
     ),
     "thresholds": _struct(
-        "currency STRING, settlement_account STRING, warning_threshold DECIMAL(20,2), "
-        "critical_threshold DECIMAL(20,2), updated_at TIMESTAMP, updated_by STRING"
+        currency=_TEXT,
+        settlement_account=_TEXT,
+        warning_threshold=MONEY,
+        critical_threshold=MONEY,
+        updated_at=_TIME,
+        updated_by=_TEXT,
     ),
     "feed_health": _struct(
-        "rail STRING, last_event_time TIMESTAMP, last_check_time TIMESTAMP, is_stale BOOLEAN, "
-        "stale_since TIMESTAMP, event_count_1min BIGINT"
+        rail=_TEXT,
+        last_event_time=_TIME,
+        last_check_time=_TIME,
+        is_stale=_FLAG,
+        stale_since=_TIME,
+        event_count_1min=_LONG,
     ),
     "pending_payments": _struct(
-        "payment_id STRING, currency STRING, settlement_account STRING, amount DECIMAL(20,2), "
-        "direction STRING, rail STRING, counterparty STRING, expected_settlement_time TIMESTAMP, "
-        "status STRING, created_at TIMESTAMP"
+        payment_id=_TEXT,
+        currency=_TEXT,
+        settlement_account=_TEXT,
+        amount=MONEY,
+        direction=_TEXT,
+        rail=_TEXT,
+        counterparty=_TEXT,
+        expected_settlement_time=_TIME,
+        status=_TEXT,
+        created_at=_TIME,
     ),
     "alert_log": _struct(
-        "alert_type STRING, currency STRING, settlement_account STRING, "
-        "available_balance DECIMAL(20,2), threshold_value DECIMAL(20,2), "
-        "breach_amount DECIMAL(20,2), triggered_at TIMESTAMP, payment_id STRING"
+        alert_type=_TEXT,
+        currency=_TEXT,
+        settlement_account=_TEXT,
+        available_balance=MONEY,
+        threshold_value=MONEY,
+        breach_amount=MONEY,
+        triggered_at=_TIME,
+        payment_id=_TEXT,
     ),
 }
 TABLE_KEYS = {
