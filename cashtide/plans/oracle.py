@@ -350,4 +350,13 @@ SELECT amount, currency, settlement_account, expected_settlement_time, counterpa
 FROM queued WHERE status = 'PENDING' AND direction = 'DEBIT'
   AND expected_settlement_time BETWEEN {PENDING_NOW} AND {PENDING_NOW} + INTERVAL 2 HOURS
 ORDER BY amount DESC, payment_id LIMIT 10""",
+    "stream_flow_summary": f"""WITH {FEED}, flows AS ({_flow('valid')})
+SELECT * FROM flows WHERE window_end <= (SELECT MAX(event_time) - INTERVAL 1 SECOND FROM valid)""",
+    "stream_positions": f"""WITH {FEED}, {_FIRST_FEED}, {_FEED_POSITIONS}
+SELECT currency, settlement_account, {_POSITION_MONEY}, n AS payment_count, last_id AS last_payment_id,
+       last_time AS event_time FROM positions""",
+    "stream_alerts": f"""WITH {FEED}, {_FIRST_FEED}, {_FEED_LEDGER}, {UPDATES},
+{ASOF_BOUNDS.replace('l.event_time >=', 'l.arrived >=')}, {_alerts('bounded')}
+SELECT {_ALERT_COLUMNS} FROM alerts""",
+    "stream_dlq": f"WITH {FEED} SELECT * EXCLUDE (detected_at) FROM letters",
 }

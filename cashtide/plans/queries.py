@@ -12,6 +12,9 @@ from cashtide.operators import alerts, duplicates, feeds, flows, pending, positi
 from cashtide.plans import panels
 from cashtide.sources import driver_tables as D
 from cashtide.sources.payments import merge_rails, routed
+from cashtide.sources.tables import read_batches
+from cashtide.sources.workspace import new_path
+from cashtide.streaming import jobs
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 PENDING_AS_OF = datetime(2024, 1, 15, 12, tzinfo=timezone.utc)
@@ -401,3 +404,60 @@ def pending_top10_debits(spark, sf_dir):
     """Ten largest outbound rows due within two hours."""
     top = pending.largest_outbound(D.pending_current(_events(spark, sf_dir)), PENDING_AS_OF)
     return top.select("amount", "currency", "settlement_account", "expected_settlement_time", "counterparty", "payment_id")
+
+
+# ---- streams: the given tables read as file streams, run to their end ---------------------
+
+
+def _checked_stream(spark, sf_dir):
+    events = D.table_stream(spark, sf_dir, "events", D.EVENTS_SCHEMA)
+    return quality.check(D.raw_feed(events))
+
+
+def _updates_stream(spark, sf_dir):
+    orders = D.table_stream(spark, sf_dir, "orders", D.ORDERS_SCHEMA)
+    updates = thresholds.normalized(D.threshold_updates(orders))
+    return thresholds.check_updates(updates).withColumn("arrived", F.col("updated_at"))
+
+
+def _new_output(spark, name):
+    return jobs.Output(new_path(spark, name))
+
+
+@query
+def stream_flow_summary(spark, sf_dir):
+    """Closed five-minute windows of the feed, from the windowed streaming job."""
+    output = _new_output(spark, "flows")
+    payments = quality.valid_payments(_checked_stream(spark, sf_dir))
+    jobs.run_to_end(jobs.start_flows(payments, output, available_now=True))
+    return read_batches(spark, output.table("liquidity_flow_summary"), S.TABLES["liquidity_flow_summary"])
+
+
+def _engine_output(spark, sf_dir):
+    output = _new_output(spark, "engine")
+    checked, updates = _checked_stream(spark, sf_dir), _updates_stream(spark, sf_dir)
+    jobs.run_to_end(jobs.start_engine(checked, updates, output, available_now=True))
+    return output
+
+
+@query
+def stream_positions(spark, sf_dir):
+    """Positions table after the keyed streaming engine has read the whole feed."""
+    output = _engine_output(spark, sf_dir)
+    return jobs.positions_table(spark, output).read().drop("last_updated")
+
+
+@query
+def stream_alerts(spark, sf_dir):
+    """Alert log of the keyed streaming engine, thresholds changing while it runs."""
+    output = _engine_output(spark, sf_dir)
+    return read_batches(spark, output.table("alert_log"), S.TABLES["alert_log"])
+
+
+@query
+def stream_dlq(spark, sf_dir):
+    """Dead letters of the streaming jobs: refused messages and duplicates."""
+    output = _engine_output(spark, sf_dir)
+    jobs.run_to_end(jobs.start_rejects(_checked_stream(spark, sf_dir), output, available_now=True))
+    parts = [read_batches(spark, output.table(f"payments_dlq_{p}"), S.DLQ) for p in ("parse", "duplicates")]
+    return quality.dead_letters(*parts).drop("detected_at")

@@ -1,0 +1,161 @@
+"""Keyed state of one account: balance, seen ids, bounds and the silence timer.
+
+The state is small per account, but rows of one account are taken in order, so one account is one
+task.  A trigger admits a bounded number of records (``sources.payments.MAX_RECORDS_PER_TRIGGER``),
+which bounds the rows handled here at once.  For backfills and very hot accounts use
+``streaming.batches``, which spreads one account over all tasks.
+"""
+
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+from pyspark.sql.streaming import StatefulProcessor
+
+from cashtide import schemas as S
+
+# Columns of the keyed input.  Bounds and amounts are never NULL, so pandas keeps them as int64.
+INPUT_COLUMNS = [
+    *S.ACCOUNT_KEY,
+    "kind",
+    "arrived",
+    "seq",
+    "payment_id",
+    "amount_cents",
+    "direction",
+    "event_time",
+    "warning_cents",
+    "critical_cents",
+    "has_warning",
+    "has_critical",
+]
+THRESHOLD_KIND, PAYMENT_KIND = 0, 1
+
+OUTPUT_SCHEMA = (
+    "record_type STRING, currency STRING, settlement_account STRING, payment_id STRING, "
+    "amount_cents BIGINT, direction STRING, event_time TIMESTAMP, balance_cents BIGINT, "
+    "inbound_cents BIGINT, outbound_cents BIGINT, payment_count BIGINT, warning_cents BIGINT, "
+    "critical_cents BIGINT, stale_since TIMESTAMP, detected_at TIMESTAMP"
+)
+_COLUMNS = [part.split()[0] for part in OUTPUT_SCHEMA.split(", ")]
+_INTEGERS = [part.split()[0] for part in OUTPUT_SCHEMA.split(", ") if part.endswith("BIGINT")]
+_TIMES = [part.split()[0] for part in OUTPUT_SCHEMA.split(", ") if part.endswith("TIMESTAMP")]
+_TEXTS = [name for name in _COLUMNS if name not in _INTEGERS + _TIMES]
+_MAX_LONG = 2**63 - 1
+
+DAY_MS = 86_400_000
+
+
+class AccountProcessor(StatefulProcessor):
+    """Emits ``position``, ``duplicate``, ``threshold_applied``, ``feed_stale`` and ``feed_recovered``.
+
+    A position row carries the bounds in force, so alerts are a projection of it.
+    """
+
+    def __init__(self, stale_ms: int = S.STALE_FEED_SECONDS * 1000, seen_ttl_ms: int | None = DAY_MS):
+        self.stale_ms = stale_ms
+        self.seen_ttl_ms = seen_ttl_ms
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.totals = handle.getValueState("totals", "inbound BIGINT, outbound BIGINT, payments BIGINT")
+        self.bounds = handle.getValueState("bounds", "warning BIGINT, critical BIGINT")
+        self.silent = handle.getValueState("silent", "since_ms BIGINT")
+        self.seen = handle.getMapState("seen", "payment_id STRING", "event_time_ms BIGINT", self.seen_ttl_ms)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        # Threshold changes first among rows that arrived at the same instant.
+        batch = pd.concat(list(rows), ignore_index=True)
+        batch = batch.sort_values(["arrived", "kind", "seq"], kind="stable", ignore_index=True)
+        is_payment = batch["kind"].to_numpy() == PAYMENT_KIND
+        is_new = is_payment & ~self._duplicates(batch, is_payment)
+        warning, critical = self._bounds_in_force(batch, is_payment)
+
+        amount = np.where(is_new, batch["amount_cents"].to_numpy(), 0)
+        credit = (batch["direction"] == "CREDIT").to_numpy()
+        start_in, start_out, start_count = self.totals.get() if self.totals.exists() else (0, 0, 0)
+        if max(start_in, start_out) + int(amount.sum()) > _MAX_LONG:
+            raise OverflowError(f"totals of {key} exceed the BIGINT state")
+        inbound = start_in + np.cumsum(np.where(credit, amount, 0))
+        outbound = start_out + np.cumsum(np.where(credit, 0, amount))
+        count = start_count + np.cumsum(is_new)
+
+        if not is_payment.all():
+            self.bounds.update((_long(warning.iloc[-1]), _long(critical.iloc[-1])))
+            yield self._rows(key, "threshold_applied", batch[~is_payment][[]], warning_cents=warning[~is_payment], critical_cents=critical[~is_payment])
+        copies = is_payment & ~is_new
+        if copies.any():
+            fields = batch.loc[copies, ["payment_id", "amount_cents", "direction", "event_time"]]
+            yield self._rows(key, "duplicate", fields)
+        if is_new.any():
+            self.totals.update((int(inbound[-1]), int(outbound[-1]), int(count[-1])))
+            now = timerValues.getCurrentProcessingTimeInMs()
+            if self.silent.exists():
+                since = pd.Timestamp(self.silent.get()[0], unit="ms")
+                self.silent.clear()
+                yield self._rows(key, "feed_recovered", pd.DataFrame({"stale_since": [since], "detected_at": [pd.Timestamp(now, unit="ms")]}))
+            yield self._rows(
+                key,
+                "position",
+                batch.loc[is_new, ["payment_id", "amount_cents", "direction", "event_time"]],
+                balance_cents=(inbound - outbound)[is_new],
+                inbound_cents=inbound[is_new],
+                outbound_cents=outbound[is_new],
+                payment_count=count[is_new],
+                warning_cents=warning[is_new],
+                critical_cents=critical[is_new],
+            )
+            # Only accepted payments move the silence deadline.
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(now + self.stale_ms)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        fired = expiredTimerInfo.getExpiryTimeInMs()
+        since = fired - self.stale_ms
+        self.silent.update((since,))
+        yield self._rows(
+            key,
+            "feed_stale",
+            pd.DataFrame({"stale_since": [pd.Timestamp(since, unit="ms")], "detected_at": [pd.Timestamp(fired, unit="ms")]}),
+        )
+
+    def _duplicates(self, batch: pd.DataFrame, is_payment: np.ndarray) -> np.ndarray:
+        """Payments whose id came before, in this batch or in the state; new ids are remembered."""
+        repeated = np.zeros(len(batch), dtype=bool)
+        ids = batch.loc[is_payment, "payment_id"]
+        repeated[is_payment] = ids.duplicated().to_numpy()
+        for position in np.flatnonzero(is_payment & ~repeated):
+            name = (batch.at[position, "payment_id"],)
+            if self.seen.containsKey(name):
+                repeated[position] = True
+            else:
+                self.seen.updateValue(name, (int(batch.at[position, "event_time"].value // 1_000_000),))
+        return repeated
+
+    def _bounds_in_force(self, batch: pd.DataFrame, is_payment: np.ndarray) -> tuple[pd.Series, pd.Series]:
+        """Bounds after the last threshold change at or before each row."""
+        stored = self.bounds.get() if self.bounds.exists() else (None, None)
+        change = np.maximum.accumulate(np.where(is_payment, -1, np.arange(len(batch))))
+        result = []
+        for name, initial in zip(("warning", "critical"), stored):
+            given = batch[f"{name}_cents"].astype("Int64").where(batch[f"has_{name}"], pd.NA)
+            value = given.take(np.maximum(change, 0)).reset_index(drop=True)
+            result.append(value.where(change >= 0, pd.NA if initial is None else initial))
+        return result[0], result[1]
+
+    def _rows(self, key, record_type: str, fields: pd.DataFrame, **more) -> pd.DataFrame:
+        out = fields.reset_index(drop=True)
+        for name, values in more.items():
+            out[name] = np.asarray(values) if not isinstance(values, pd.Series) else values.reset_index(drop=True)
+        out["record_type"], out["currency"], out["settlement_account"] = record_type, key[0], key[1]
+        out = out.reindex(columns=_COLUMNS)
+        out[_INTEGERS] = out[_INTEGERS].astype("Int64")
+        out[_TEXTS] = out[_TEXTS].astype(object)
+        for name in _TIMES:
+            out[name] = pd.to_datetime(out[name])
+        return out
+
+
+def _long(value) -> int | None:
+    return None if value is pd.NA or pd.isna(value) else int(value)
