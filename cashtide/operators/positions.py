@@ -20,12 +20,15 @@ def position_ledger(
     reset: str | None = None,
     max_rows: int = MAX_BLOCK_ROWS,
     opening: DataFrame | None = None,
+    time: str = "event_time",
 ) -> DataFrame:
-    """Running balance, totals and count after each payment.
+    """Running balance, totals and count after each payment, in the order of (``time``, seq).
 
     With ``thresholds`` (their full history) each row also gets the bounds in force at that moment:
     threshold rows join the same ordered stream of their account, so the as-of lookup costs no
-    join of its own and no broadcast.  ``reset='day'`` restarts totals every UTC day.
+    join of its own and no broadcast.  Without a column ``time`` an update counts from its
+    ``updated_at``.  ``reset='day'`` restarts totals every UTC day.  ``opening`` holds totals and
+    ``bounds`` per account to start from.
     """
     keys = _ledger_keys(reset)
     columns = payments.columns
@@ -34,7 +37,7 @@ def position_ledger(
     if thresholds is not None:
         if reset:
             raise ValueError("thresholds carry over days: use them with lifetime totals")
-        work, latest = _with_threshold_rows(payments, thresholds), {"bounds": F.col("_bounds")}
+        work, latest = _with_threshold_rows(payments, thresholds, time), {"bounds": F.col("_bounds")}
     if reset == "day":
         work = work.withColumn("business_date", F.to_date("event_time"))
 
@@ -49,7 +52,7 @@ def position_ledger(
         counted=is_payment,
     )
     # A threshold published at the instant of a payment is in force for it.
-    order = ["event_time", *(["_is_payment"] if thresholds is not None else []), "seq"]
+    order = [time, *(["_is_payment"] if thresholds is not None else []), "seq"]
     rows = running(work, keys, order, scan, max_rows, opening)
     if thresholds is not None:
         rows = rows.where("_is_payment = 1")
@@ -66,12 +69,12 @@ def position_ledger(
     return rows.select(*out)
 
 
-def _with_threshold_rows(payments: DataFrame, thresholds: DataFrame) -> DataFrame:
+def _with_threshold_rows(payments: DataFrame, thresholds: DataFrame, time: str) -> DataFrame:
     bounds = F.struct("warning_cents", "critical_cents")
     no_bounds = F.lit(None).cast("struct<warning_cents:bigint,critical_cents:bigint>")
     changes = thresholds.select(
         *S.ACCOUNT_KEY,
-        F.col("updated_at").alias("event_time"),
+        F.col(time if time in thresholds.columns else "updated_at").alias(time),
         "seq",
         bounds.alias("_bounds"),
         F.lit(0).alias("_is_payment"),

@@ -360,3 +360,6 @@ SELECT currency, settlement_account, {_POSITION_MONEY}, n AS payment_count, last
 SELECT {_ALERT_COLUMNS} FROM alerts""",
     "stream_dlq": f"WITH {FEED} SELECT * EXCLUDE (detected_at) FROM letters",
 }
+
+ORACLE["batch_stream_positions"] = ORACLE["stream_positions"]
+ORACLE["batch_stream_alerts"] = ORACLE["stream_alerts"]

@@ -14,7 +14,7 @@ from cashtide.sources import driver_tables as D
 from cashtide.sources.payments import merge_rails, routed
 from cashtide.sources.tables import read_batches
 from cashtide.sources.workspace import new_path
-from cashtide.streaming import jobs
+from cashtide.streaming import batches, jobs
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 PENDING_AS_OF = datetime(2024, 1, 15, 12, tzinfo=timezone.utc)
@@ -461,3 +461,23 @@ def stream_dlq(spark, sf_dir):
     jobs.run_to_end(jobs.start_rejects(_checked_stream(spark, sf_dir), output, available_now=True))
     parts = [read_batches(spark, output.table(f"payments_dlq_{p}"), S.DLQ) for p in ("parse", "duplicates")]
     return quality.dead_letters(*parts).drop("detected_at")
+
+
+def _batches_output(spark, sf_dir):
+    output = _new_output(spark, "batches")
+    checked, updates = _checked_stream(spark, sf_dir), _updates_stream(spark, sf_dir)
+    jobs.run_to_end(batches.start_batches(checked, updates, output, available_now=True))
+    return output
+
+
+@query
+def batch_stream_positions(spark, sf_dir):
+    """Positions table of the table-state engine, which splits hot accounts."""
+    return jobs.positions_table(spark, _batches_output(spark, sf_dir)).read().drop("last_updated")
+
+
+@query
+def batch_stream_alerts(spark, sf_dir):
+    """Alert log of the table-state engine."""
+    output = _batches_output(spark, sf_dir)
+    return read_batches(spark, output.table("alert_log"), S.TABLES["alert_log"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from cashtide import schemas as S
 from cashtide.functions.keys import account_key
+from cashtide.functions.times import parse_iso
 
 # One trigger admits at most this many records, which bounds what a single hot account can bring
 # to one task of the keyed processor.
@@ -63,13 +64,19 @@ def threshold_topic(spark: SparkSession, servers: str) -> DataFrame:
 
 
 def text_stream(spark: SparkSession, folder: str, files_per_trigger: int | None = None) -> DataFrame:
-    """JSON-lines files as a stream of (raw, seq, arrived); file name and row order stand for offsets."""
+    """JSON-lines files as a stream of (raw, seq, arrived).
+
+    Lines of a file carry no offset: those of one file are taken in event-time order, ties by a
+    hash of the text.
+    """
     reader = spark.readStream.format("text")
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    event_time = parse_iso(F.get_json_object("value", "$.event_time"))
+    millis = F.coalesce(F.unix_millis(event_time), F.lit(0).cast("long"))
     return reader.load(folder).select(
         F.col("value").alias("raw"),
-        F.monotonically_increasing_id().alias("seq"),
+        (millis * F.lit(1 << 20).cast("long") + F.pmod(F.xxhash64("value"), F.lit(1 << 20))).alias("seq"),
         F.col("_metadata.file_modification_time").alias("arrived"),
     )
 

@@ -1,0 +1,109 @@
+"""The account engine as micro-batches over tables, for backfills and very hot accounts.
+
+Same results as the keyed processor, but no account is tied to one task: duplicates are found by
+payment id, running balances in blocks (``operators.blocks``), and the state between batches is two
+tables in the shared folder, read as of the previous batch so that a replay repeats exactly.
+"""
+
+from datetime import timedelta
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from cashtide import schemas as S
+from cashtide.operators import duplicates, quality
+from cashtide.operators.merges import latest_per_key
+from cashtide.operators.positions import position_ledger
+from cashtide.sources.tables import VersionedTable, read_batches, write_batch
+from cashtide.streaming.jobs import Output, configure, keyed_input, start, write_letters, write_positions
+from cashtide.streaming.processor import PAYMENT_KIND, THRESHOLD_KIND
+
+ARRIVAL_ORDER = ["arrived", "seq"]
+
+_BOUNDS = T.StructType([T.StructField("warning_cents", T.LongType()), T.StructField("critical_cents", T.LongType())])
+STATE = T.StructType(
+    [T.StructField(name, T.StringType()) for name in S.ACCOUNT_KEY]
+    + [
+        T.StructField("inbound_cents", S.TOTAL_CENTS),
+        T.StructField("outbound_cents", S.TOTAL_CENTS),
+        T.StructField("payment_count", T.LongType()),
+        T.StructField("bounds", _BOUNDS),
+    ]
+)
+SEEN = T.StructType([T.StructField(n, T.StringType()) for n in duplicates.PAYMENT_KEY] + [T.StructField("day", T.DateType())])
+
+
+def start_batches(
+    checked: DataFrame,
+    updates: DataFrame | None,
+    output: Output,
+    available_now: bool = False,
+    seen_days: int | None = 1,
+) -> StreamingQuery:
+    """Same inputs and tables as ``jobs.start_engine``; ids are remembered for whole days of arrival."""
+    configure(checked.sparkSession)
+    writer = keyed_input(checked, updates).writeStream.foreachBatch(
+        lambda batch, batch_id: process_batch(batch, batch_id, output, seen_days)
+    )
+    return start(writer, "batches", output, available_now)
+
+
+def process_batch(batch: DataFrame, batch_id: int, output: Output, seen_days: int | None = 1) -> None:
+    spark = batch.sparkSession
+    batch = batch.persist()
+    first_arrival = batch.agg(F.min("arrived")).first()[0]
+    if first_arrival is None:
+        batch.unpersist()
+        return
+    state = VersionedTable(spark, output.table("account_state"), STATE)
+    opening = state.read(before=batch_id)
+    payments = batch.where(F.col("kind") == PAYMENT_KIND).drop("kind", "warning_cents", "critical_cents", "has_warning", "has_critical")
+    changes = _threshold_changes(batch)
+
+    seen = _seen_before(spark, output, batch_id, first_arrival, seen_days)
+    firsts = duplicates.first_occurrences(payments, ARRIVAL_ORDER)
+    fresh = firsts.join(seen, duplicates.PAYMENT_KEY, "left_anti")
+    ledger_folder = output.table("position_ledger")
+    write_batch(position_ledger(fresh, changes, opening=opening, time="arrived"), ledger_folder, batch_id)
+    ledger = spark.read.parquet(f"{ledger_folder}/batch={batch_id}")  # one computation for all that follows
+
+    new_ids = ledger.select(*duplicates.PAYMENT_KEY, F.to_date("arrived").alias("day"))
+    new_ids.write.mode("overwrite").partitionBy("day").parquet(f"{output.table('seen')}/batch={batch_id}")
+    write_positions(ledger, batch_id, output)
+    copies = duplicates.later_copies(payments, ARRIVAL_ORDER).unionByName(firsts.join(seen, duplicates.PAYMENT_KEY, "left_semi"))
+    letters = duplicates.duplicate_letters(copies)
+    write_letters(quality.dead_letters(letters), "payments_dlq_duplicates", batch_id, output)
+    state.write(_next_state(opening, ledger, changes), batch_id)
+    batch.unpersist()
+
+
+def _threshold_changes(batch: DataFrame) -> DataFrame:
+    return batch.where(F.col("kind") == THRESHOLD_KIND).select(
+        *S.ACCOUNT_KEY,
+        F.when(F.col("has_warning"), F.col("warning_cents")).alias("warning_cents"),
+        F.when(F.col("has_critical"), F.col("critical_cents")).alias("critical_cents"),
+        "arrived",
+        "seq",
+    )
+
+
+def _seen_before(spark, output: Output, batch_id: int, first_arrival, seen_days: int | None) -> DataFrame:
+    """Ids of earlier batches; partitions that are too old are not read."""
+    schema = T.StructType([*SEEN.fields, T.StructField("batch", T.LongType())])
+    seen = read_batches(spark, output.table("seen"), schema).where(F.col("batch") < batch_id)
+    if seen_days is not None:
+        seen = seen.where(F.col("day") >= F.lit((first_arrival - timedelta(days=seen_days)).date()))
+    return seen.select(*duplicates.PAYMENT_KEY)
+
+
+def _next_state(opening: DataFrame, ledger: DataFrame, changes: DataFrame) -> DataFrame:
+    """One row per account: totals after its last payment, bounds after its last change."""
+    totals = ["inbound_cents", "outbound_cents", "payment_count"]
+    last = latest_per_key(ledger, S.ACCOUNT_KEY, ["payment_count"]).select(*S.ACCOUNT_KEY, *[F.col(t).alias(f"n_{t}") for t in totals])
+    bounds = latest_per_key(changes, S.ACCOUNT_KEY, ARRIVAL_ORDER).select(
+        *S.ACCOUNT_KEY, F.struct("warning_cents", "critical_cents").alias("n_bounds")
+    )
+    joined = opening.join(last, S.ACCOUNT_KEY, "full").join(bounds, S.ACCOUNT_KEY, "full")
+    return joined.select(*S.ACCOUNT_KEY, *[F.coalesce(f"n_{c}", c).alias(c) for c in [*totals, "bounds"]])

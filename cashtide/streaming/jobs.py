@@ -64,11 +64,12 @@ def run_to_end(query: StreamingQuery) -> None:
     """Wait until an available-now query has read its input.
 
     A query with processing-time timers never ends by itself: it keeps running empty batches in
-    case a timer fires.  It is stopped after the first of them.
+    case a timer fires.  It is stopped after two of them in a row: the first one after a restart may
+    be the repetition of an interrupted empty batch, with input still to come.
     """
     while query.isActive:
-        progress = query.lastProgress
-        if progress is not None and progress.numInputRows == 0:
+        last_two = query.recentProgress[-2:]
+        if len(last_two) == 2 and all(p.numInputRows == 0 for p in last_two):
             query.stop()
             break
         query.awaitTermination(0.2)
@@ -163,7 +164,9 @@ def write_records(batch: DataFrame, batch_id: int, output: Output) -> None:
     batch = batch.persist()
     kinds = {row["record_type"] for row in batch.select("record_type").distinct().collect()}  # five at most
     if "position" in kinds:
-        _write_positions(ledger_rows(batch), batch_id, output)
+        ledger = ledger_rows(batch)
+        write_batch(ledger, output.table("position_ledger"), batch_id)
+        write_positions(ledger, batch_id, output)
     if "duplicate" in kinds:
         letters = duplicates.duplicate_letters(batch.where("record_type = 'duplicate'"))
         write_letters(quality.dead_letters(letters), "payments_dlq_duplicates", batch_id, output)
@@ -181,9 +184,8 @@ def _key():
     return account_key(*[F.col(c) for c in S.ACCOUNT_KEY]).alias("key")
 
 
-def _write_positions(ledger: DataFrame, batch_id: int, output: Output) -> None:
-    """Ledger rows, the upserted positions table and the alerts of one batch."""
-    write_batch(ledger, output.table("position_ledger"), batch_id)
+def write_positions(ledger: DataFrame, batch_id: int, output: Output) -> None:
+    """The upserted positions table and the alerts of one batch of ledger rows."""
     newest = latest_per_key(ledger, S.ACCOUNT_KEY, ["payment_count"]).withColumnRenamed("payment_id", "last_payment_id")
     table = positions_table(ledger.sparkSession, output)
     table.write(upsert(table.read(before=batch_id), position_rows(newest), S.ACCOUNT_KEY, ["payment_count"]), batch_id)
