@@ -83,8 +83,13 @@ def running(
     joined = rows.join(openings, [*keys, BLOCK])
     out = [F.col(c) for c in df.columns]
     for name in sums:
-        total = (F.col(f"_open_{name}") + F.col(f"_run_{name}").cast("decimal(19,0)")).cast(TOTAL_CENTS)
-        out.append((total.cast("long") if name == scan.count else total).alias(name))
+        # Within a block LONG sums suffice; counts always fit.
+        run = F.col(f"_run_{name}")
+        if name == scan.count:
+            total = F.col(f"_open_{name}").cast("long") + run
+        else:
+            total = (F.col(f"_open_{name}") + run.cast("decimal(19,0)")).cast(TOTAL_CENTS)
+        out.append(total.alias(name))
     for name in latest:
         out.append(F.coalesce(f"_run_{name}", f"_open_{name}").alias(name))
     if scan.next_time:

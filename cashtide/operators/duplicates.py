@@ -2,37 +2,48 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from cashtide import schemas as S
 from cashtide.functions.money import to_money
+from cashtide.sources.workspace import materialize
 
 PAYMENT_KEY = [*S.ACCOUNT_KEY, "payment_id"]
 
 
-def first_occurrences(payments: DataFrame, order: list[str] = S.PAYMENT_ORDER) -> DataFrame:
-    """Payments without later copies.
+def repeated_ids(payments: DataFrame, order: list[str] = S.PAYMENT_ORDER) -> DataFrame:
+    """Ids that occur more than once, with the position of the first: (key, ``_first``), stored.
 
-    Spark limits each map task to one row per id before the shuffle (WindowGroupLimit), so an id
-    with very many copies does not pile up in one task.
+    Occurrences are counted in a hash aggregate that combines map-side, so only ids are shuffled and
+    an id with very many copies is one row per task.  Few ids repeat: the stored table is then small
+    enough for the planner to broadcast, and payments are never shuffled or sorted.  A large table
+    leads to a shuffled join, where adaptive execution splits hot ids.
     """
-    by_id = Window.partitionBy(*PAYMENT_KEY).orderBy(*order)
-    return payments.withColumn("_rank", F.row_number().over(by_id)).where("_rank = 1").drop("_rank")
+    counts = payments.groupBy(*PAYMENT_KEY).agg(F.count(F.lit(1)).alias("_copies"))
+    several = materialize(counts.where("_copies > 1").drop("_copies"), "repeated-ids")
+    candidates = payments.select(*PAYMENT_KEY, *order).join(several, PAYMENT_KEY, "left_semi")
+    firsts = candidates.groupBy(*PAYMENT_KEY).agg(F.min(F.struct(*order)).alias("_first"))
+    return materialize(firsts, "first-positions")
 
 
-def later_copies(payments: DataFrame, order: list[str] = S.PAYMENT_ORDER) -> DataFrame:
-    """The copies that ``first_occurrences`` leaves out.
+def first_occurrences(
+    payments: DataFrame, order: list[str] = S.PAYMENT_ORDER, repeated: DataFrame | None = None
+) -> DataFrame:
+    """Payments without later copies.  ``order`` must be total.
 
-    The first position per id is aggregated map-side and only ids seen twice are joined back; a
-    hot id is then a skewed join side, which adaptive execution splits.
+    ``payments`` is read more than once: pass a stored table when it is costly to compute.
     """
-    firsts = (
-        payments.groupBy(*PAYMENT_KEY)
-        .agg(F.count(F.lit(1)).alias("_copies"), F.min(F.struct(*order)).alias("_first"))
-        .where("_copies > 1")
-        .drop("_copies")
-    )
-    return payments.join(firsts, PAYMENT_KEY).where(F.struct(*order) > F.col("_first")).drop("_first")
+    repeated = repeated_ids(payments, order) if repeated is None else repeated
+    is_first = F.col("_first").isNull() | (F.struct(*order) == F.col("_first"))
+    return payments.join(repeated, PAYMENT_KEY, "left").where(is_first).select(*payments.columns)
+
+
+def later_copies(
+    payments: DataFrame, order: list[str] = S.PAYMENT_ORDER, repeated: DataFrame | None = None
+) -> DataFrame:
+    """The copies that ``first_occurrences`` leaves out."""
+    repeated = repeated_ids(payments, order) if repeated is None else repeated
+    copies = payments.join(repeated, PAYMENT_KEY).where(F.struct(*order) > F.col("_first"))
+    return copies.select(*payments.columns)
 
 
 def duplicate_letters(copies: DataFrame, detected_at: Column | None = None) -> DataFrame:

@@ -77,6 +77,15 @@ def _valid(spark, sf_dir) -> DataFrame:
     return quality.valid_payments(_checked(spark, sf_dir), "seq", "arrived")
 
 
+def _stored(spark, sf_dir) -> DataFrame:
+    """The checked feed as a table, for queries that read it more than once."""
+    return quality.stored_verdicts(_checked(spark, sf_dir))
+
+
+def _stored_valid(spark, sf_dir) -> DataFrame:
+    return quality.valid_payments(_stored(spark, sf_dir), "seq", "arrived")
+
+
 def _in_double(df: DataFrame, **names: str) -> DataFrame:
     """Replace cents columns by DOUBLE amounts: new name = cents column."""
     for new, cents in names.items():
@@ -214,7 +223,7 @@ def flow_summary_feed(spark, sf_dir):
 @query
 def flow_summary_dedup(spark, sf_dir):
     """Flows of the validated feed without repeated messages."""
-    firsts = duplicates.first_occurrences(_valid(spark, sf_dir))
+    firsts = duplicates.first_occurrences(_stored_valid(spark, sf_dir))
     return _in_double(flows.flow_summary(firsts), **_FLOWS)
 
 
@@ -294,20 +303,18 @@ def payments_dlq(spark, sf_dir):
 @query
 def payments_dedup(spark, sf_dir):
     """Accepted payments without later copies."""
-    firsts = duplicates.first_occurrences(_valid(spark, sf_dir))
+    firsts = duplicates.first_occurrences(_stored_valid(spark, sf_dir))
     return _in_double(firsts, amount="amount_cents").drop("arrived")
 
 
 @query
 def duplicate_dlq(spark, sf_dir):
     """Dead letters of the later copies."""
-    checked = quality.stored_verdicts(_checked(spark, sf_dir))
-    copies = duplicates.later_copies(quality.valid_payments(checked, "seq", "arrived"))
-    return duplicates.duplicate_letters(copies, F.col("arrived"))
+    return duplicates.duplicate_letters(duplicates.later_copies(_stored_valid(spark, sf_dir)), F.col("arrived"))
 
 
 def _all_letters(spark, sf_dir):
-    checked = quality.stored_verdicts(_checked(spark, sf_dir))
+    checked = _stored(spark, sf_dir)
     refused = quality.rejected_payments(checked, F.col("arrived"))
     copies = duplicates.later_copies(quality.valid_payments(checked, "seq", "arrived"))
     return quality.dead_letters(refused, duplicates.duplicate_letters(copies, F.col("arrived")))

@@ -63,7 +63,8 @@ def process_batch(batch: DataFrame, batch_id: int, output: Output, seen_days: in
     changes = _threshold_changes(batch)
 
     seen = _seen_before(spark, output, batch_id, first_arrival, seen_days)
-    firsts = duplicates.first_occurrences(payments, ARRIVAL_ORDER)
+    repeated = duplicates.repeated_ids(payments, ARRIVAL_ORDER)
+    firsts = duplicates.first_occurrences(payments, ARRIVAL_ORDER, repeated)
     fresh = firsts.join(seen, duplicates.PAYMENT_KEY, "left_anti")
     ledger_folder = output.table("position_ledger")
     write_batch(position_ledger(fresh, changes, opening=opening, time="arrived"), ledger_folder, batch_id)
@@ -72,7 +73,7 @@ def process_batch(batch: DataFrame, batch_id: int, output: Output, seen_days: in
     new_ids = ledger.select(*duplicates.PAYMENT_KEY, F.to_date("arrived").alias("day"))
     new_ids.write.mode("overwrite").partitionBy("day").parquet(f"{output.table('seen')}/batch={batch_id}")
     write_positions(ledger, batch_id, output)
-    copies = duplicates.later_copies(payments, ARRIVAL_ORDER).unionByName(firsts.join(seen, duplicates.PAYMENT_KEY, "left_semi"))
+    copies = duplicates.later_copies(payments, ARRIVAL_ORDER, repeated).unionByName(firsts.join(seen, duplicates.PAYMENT_KEY, "left_semi"))
     letters = duplicates.duplicate_letters(copies)
     write_letters(quality.dead_letters(letters), "payments_dlq_duplicates", batch_id, output)
     state.write(_next_state(opening, ledger, changes), batch_id)
