@@ -2,14 +2,13 @@
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cashtide import schemas as S
 from cashtide.functions.money import wide_sum
 from cashtide.functions.times import in_business_hours
 from cashtide.operators.blocks import MAX_BLOCK_ROWS, BlockScan, running
-from cashtide.operators.merges import upsert
 
 
 def feed_gaps(
@@ -51,10 +50,31 @@ def rail_health(payments: DataFrame, as_of: datetime, timeout_seconds: int = S.S
         )
     )
     rails = payments.sparkSession.createDataFrame([(r,) for r in S.RAILS], "rail STRING")
+    return stale_at(rails.join(observed, "rail", "left"), moment, timeout_seconds)
+
+
+def update_feed_health(
+    table: DataFrame, observed: DataFrame, timeout_seconds: int = S.STALE_FEED_SECONDS
+) -> DataFrame:
+    """Merge new observations into the feed-health table, by rail; an event time never goes back."""
+    merged = (
+        table.unionByName(observed.select(*table.columns))
+        .groupBy("rail")
+        .agg(
+            F.max("last_event_time").alias("last_event_time"),
+            F.max_by("event_count_1min", "last_check_time").alias("event_count_1min"),
+            F.max("last_check_time").alias("last_check_time"),
+        )
+    )
+    return stale_at(merged, F.col("last_check_time"), timeout_seconds)
+
+
+def stale_at(health: DataFrame, moment: Column, timeout_seconds: int = S.STALE_FEED_SECONDS) -> DataFrame:
+    """Feed-health rows with the stale columns judged at ``moment``."""
     is_stale = F.col("last_event_time").isNull() | (
         moment - F.make_interval(secs=F.lit(timeout_seconds)) > F.col("last_event_time")
     )
-    return rails.join(observed, "rail", "left").select(
+    return health.select(
         "rail",
         "last_event_time",
         moment.cast("timestamp").alias("last_check_time"),
@@ -64,11 +84,6 @@ def rail_health(payments: DataFrame, as_of: datetime, timeout_seconds: int = S.S
     )
 
 
-def update_feed_health(table: DataFrame, observed: DataFrame) -> DataFrame:
-    """Merge new observations into the feed-health table, by rail."""
-    return upsert(table, observed, ["rail"], ["last_check_time"])
-
-
 def stale_flags(health: DataFrame) -> DataFrame:
     """0/1 per rail for the status panel."""
     return health.select("rail", F.when(F.col("is_stale"), 1).otherwise(0).alias("value"))

@@ -1,6 +1,7 @@
 """The streaming jobs: account engine, window flows, rail merger."""
 
 from dataclasses import dataclass
+from datetime import datetime, timezone
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from cashtide import schemas as S
 from cashtide.functions.keys import account_key
 from cashtide.functions.messages import json_message
 from cashtide.functions.money import to_money
-from cashtide.operators import alerts, duplicates, flows, quality, thresholds
+from cashtide.operators import alerts, duplicates, feeds, flows, quality, thresholds
 from cashtide.operators.merges import latest_per_key, upsert
 from cashtide.operators.positions import position_rows
 from cashtide.sources.payments import merge_rails, routed
@@ -228,6 +229,22 @@ def start_flows(payments: DataFrame, output: Output, available_now: bool = False
     return start(writer, "flows", output, available_now)
 
 
+# ---- feed health ---------------------------------------------------------------------------
+
+
+def start_feed_health(payments: DataFrame, output: Output, available_now: bool = False) -> StreamingQuery:
+    """Keep the feed-health table of the rails; readers judge staleness with ``feeds.stale_at``."""
+    spark = payments.sparkSession
+    configure(spark)
+    table = VersionedTable(spark, output.table("feed_health"), S.TABLES["feed_health"])
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        seen = feeds.rail_health(batch, datetime.now(timezone.utc)).where(F.col("last_event_time").isNotNull())
+        table.write(feeds.update_feed_health(table.read(before=batch_id), seen), batch_id)
+
+    return start(payments.writeStream.foreachBatch(merge), "feed_health", output, available_now)
+
+
 # ---- rail merger --------------------------------------------------------------------------
 
 

@@ -9,7 +9,7 @@ from cashtide import schemas as S
 from cashtide.operators import quality
 from cashtide.operators.thresholds import check_updates
 from cashtide.sources import payments as sources
-from cashtide.sources.tables import read_batches
+from cashtide.sources.tables import VersionedTable, read_batches
 from cashtide.streaming import batches, jobs
 from cashtide.streaming.processor import PAYMENT_KIND, THRESHOLD_KIND, AccountProcessor
 
@@ -165,6 +165,14 @@ def test_refused_messages_reach_the_dead_letter_table(spark, tmp_path):
     assert all(r["detected_at"] is not None for r in letters)
 
 
+def test_feed_health_table(spark, tmp_path):
+    feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
+    feed.add(payment(1, 20 * MILLION, at=5), payment(2, 20 * MILLION))
+    jobs.run_to_end(jobs.start_feed_health(quality.valid_payments(feed.checked()), output, available_now=True))
+    rows = VersionedTable(spark, output.table("feed_health"), S.TABLES["feed_health"]).read().collect()
+    assert [(r["rail"], r["last_event_time"]) for r in rows] == [("RTGS", START.replace(tzinfo=None) + timedelta(seconds=5))]
+
+
 def test_merger_and_text_source(spark, tmp_path):
     output = jobs.Output(str(tmp_path / "out"))
     rails = []

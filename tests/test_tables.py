@@ -1,14 +1,15 @@
 from datetime import timedelta
 
 import pytest
-from helpers import START, thresholds
+from helpers import START, payments, thresholds
 from pyspark.sql import functions as F
 
 from cashtide import schemas as S
-from cashtide.operators import merges, pending
+from cashtide.operators import feeds, merges, pending
 from cashtide.operators import thresholds as T
-from cashtide.plans import panels
+from cashtide.plans import maintenance, panels
 from cashtide.sources.tables import VersionedTable, jdbc_options, load_pending_file, load_table
+from cashtide.streaming import jobs
 
 PENDING = S.TABLES["pending_payments"]
 
@@ -117,3 +118,29 @@ def test_decode_threshold_messages(spark):
     assert errors == {0: None, 1: "missing currency", 2: "missing settlement_account", 3: None, 4: "threshold is not numeric", 5: "missing currency"}
     good = {r["seq"]: r for r in T.accepted(df).collect()}
     assert good[0]["warning_cents"] == 10**12 and good[3]["warning_cents"] is None
+
+
+def test_scheduled_jobs_can_be_repeated(spark, tmp_path):
+    output = jobs.Output(str(tmp_path))
+    for run, as_of in ((1, START), (1, START), (2, START + timedelta(hours=2))):
+        summary = maintenance.refresh_pending(spark, table(spark, row("a", due=1), row("b", due=5)), as_of, output, run)
+    assert summary.first().asDict() == {"generated": 2, "inserted": 0, "expired": 1, "deleted": 0}
+    for run in (1, 1, 2):
+        updates = thresholds(spark, [(run, 100 * run, 10), (run, 5, 5)])
+        refused = maintenance.publish_thresholds(spark, updates, output, run)
+    assert refused.count() == 1
+    state = VersionedTable(spark, output.table("thresholds_state"), S.THRESHOLD).read()
+    assert [r["warning_cents"] for r in state.collect()] == [20_000]
+    assert spark.read.parquet(output.table("topics/thresholds")).count() == 2
+
+
+def test_feed_health_keeps_the_latest_event(spark):
+    df = payments(spark, [1, 1], step=10)
+    newer = feeds.rail_health(df, START + timedelta(seconds=20))
+    older = feeds.rail_health(df.where("seq = 0"), START + timedelta(seconds=30)).where("rail = 'RTGS'")
+    merged = {r["rail"]: r for r in feeds.update_feed_health(newer, older).collect()}
+    naive = START.replace(tzinfo=None)
+    assert merged["RTGS"]["last_event_time"] == naive + timedelta(seconds=10)
+    assert merged["RTGS"]["last_check_time"] == naive + timedelta(seconds=30) and not merged["RTGS"]["is_stale"]
+    later = feeds.stale_at(feeds.update_feed_health(newer, older), F.lit(START + timedelta(seconds=71)))
+    assert {r["rail"]: r["is_stale"] for r in later.collect()} == {"RTGS": True, "CHAPS": True, "INTERNAL": True}
