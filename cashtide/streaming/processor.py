@@ -82,7 +82,8 @@ class AccountProcessor(StatefulProcessor):
 
         if not is_payment.all():
             self.bounds.update((_long(warning.iloc[-1]), _long(critical.iloc[-1])))
-            yield self._rows(key, "threshold_applied", batch[~is_payment][[]], warning_cents=warning[~is_payment], critical_cents=critical[~is_payment])
+            applied = {"warning_cents": warning[~is_payment], "critical_cents": critical[~is_payment]}
+            yield self._rows(key, "threshold_applied", batch[~is_payment][[]], **applied)
         copies = is_payment & ~is_new
         if copies.any():
             fields = batch.loc[copies, ["payment_id", "amount_cents", "direction", "event_time"]]
@@ -91,9 +92,8 @@ class AccountProcessor(StatefulProcessor):
             self.totals.update((int(inbound[-1]), int(outbound[-1]), int(count[-1])))
             now = timerValues.getCurrentProcessingTimeInMs()
             if self.silent.exists():
-                since = pd.Timestamp(self.silent.get()[0], unit="ms")
+                yield self._rows(key, "feed_recovered", _silence(self.silent.get()[0], now))
                 self.silent.clear()
-                yield self._rows(key, "feed_recovered", pd.DataFrame({"stale_since": [since], "detected_at": [pd.Timestamp(now, unit="ms")]}))
             yield self._rows(
                 key,
                 "position",
@@ -114,20 +114,17 @@ class AccountProcessor(StatefulProcessor):
         fired = expiredTimerInfo.getExpiryTimeInMs()
         since = fired - self.stale_ms
         self.silent.update((since,))
-        yield self._rows(
-            key,
-            "feed_stale",
-            pd.DataFrame({"stale_since": [pd.Timestamp(since, unit="ms")], "detected_at": [pd.Timestamp(fired, unit="ms")]}),
-        )
+        yield self._rows(key, "feed_stale", _silence(since, fired))
 
     def _duplicates(self, batch: pd.DataFrame, is_payment: np.ndarray) -> np.ndarray:
         """Payments whose id came before, in this batch or in the state; new ids are remembered."""
         repeated = np.zeros(len(batch), dtype=bool)
         ids = batch.loc[is_payment, "payment_id"]
         repeated[is_payment] = ids.duplicated().to_numpy()
+        known = self.seen.exists()  # each look-up is a round trip to the state store
         for position in np.flatnonzero(is_payment & ~repeated):
             name = (batch.at[position, "payment_id"],)
-            if self.seen.containsKey(name):
+            if known and self.seen.containsKey(name):
                 repeated[position] = True
             else:
                 self.seen.updateValue(name, (int(batch.at[position, "event_time"].value // 1_000_000),))
@@ -157,5 +154,10 @@ class AccountProcessor(StatefulProcessor):
         return out
 
 
+def _silence(since_ms: int, detected_ms: int) -> pd.DataFrame:
+    times = pd.to_datetime([since_ms, detected_ms], unit="ms")
+    return pd.DataFrame({"stale_since": [times[0]], "detected_at": [times[1]]})
+
+
 def _long(value) -> int | None:
     return None if value is pd.NA or pd.isna(value) else int(value)

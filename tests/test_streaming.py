@@ -213,6 +213,9 @@ class Value:
 
 
 class Map(dict):
+    def exists(self):
+        return bool(self)
+
     containsKey = dict.__contains__
     updateValue = dict.__setitem__
 
