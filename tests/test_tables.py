@@ -8,6 +8,7 @@ from cashtide import schemas as S
 from cashtide.operators import feeds, merges, pending
 from cashtide.operators import thresholds as T
 from cashtide.plans import maintenance, panels
+from cashtide.sources import workspace
 from cashtide.sources.tables import VersionedTable, jdbc_options, load_pending_file, load_table
 from cashtide.streaming import jobs
 
@@ -144,3 +145,20 @@ def test_feed_health_keeps_the_latest_event(spark):
     assert merged["RTGS"]["last_check_time"] == naive + timedelta(seconds=30) and not merged["RTGS"]["is_stale"]
     later = feeds.stale_at(feeds.update_feed_health(newer, older), F.lit(START + timedelta(seconds=71)))
     assert {r["rail"]: r["is_stale"] for r in later.collect()} == {"RTGS": True, "CHAPS": True, "INTERNAL": True}
+
+
+class _Session:
+    """A session without spark.checkpoint.dir."""
+
+    def __init__(self, master):
+        self.conf = {}
+        self.sparkContext = type("Context", (), {"master": master, "applicationId": master})
+
+
+def test_shared_folder():
+    local = _Session("local[2]")
+    assert workspace.shared_dir(local) == workspace.shared_dir(local)
+    with pytest.raises(RuntimeError):
+        workspace.shared_dir(_Session("spark://host:7077"))
+    local.conf["spark.checkpoint.dir"] = "hdfs://shared/x"
+    assert workspace.new_path(local, "t").startswith("hdfs://shared/x/t-")
