@@ -9,6 +9,7 @@ from cashtide.functions.messages import json_message
 from cashtide.functions.money import to_cents, to_money
 from cashtide.functions.times import iso_utc, parse_iso
 from cashtide.operators.merges import latest_per_key, upsert
+from cashtide.sources.workspace import materialize
 
 _VERSION = ["updated_at", "seq"]
 
@@ -102,7 +103,8 @@ def threshold_rows(updates: DataFrame) -> DataFrame:
 def with_latest_bounds(rows: DataFrame, latest: DataFrame) -> DataFrame:
     """Left join of account rows to their newest bounds.
 
-    No broadcast hint: the planner broadcasts ``latest`` when its size allows, and otherwise splits
-    hot accounts as a skewed join.
+    ``latest`` has one row per account.  It is stored first, so the planner sees its true size: it
+    broadcasts a small one, and otherwise joins by shuffle with hot accounts split.
     """
-    return rows.join(latest.select(*S.ACCOUNT_KEY, "warning_cents", "critical_cents"), S.ACCOUNT_KEY, "left")
+    bounds = materialize(latest.select(*S.ACCOUNT_KEY, "warning_cents", "critical_cents"), "latest-bounds")
+    return rows.join(bounds, S.ACCOUNT_KEY, "left")

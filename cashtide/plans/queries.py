@@ -1,6 +1,6 @@
 """Every operator as a query over the given tables: name -> f(spark, sf_dir)."""
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,16 +48,22 @@ def plain_types(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def _events(spark, sf_dir, since: datetime | None = None) -> DataFrame:
-    """Events, from ``since`` on if given; the bound is on the stored column so parquet can skip."""
+def _events(spark, sf_dir, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    """Events in [since, until); the bounds are on the stored column, so parquet can skip."""
+
+    def stored(moment):
+        return F.lit(f"{moment:%Y-%m-%d %H:%M:%S}").cast("timestamp_ntz")
+
     events = D.table(spark, sf_dir, "events")
     if since is not None:
-        events = events.where(F.col("ts") >= F.lit(since.replace(tzinfo=None)).cast("timestamp_ntz"))
+        events = events.where(F.col("ts") >= stored(since))
+    if until is not None:
+        events = events.where(F.col("ts") < stored(until))
     return events
 
 
-def _payments(spark, sf_dir, since: datetime | None = None) -> DataFrame:
-    return D.payments(_events(spark, sf_dir, since))
+def _payments(spark, sf_dir, since: datetime | None = None, until: datetime | None = None) -> DataFrame:
+    return D.payments(_events(spark, sf_dir, since, until))
 
 
 def _updates(spark, sf_dir) -> DataFrame:
@@ -133,15 +139,12 @@ def position_ledger_daily(spark, sf_dir):
 @query
 def balance_timeline_8h(spark, sf_dir):
     """Ledger of the last eight hours; history before it enters only as opening totals."""
-    start = panels._since(AS_OF, 8)
-    payments = _payments(spark, sf_dir)
-    before = payments.where(F.col("event_time") < start)
-    opening = before.groupBy(*S.ACCOUNT_KEY).agg(
+    since = AS_OF - timedelta(hours=8)
+    opening = _payments(spark, sf_dir, until=since).groupBy(*S.ACCOUNT_KEY).agg(
         wide_sum(inbound()).alias("inbound_cents"),
         wide_sum(outbound()).alias("outbound_cents"),
         F.count(F.lit(1)).alias("payment_count"),
     )
-    since = datetime(2024, 1, 30, 16, tzinfo=timezone.utc)
     recent = positions.position_ledger(_payments(spark, sf_dir, since), opening=opening)
     return (
         _in_double(recent, **_BALANCES)
@@ -230,7 +233,7 @@ def flow_summary_dedup(spark, sf_dir):
 @query
 def net_flow_by_currency(spark, sf_dir):
     """Net flow per currency and window in the last two hours; the scan starts there too."""
-    since = datetime(2024, 1, 30, 22, tzinfo=timezone.utc)
+    since = AS_OF - timedelta(hours=2)
     flow = flows.flow_by_currency(_payments(spark, sf_dir, since))
     return _in_double(flow, net_flow="net_cents").orderBy("window_start", "currency")
 
@@ -238,7 +241,7 @@ def net_flow_by_currency(spark, sf_dir):
 @query
 def account_flow_panel(spark, sf_dir):
     """The panel's own rows: account flows of the last two hours."""
-    since = datetime(2024, 1, 30, 22, tzinfo=timezone.utc)
+    since = AS_OF - timedelta(hours=2)
     return panels.account_flows(flows.flow_rows(flows.flow_summary(_payments(spark, sf_dir, since))), AS_OF)
 
 
