@@ -188,8 +188,8 @@ def _key():
 def write_positions(ledger: DataFrame, batch_id: int, output: Output) -> None:
     """The upserted positions table and the alerts of one batch of ledger rows."""
     newest = latest_per_key(ledger, S.ACCOUNT_KEY, ["payment_count"]).withColumnRenamed("payment_id", "last_payment_id")
-    table = positions_table(ledger.sparkSession, output)
-    table.write(upsert(table.read(before=batch_id), position_rows(newest), S.ACCOUNT_KEY, ["payment_count"]), batch_id)
+    table, table_key = positions_table(ledger.sparkSession, output), S.TABLE_KEYS["liquidity_positions"]
+    table.write(upsert(table.read(before=batch_id), position_rows(newest), table_key, ["payment_count"]), batch_id)
 
     # Payment ids are unique per account here and a replay replaces its folder, so the alert key is unique.
     found = alerts.alert_rows(alerts.alerts(ledger))
