@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashtide.llm import sentencepiece, token_counts, warc
+from cashtide.llm import sentencepiece, token_counts, toxicity, url_filter, warc
 
 QUERIES = {}
 ORACLE = {"op2_warc": warc.ARCHIVED_SQL}
@@ -17,12 +17,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A toxicity score of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    return toxicity.scored(docs, model)
+
+
 @query
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page in a WARC archive, as read back by byte ranges."""
     return warc.archived_pages(table(spark, sf_dir, "pages"))
 
 
+@query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A verdict on the address of every page."""
+    return url_filter.judged(table(spark, sf_dir, "pages"))
+
+
 @query
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
