@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashtide.llm import sentencepiece, token_counts, toxicity, url_filter, warc
+from cashtide.llm import decontaminate, sentencepiece, token_counts, toxicity, url_filter, warc
 
 QUERIES = {}
 ORACLE = {"op2_warc": warc.ARCHIVED_SQL}
@@ -37,6 +37,13 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
 
 
+@query
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The benchmark items in every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontaminate.leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Piece ids of every document, and whether they decode to its text."""
