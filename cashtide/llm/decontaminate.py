@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-ERROR_RATE = 0.1
+ERROR_RATE = 0.07  # one edit in fourteen characters
 MIN_CHARS = 40
 BLOCK_CHARS = 4_000_000
 _REST = re.compile(r"[\W_]+")
