@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashtide.llm import decontaminate, sentencepiece, token_counts, toxicity, url_filter, warc
+from cashtide.llm import decontaminate, secrets, sentencepiece, token_counts, toxicity, url_filter, warc
 
 QUERIES = {}
 ORACLE = {"op2_warc": warc.ARCHIVED_SQL}
@@ -56,3 +56,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.with_token_counts(docs, "byte_bpe_50k.json").drop("text")
+
+
+@query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
