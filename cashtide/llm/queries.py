@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashtide.llm import decontaminate, secrets, sentencepiece, token_counts, toxicity, url_filter, warc
+from cashtide.llm import decontaminate, order_minhash, secrets, sentencepiece, token_counts, toxicity, url_filter, warc
 
 QUERIES = {}
 ORACLE = {"op2_warc": warc.ARCHIVED_SQL}
@@ -62,3 +62,9 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in every document."""
     return secrets.secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The class of near-duplicates of every document."""
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
