@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashtide.llm import decontaminate, order_minhash, secrets, sentencepiece, token_counts, toxicity, url_filter, warc
+from cashtide.llm import decontaminate, order_minhash, secrets, sentencepiece, suffix_dedup, token_counts, toxicity, url_filter, warc
 
 QUERIES = {}
 ORACLE = {"op2_warc": warc.ARCHIVED_SQL}
@@ -37,6 +37,12 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judged(table(spark, sf_dir, "pages"))
 
 
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without repeated strings of 400 bytes."""
+    return suffix_dedup.removed(table(spark, sf_dir, "documents")).drop("kept")
+
+
 @query
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The benchmark items in every document."""
