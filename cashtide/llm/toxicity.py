@@ -80,7 +80,8 @@ def learning_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_
         share = int(1_000_000 * max_labelled / total)
         agreed = agreed.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < share)
     text = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    return text.join(agreed, "doc_id").select("text", F.col("label").cast("int").alias("label"))
+    # The ids are bounded by max_labelled, so they may be sent to every task; the texts stay in place.
+    return text.join(F.broadcast(agreed), "doc_id").select("text", F.col("label").cast("int").alias("label"))
 
 
 def term_counts(rows: DataFrame) -> DataFrame:
