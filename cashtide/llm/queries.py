@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashtide.llm import decontaminate, order_minhash, secrets, sentencepiece, suffix_dedup, token_counts, toxicity, url_filter, warc
+from cashtide.llm import decontaminate, fingerprints, order_minhash, secrets, sentencepiece, suffix_dedup, token_counts, toxicity, url_filter, warc
 
 QUERIES = {}
 ORACLE = {"op2_warc": warc.ARCHIVED_SQL}
@@ -57,6 +57,12 @@ def op6_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode(docs, "piece_bpe_32k.model").drop("text")
 
 
+@query
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A fingerprint of every document and of its edited text, and how like they are."""
+    return fingerprints.fingerprinted(table(spark, sf_dir, "documents"))
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
