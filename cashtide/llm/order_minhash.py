@@ -292,8 +292,8 @@ def without_near_duplicates(docs: DataFrame, least: float = SIMILARITY, rounds:
     texts = materialize(text_classes(docs.select("doc_id", "text"), least, rounds), "texts")
     first = texts.groupBy("root").agg(F.min(F.struct("doc_id", "k", "repeats")).alias("first")).select("first.*")
     kept = first.select(F.col("k").alias("_k"), F.col("doc_id").alias("_id"), F.col("repeats").alias("_repeats"))
-    rows = docs.withColumn("_key", key_of(F.col("text")))
+    rows = docs.select(key_of(F.col("text")).alias("_key"), "doc_id", F.struct(*docs.columns).alias("_row"))
     rows = rows.join(kept, (rows["_key"] == kept["_k"]) & rows["doc_id"].eqNullSafe(kept["_id"]))
-    once = rows.where("_repeats = 1")
-    repeated = rows.where("_repeats > 1").dropDuplicates(["_key", "doc_id"])
-    return once.unionByName(repeated).select(*docs.columns)
+    once = rows.where("_repeats = 1").select("_row")
+    repeated = rows.where("_repeats > 1").dropDuplicates(["_key", "doc_id"]).select("_row")
+    return once.unionByName(repeated).select("_row.*")

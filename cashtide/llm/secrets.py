@@ -165,7 +165,7 @@ def secrets(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def redacted(docs: DataFrame, mark: str = "[SECRET]", threshold: float = THRESHOLD) -> DataFrame:
     """Every row, with ``mark`` in place of each stretch that spans cover; n_chars follows the text."""
-    rows = with_spans(docs, threshold)
+    rows = with_spans(docs.select("text", F.struct(*docs.columns).alias("row_")), threshold)
 
     def merge(state: Column, span: Column) -> Column:
         last = F.element_at(state, -1)
@@ -182,6 +182,6 @@ def redacted(docs: DataFrame, mark: str = "[SECRET]", threshold: float = THRESHO
     done = F.aggregate(stretches, F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), cut)
     end = F.substring(F.col("text_"), done["at"] + 1, F.length("text_"))
     clean = F.when(F.size("spans") == 0, F.col("text")).otherwise(F.concat(done["out"], end))
-    kept = [F.col(c) if c != "text" else clean.alias("text") for c in docs.columns]
-    out = rows.select(*kept)
-    return out.withColumn("n_chars", F.length(F.coalesce("text", F.lit(""))).cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    size = F.length(F.coalesce(clean, F.lit("")))
+    changed = {"text": clean} | ({"n_chars": size.cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {})
+    return rows.select(*(changed.get(c, F.col("row_")[c]).alias(c) for c in docs.columns))
