@@ -7,9 +7,9 @@ running sum of their lengths gives every start and end.
 Besides the fixed patterns, any long run of token characters is a candidate.  Two first-order Markov
 models over characters, of random strings and of ordinary identifiers, compare their log-likelihoods
 per character.  They are trained from samples that the corpus labels itself: values that the fixed
-patterns caught are random strings, candidates of letters and dots with no digit are identifiers.
-Every candidate of every document counts; the pair counts are summed in the tasks first, and the
-models have at most (characters of the candidate class + 1)^2 entries, so they fit in the plan.
+patterns caught are random strings, long runs of letters and underscores are identifiers.  Every
+such string of every document counts; the pair counts are summed in the tasks first, and the models
+have at most (characters of the candidate class + 1)^2 entries, so they fit in the plan.
 
 Places are in code points, ends exclusive.  Defined cases: null texts are empty ones and have no
 spans; repeated rows and null ids give their own rows; without samples of both kinds the models add
@@ -33,7 +33,7 @@ HEX = r"[0-9a-f]{32,}"
 ASSIGN_LEAST = 8
 # --------------------------------------------------------------------------------------------------
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-IDENTIFIER = r"^[A-Za-z+/_=-]+$"
+IDENTIFIER = r"[A-Za-z_]{12,}"
 MARKOV = "markov"
 KINDS = ["assign", "access", "hex", MARKOV]
 CHARACTERS = string.ascii_letters + string.digits + "+/_.=-"
@@ -91,7 +91,7 @@ def samples(found: DataFrame) -> DataFrame:
     value = lambda m: F.regexp_extract(m["match"], ASSIGN, 2)
     match = lambda m: m["match"]
     caught = F.concat(F.transform("assign", value), F.transform("access", match), F.transform("hex", match))
-    ordinary = F.filter(F.transform("candidates", match), lambda s: F.regexp_like(s, F.lit(IDENTIFIER)))
+    ordinary = F.regexp_extract_all("text_", F.lit(IDENTIFIER), F.lit(0))
     label = lambda strings, random: F.transform(strings, lambda s: F.struct(s.alias("value"), F.lit(random).alias("random")))
     return found.select(F.inline(F.concat(label(caught, True), label(ordinary, False)))).where(F.regexp_like("value", F.lit("^[A-Za-z0-9+/_.=-]+$")))
 

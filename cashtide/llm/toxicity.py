@@ -39,7 +39,7 @@ TIMES = (1, 2, 3)
 BEGINNINGS = (4, 5, 6, 7)
 MIN_ROWS = 5
 PRECISION = 0.6  # lower confidence bound from which a term may vote
-TRUST = 0.95  # the annotator's accuracy before the data speak, with the weight of a tenth of the rows
+TRUST = 0.9  # the annotator is right at least so often, for rows of either label
 PATTERNS = {
     "shouting": r"!{2,}",
     "capitals": r"\b[A-Z]{4,}\b",
@@ -149,9 +149,10 @@ def _fit_tables(votes: np.ndarray, weight: np.ndarray, parents: np.ndarray, prio
             alone = np.bincount(votes[:, j], own, 2) + 0.1
             # Where the parent's vote is rare, the voter's own rate fills in.
             seen = np.bincount(before * 2 + votes[:, j], own, 4).reshape(2, 2) + 2 * alone / alone.sum()
-            if j == count - 1:
-                seen += 0.1 * len(votes) * np.array([1 - TRUST, TRUST] if label else [TRUST, 1 - TRUST])
             tables[j, label] = seen / seen.sum(1, keepdims=True)
+            if j == count - 1:
+                wrong = min(tables[j, label, 0, 1 - label], 1 - TRUST)
+                tables[j, label, :, 1 - label], tables[j, label, :, label] = wrong, 1 - wrong
     return LabelModel(prior, parents, tables)
 
 
@@ -185,23 +186,22 @@ def _tree(votes: np.ndarray, weight: np.ndarray) -> np.ndarray:
 
 
 def fit_label_model(votes: np.ndarray, start: np.ndarray, rounds: int = 30) -> LabelModel:
-    """Expectation maximisation from the posteriors ``start``; first without correlations.
+    """Expectation maximisation from the posteriors ``start``.
 
+    Correlations come first, or voters that repeat each other would draw the labels to themselves.
     The share of toxic rows is the annotator's and stays fixed.
     """
-    weight, parents = start.astype(float), np.full(votes.shape[1], -1)
+    weight = start.astype(float)
     prior = float(np.clip(votes[:, -1].mean(), 1e-4, 1 - 1e-4))
-    for phase in range(2):
+    for _ in range(2):
+        # The annotator reads the text, not the other voters.
+        parents = np.append(_tree(votes[:, :-1], weight), -1)
         for _ in range(rounds):
-            model = _fit_tables(votes, weight, parents, prior)
-            moved = model.posterior(votes)
+            moved = _fit_tables(votes, weight, parents, prior).posterior(votes)
             change = np.abs(moved - weight).max(initial=0)
             weight = moved
             if change < 1e-4:
                 break
-        if not phase:
-            parents = _tree(votes, weight)
-            parents[-1] = -1  # the annotator reads the text, not the other voters
     return _fit_tables(votes, weight, parents, prior)
 
 
