@@ -11,15 +11,15 @@ Texts at that similarity share a sketch with a chance of about 0.64, so all twel
 2. Sketches are bucket keys, alone and together with the next sketch.  No pairs of a bucket are
    listed: each member is compared with the hub of its bucket, the member whose sketches are shared
    most.  Copies of one original resemble it more than each other, and it shares most sketches.
-   Members that do not match get the hub of the rest in the next round, until ``rounds`` are done;
-   the rounds bound the work on buckets of unlike texts, and a text has 24 buckets to be found in.
+   Members that do not match it are compared with their neighbours in a random order of the bucket,
+   another one in each of its 24 buckets and in each of the ``rounds``.
 3. Candidates are aligned in a band as wide as the similarity allows; bounds that the alignment
    cannot exceed are tried first.
 4. Links are closed to classes by connected components.
 
 Sizes of buckets and least members are combined in the tasks before shuffles; joins carry no hints, so
-hot buckets are split by the planner.  The text is read twice, for sketches (a map) and for the
-sequences of candidates.
+hot buckets are split by the planner.  The text is read once for sketches and once a round for the
+sequences of new candidates; only candidates' texts are shuffled.
 
 Defined cases: null texts are empty; texts without words are only copies of equal texts; texts of one
 to four words have one shingle, all their words; a class whose documents have no ids has a null id;
@@ -33,7 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cashtide.llm.components import components
@@ -43,6 +43,7 @@ WORDS = 5
 SKETCHES = 12
 SIMILARITY = 0.8
 ROUNDS = 3
+PART_ROWS = 1_000
 PORTION_BYTES = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SEEDS = np.random.default_rng(20240101).integers(1, 2**63, 2 * SKETCHES, dtype=np.uint64) | np.uint64(1)
@@ -194,7 +195,8 @@ def sketches(docs: DataFrame) -> DataFrame:
                         keys.append(k)
                         found.append(sketch(sequence).view(np.int64))
                 at += len(texts)
-            yield pd.DataFrame({"k": keys, "sketches": found})
+            if keys:
+                yield pd.DataFrame({"k": keys, "sketches": found})
 
     rows = docs.select(key_of(F.col("text")).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
     return rows.mapInPandas(run, "k binary, sketches array<long>").dropDuplicates(["k"])
@@ -213,11 +215,36 @@ def hubs(members: DataFrame, weights: DataFrame) -> DataFrame:
     """(k, hub): every member with the member of its bucket whose sketches are shared most."""
     ranked = members.join(weights, "k")
     best = ranked.groupBy("b").agg(F.max(F.struct("weight", "k")).alias("best"))
-    return members.join(best.select("b", F.col("best.k").alias("hub")), "b").where("k <> hub")
+    return members.join(best.select("b", F.col("best.k").alias("hub")), "b").where("k <> hub").select("b", "k", "hub")
 
 
-def sequences(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(k, sequence) of the texts that occur in the pairs."""
+def neighbours(members: DataFrame, open_: DataFrame, turn: int) -> DataFrame:
+    """(b, k, hub): every open member with those before and after it in a random order of its bucket.
+
+    Large buckets are dealt to parts first, so none is sorted in one task.
+    """
+    part = F.pmod(F.xxhash64("k", "b", F.lit(turn)), F.ceil(F.col("n") / PART_ROWS))
+    order = Window.partitionBy("b", "part").orderBy(F.xxhash64("b", "k", F.lit(turn)), "k")
+    flagged = members.join(open_.withColumn("open", F.lit(True)), ["b", "k"], "left")
+    flagged = flagged.join(open_.select("b").distinct(), "b", "left_semi").withColumn("part", part)
+    beside = flagged.withColumn("hubs", F.array(F.lag("k").over(order), F.lead("k").over(order))).where("open")
+    return beside.select("b", "k", F.explode("hubs").alias("hub")).where("hub is not null")
+
+
+def _may_hold(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The rows whose key k may be among the wanted: a bit map of fixed size goes to every task.
+
+    It has 2^18 words at any size of the tables; a full map only lets more rows through.
+    """
+    bit = F.pmod(F.xxhash64("k"), F.lit(1 << 24))
+    mask = F.expr("shiftleft(1L, cast(bit & 63 as int))")
+    words = wanted.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(mask).alias("bits"))
+    marked = rows.withColumn("bit", bit).withColumn("word", F.expr("bit div 64"))
+    return marked.join(F.broadcast(words), "word").where(F.col("bits").bitwiseAND(mask) != 0).drop("bit", "word", "bits")
+
+
+def sequences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(k, sequence) of the wanted texts; other texts are left out before the join."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -227,8 +254,8 @@ def sequences(docs: DataFrame, pairs: DataFrame) -> DataFrame:
                 yield pd.DataFrame({"k": batch["k"].iloc[at : at + len(texts)].tolist(), "sequence": rows})
                 at += len(texts)
 
-    wanted = pairs.select("k").union(pairs.select("hub")).distinct()
     rows = docs.select(key_of(F.col("text")).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = _may_hold(rows, wanted)
     return rows.join(wanted, "k").dropDuplicates(["k"]).mapInPandas(run, "k binary, sequence array<long>")
 
 
@@ -244,45 +271,51 @@ def verified(pairs: DataFrame, found: DataFrame, least: float = SIMILARITY) -> D
     return pairs.join(found, "k").join(other, "hub").select("k", "hub", "sequence", "other").mapInPandas(run, "k binary, hub binary, similarity double")
 
 
+def _ordered(asked: DataFrame, *kept: str) -> DataFrame:
+    return asked.select(*kept, F.greatest("k", "hub").alias("k"), F.least("k", "hub").alias("hub"))
+
+
 def links(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
-    """(k, hub, similarity): verified links between different texts, by their keys."""
+    """(k, hub, similarity): verified links between different texts, by their keys (k > hub)."""
     members = materialize(buckets(sketches(docs)), "buckets")
     weights = materialize(members.groupBy("k").agg(F.sum("n").alias("weight")), "weights")
-    members = members.select("b", "k")
-    found = tried = payload = None
-    for _ in range(rounds):
-        star = materialize(hubs(members, weights), "stars")
-        pairs = star.select("k", "hub").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried, ["k", "hub"], "left_anti")
-        pairs = materialize(pairs, "pairs")
+    asked = materialize(hubs(members.select("b", "k"), weights), "asked")
+    open_ = asked.select("b", "k")
+    found = docs.sparkSession.createDataFrame([], "k binary, hub binary, similarity double")
+    tried, payload = found.select("k", "hub"), docs.sparkSession.createDataFrame([], "k binary, sequence array<long>")
+    for turn in range(rounds):
+        pairs = materialize(_ordered(asked).distinct().join(tried, ["k", "hub"], "left_anti"), "pairs")
         if pairs.isEmpty():
             break
-        payload = materialize(sequences(docs, pairs), "sequences") if payload is None else materialize(
-            payload.unionByName(sequences(docs, pairs)).dropDuplicates(["k"]), "sequences")
-        new = materialize(verified(pairs, payload, least), "links")
-        found = new if found is None else found.unionByName(new)
-        tried = pairs if tried is None else tried.unionByName(pairs)
-        # The next round is for members that did not match their hub.
-        members = materialize(star.join(found.select("k", "hub"), ["k", "hub"], "left_anti").select("b", "k"), "members")
-    empty = docs.sparkSession.createDataFrame([], "k binary, hub binary, similarity double")
-    return empty if found is None else found
+        wanted = pairs.select("k").union(pairs.select("hub")).distinct().join(payload.select("k"), "k", "left_anti")
+        payload = payload.unionByName(materialize(sequences(docs, materialize(wanted, "wanted")), "sequences"))
+        found = found.unionByName(materialize(verified(pairs, payload, least), "links"))
+        tried = tried.unionByName(pairs)
+        if turn + 1 < rounds:
+            # Members that none of those they were compared with in a bucket resembles stay open there.
+            answered = asked.withColumns({"x": F.greatest("k", "hub"), "y": F.least("k", "hub")})
+            linked = found.select(F.col("k").alias("x"), F.col("hub").alias("y"))
+            matched = answered.join(linked, ["x", "y"], "left_semi").select("b", "k")
+            open_ = materialize(open_.join(matched, ["b", "k"], "left_anti"), "open")
+            asked = materialize(neighbours(members, open_, turn), "asked")
+    return found
 
 
 def text_classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
-    """(k, root, doc_id, repeats, n): per different text its class, least id, rows with it, and rows."""
+    """(k, root, doc_id, repeats, least, n) per different text: class, first id (null ids first) and rows
+    with it, least id that is not null, rows with the text."""
     root = components(links(docs, least, rounds), "k", "hub")
     ids = docs.select(key_of(F.col("text")).alias("k"), "doc_id").groupBy("k", "doc_id").agg(F.count(F.lit(1)).alias("repeats"))
-    texts = ids.groupBy("k").agg(F.min(F.struct("doc_id", "repeats")).alias("first"), F.sum("repeats").alias("n"))
+    texts = ids.groupBy("k").agg(F.min(F.struct("doc_id", "repeats")).alias("first"), F.min("doc_id").alias("least"), F.sum("repeats").alias("n"))
     joined = texts.join(root, texts["k"] == root["node"], "left")
-    return joined.select("k", F.coalesce("root", "k").alias("root"), "first.doc_id", "first.repeats", "n")
+    return joined.select("k", F.coalesce("root", "k").alias("root"), "first.doc_id", "first.repeats", "least", "n")
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
     """doc_id, class_id (least id of its class) and class_size (documents) of every row."""
     docs = docs.select("doc_id", "text")
     texts = materialize(text_classes(docs, least, rounds), "texts")
-    sizes = texts.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.sum("n").alias("class_size"))
+    sizes = texts.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"))
     classes = texts.select("k", "root").join(sizes, "root").drop("root")
     return docs.select("doc_id", key_of(F.col("text")).alias("k")).join(classes, "k").select("doc_id", "class_id", "class_size")
 
