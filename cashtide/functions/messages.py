@@ -5,6 +5,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Messages are strict JSON, whatever kind they are.
+STRICT_JSON = {"mode": "PERMISSIVE", "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
 
 def json_message(columns: Sequence[Column | str], message_type: str | None = None) -> Column:
     """Encode columns as one JSON object, with a leading ``type`` field if given."""

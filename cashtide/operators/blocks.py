@@ -6,8 +6,9 @@ ordered rows are cut into blocks.  A first pass sums each block, a prefix over t
 gives every block its opening values, and the row-level window is partitioned by (key, block).
 
 Blocks are stretches of event time, as wide as ``max_rows`` allows.  If even the narrowest
-stretch of some key holds more, rows are range-partitioned on (key, order) instead: Spark then
-picks the bounds from the data, so ties in time are split too.
+stretch of some key holds more, the rows of that key are range-partitioned on (key, order) instead:
+Spark then picks the bounds from the data, so ties in time are split too.  The number of ranges is
+bounded; beyond it ranges grow, and sorting spills.
 """
 
 from dataclasses import dataclass
@@ -22,6 +23,7 @@ from cashtide.sources.workspace import materialize
 
 BLOCK = "_block"
 MAX_BLOCK_ROWS = 2_000_000
+MAX_RANGES = 20_000
 _WIDTHS = [86_400, 3_600, 300, 60]  # seconds, each a multiple of the last
 _ROWS = "_rows"
 _FIRST_TIME = "_first_time"
@@ -115,6 +117,18 @@ def _cut(work, keys, order, sums, max_rows):
 
     base = _WIDTHS[-1]
     fine = totals_of(work.withColumn(BLOCK, time_block(base)), "block-totals")
+    hot = fine.groupBy(*keys).agg(F.max(_ROWS).alias("_most"), F.sum(_ROWS).alias("_all")).where(F.col("_most") > max_rows)
+    hot = materialize(hot, "hot-keys")
+    in_hot = hot.agg(F.sum("_all")).first()[0]
+    if in_hot:
+        # Only keys that need it are cut in ranges; the others keep their blocks of time.
+        parts = max(2, min(MAX_RANGES, -(-4 * in_hot // max_rows)))
+        ranged = work.join(hot.select(*keys), keys, "left_semi").repartitionByRange(parts, *keys, *order)
+        # Stored before use: the block numbers must be the same wherever they are read.
+        stored = materialize(ranged.withColumn(BLOCK, F.spark_partition_id().cast("long")), "ranged")
+        totals = totals_of(stored, "range-totals")
+        work = work.join(hot.select(*keys), keys, "left_anti")
+        fine = fine.join(hot.select(*keys), keys, "left_anti")
     for width in _WIDTHS:
         coarse = fine.withColumn(BLOCK, F.floor(F.col(BLOCK) * base / F.lit(width)).cast("long"))
         coarse = coarse.groupBy(*keys, BLOCK).agg(
@@ -122,15 +136,13 @@ def _cut(work, keys, order, sums, max_rows):
             F.min(_FIRST_TIME).alias(_FIRST_TIME),
             *[F.sum(s).cast(TOTAL_CENTS).alias(s) for s in sums],
         )
-        largest, total = coarse.agg(F.max(_ROWS), F.sum(_ROWS)).first()
+        largest = coarse.agg(F.max(_ROWS)).first()[0]
         if (largest or 0) <= max_rows:
-            return work.withColumn(BLOCK, time_block(width)), coarse
-
-    parts = max(2, -(-4 * total // max_rows))
-    ranged = work.repartitionByRange(parts, *keys, *order)
-    # Stored before use: the block numbers must be the same wherever they are read.
-    stored = materialize(ranged.withColumn(BLOCK, F.spark_partition_id().cast("long")), "ranged")
-    return stored, totals_of(stored, "range-totals")
+            break
+    blocked = work.withColumn(BLOCK, time_block(width))
+    if in_hot:
+        return blocked.unionByName(stored.select(*blocked.columns)), coarse.unionByName(totals.select(*coarse.columns))
+    return blocked, coarse
 
 
 def _block_openings(blocked, totals, keys, order, sums, latest, next_time, opening):

@@ -4,6 +4,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cashtide import schemas as S
 from cashtide.functions.money import wide_sum
@@ -69,6 +70,27 @@ def update_feed_health(
     return stale_at(merged, F.col("last_check_time"), timeout_seconds)
 
 
+SECONDS = T.StructType(
+    [T.StructField("rail", T.StringType()), T.StructField("second", T.TimestampType()), T.StructField("events", T.LongType())]
+)
+
+
+def merge_seconds(counts: DataFrame, payments: DataFrame, moment: datetime) -> DataFrame:
+    """Events per rail and second of the last minute before ``moment``, with those of new payments."""
+    new = payments.groupBy("rail", F.date_trunc("second", "event_time").alias("second")).agg(F.count(F.lit(1)).alias("events"))
+    recent = (F.col("second") > F.lit(moment) - F.expr("INTERVAL 1 MINUTE")) & (F.col("second") <= F.lit(moment))
+    return counts.unionByName(new).where(recent).groupBy("rail", "second").agg(F.sum("events").alias("events"))
+
+
+def health_from(table: DataFrame, payments: DataFrame, counts: DataFrame, moment: datetime) -> DataFrame:
+    """The feed-health table after new payments: every rail has a row, event times never go back."""
+    rails = payments.sparkSession.createDataFrame([(r,) for r in S.RAILS], "rail STRING")
+    last = table.select("rail", "last_event_time").unionByName(payments.select("rail", F.col("event_time").alias("last_event_time")))
+    last = last.groupBy("rail").agg(F.max("last_event_time").alias("last_event_time"))
+    minute = counts.groupBy("rail").agg(F.sum("events").alias("event_count_1min"))
+    return stale_at(rails.join(last, "rail", "left").join(minute, "rail", "left"), F.lit(moment))
+
+
 def stale_at(health: DataFrame, moment: Column, timeout_seconds: int = S.STALE_FEED_SECONDS) -> DataFrame:
     """Feed-health rows with the stale columns judged at ``moment``."""
     is_stale = F.col("last_event_time").isNull() | (

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from cashtide import schemas as S
 from cashtide.functions.keys import account_key
-from cashtide.functions.messages import json_message
+from cashtide.functions.messages import STRICT_JSON, json_message
 from cashtide.functions.money import to_cents, to_money
 from cashtide.functions.times import iso_utc, parse_iso
 from cashtide.operators.merges import latest_per_key, upsert
@@ -16,7 +16,7 @@ _VERSION = ["updated_at", "seq"]
 
 def decode_updates(df: DataFrame, *extra: str, raw: str = "raw") -> DataFrame:
     """Threshold messages (JSON text) to update rows with an ``error`` column (NULL if usable)."""
-    p = df.withColumn("_t", F.from_json(raw, S.THRESHOLD_TEXT, {"mode": "PERMISSIVE"}))
+    p = df.withColumn("_t", F.from_json(raw, S.THRESHOLD_TEXT, STRICT_JSON))
     updates = p.select(
         "_t.currency",
         "_t.settlement_account",
@@ -59,8 +59,13 @@ def rejected(checked: DataFrame) -> DataFrame:
 
 
 def latest_thresholds(updates: DataFrame) -> DataFrame:
-    """The newest update of each account (what a compacted topic keeps)."""
-    return latest_per_key(updates, S.ACCOUNT_KEY, _VERSION)
+    """The newest update of each account (what a compacted topic keeps).
+
+    The newest times are a hash aggregate, so updates are not sorted; only those of that time are.
+    """
+    newest = updates.groupBy(*S.ACCOUNT_KEY).agg(F.max("updated_at").alias("_newest"))
+    at_newest = updates.join(newest, S.ACCOUNT_KEY).where(F.col("updated_at").eqNullSafe(F.col("_newest")))
+    return latest_per_key(at_newest.select(*updates.columns), S.ACCOUNT_KEY, _VERSION)
 
 
 def publish_updates(updates: DataFrame, current: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:

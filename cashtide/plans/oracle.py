@@ -200,13 +200,21 @@ _PENDING_COLUMNS = f"""payment_id, currency, settlement_account, {_money('cents'
 PENDING = f"""
 queued AS (
   SELECT {_PENDING_COLUMNS},
-         CASE WHEN seq % 20 IN (0, 5) THEN 'PENDING' WHEN seq % 20 = 10 THEN 'SETTLED'
-              WHEN seq % 40 = 15 THEN 'CANCELLED' ELSE 'FAILED' END AS status,
+         CASE WHEN seq % 8 < 5 THEN 'PENDING' WHEN seq % 8 = 5 THEN 'SETTLED'
+              WHEN seq % 8 = 6 THEN 'CANCELLED' ELSE 'FAILED' END AS status,
          {PENDING_NOW} - TO_HOURS(seq % 48) AS created_at
-  FROM payments WHERE seq % 5 = 0),
+  FROM payments),
+order_payments AS (
+  SELECT 'O' || o_orderkey AS payment_id, {_currency('o_custkey % 7')} AS currency,
+         {_account('o_custkey % 7')} AS settlement_account, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents,
+         CASE WHEN o_orderstatus = 'O' THEN 'CREDIT' ELSE 'DEBIT' END AS direction,
+         CASE o_orderkey % 3 WHEN 0 THEN 'RTGS' WHEN 1 THEN 'CHAPS' ELSE 'INTERNAL' END AS rail,
+         'C' || o_custkey AS counterparty, o_orderkey AS seq
+  FROM orders),
 incoming AS (
-  SELECT {_PENDING_COLUMNS}, 'PENDING' AS status, {PENDING_NOW} AS created_at
-  FROM payments WHERE seq % 5 = 1 OR seq % 20 = 0),
+  SELECT {_PENDING_COLUMNS}, 'PENDING' AS status, {PENDING_NOW} AS created_at FROM payments
+  UNION ALL
+  SELECT {_PENDING_COLUMNS}, 'PENDING' AS status, {PENDING_NOW} AS created_at FROM order_payments),
 expired AS (
   SELECT * REPLACE (CASE WHEN status = 'PENDING' AND expected_settlement_time < {PENDING_NOW}
                          THEN 'SETTLED' ELSE status END AS status),
@@ -219,13 +227,19 @@ swept AS (
   SELECT *, status IN ('SETTLED', 'CANCELLED', 'FAILED') AND created_at < {PENDING_NOW} - INTERVAL 24 HOURS AS gone
   FROM merged)"""
 
-_HEALTH = f"""
-health AS (
-  SELECT rail, MAX(event_time) AS last_event_time, {NOW} AS last_check_time,
-         {NOW} - INTERVAL 60 SECONDS > MAX(event_time) AS is_stale,
-         CASE WHEN {NOW} - INTERVAL 60 SECONDS > MAX(event_time) THEN MAX(event_time) END AS stale_since,
-         COUNT(*) FILTER (WHERE event_time > {NOW} - INTERVAL 1 MINUTE) AS event_count_1min
-  FROM payments WHERE event_time <= {NOW} GROUP BY rail)"""
+
+
+def _health(now):
+    return f"""
+  SELECT rail, MAX(event_time) AS last_event_time, {now} AS last_check_time,
+         {now} - INTERVAL 60 SECONDS > MAX(event_time) AS is_stale,
+         CASE WHEN {now} - INTERVAL 60 SECONDS > MAX(event_time) THEN MAX(event_time) END AS stale_since,
+         COUNT(*) FILTER (WHERE event_time > {now} - INTERVAL 1 MINUTE) AS event_count_1min
+  FROM payments WHERE event_time <= {now} GROUP BY rail"""
+
+
+_HEALTH = f"health AS ({_health(NOW)})"
+HEALTH_NOW = "TIMESTAMP '2024-01-30 20:00:00'"
 
 
 def _rail(table, topic, rail, name, who, cents):
@@ -299,12 +313,14 @@ SELECT seq, currency, settlement_account,
 FROM updates WHERE seq % 50 IN (0, 1)""",
     "threshold_upsert": f"""WITH {UPDATES}
 SELECT currency, settlement_account, {_money('warning')} AS warning_threshold,
-       {_money('critical')} AS critical_threshold, updated_at, updated_by FROM latest""",
+       {_money('critical')} AS critical_threshold, updated_at, updated_by
+FROM good_updates WHERE updated_at < {PENDING_NOW} OR currency <> 'EUR'
+QUALIFY ROW_NUMBER() OVER (PARTITION BY currency, settlement_account ORDER BY updated_at DESC, seq DESC) = 1""",
     "threshold_messages": f"""WITH {UPDATES}
 SELECT 'liquidity.thresholds' AS topic, currency || ':' || settlement_account AS key,
        {_money('warning')} AS warning_threshold, {_money('critical')} AS critical_threshold, updated_by,
        STRFTIME(updated_at, '%Y-%m-%dT%H:%M:%S.%gZ') AS updated_at
-FROM good_updates WHERE updated_at >= {PENDING_NOW}""",
+FROM good_updates WHERE updated_at >= {PENDING_NOW} AND currency <> 'EUR'""",
     "payments_valid": f"""WITH {FEED}
 SELECT payment_id, currency, settlement_account, direction, rail, counterparty, event_time, seq,
        {_money('cents')} AS amount FROM valid""",
@@ -331,7 +347,15 @@ SELECT currency || ':' || settlement_account AS key, event_time AS stale_since,
        event_time + INTERVAL 7200 SECONDS AS detected_at, next_time AS recovered_at
 FROM nexts WHERE COALESCE(next_time, {NOW}) > event_time + INTERVAL 7200 SECONDS""",
     "rail_health": f"WITH {PAYMENTS}, {_HEALTH} SELECT * FROM health",
-    "feed_health_table": f"WITH {PAYMENTS}, {_HEALTH} SELECT * FROM health",
+    "feed_health_table": f"""WITH {PAYMENTS}, {_HEALTH}, older AS ({_health(PENDING_NOW)})
+SELECT * FROM health WHERE rail <> 'CHAPS' UNION ALL SELECT * FROM older WHERE rail = 'CHAPS'""",
+    "stream_feed_health": f"""WITH {PAYMENTS}, moved AS (
+  SELECT * REPLACE (CASE WHEN rail = 'CHAPS' AND event_time >= TIMESTAMP '2024-01-30 00:00:00' THEN 'RTGS' ELSE rail END AS rail)
+  FROM payments)
+SELECT rail, CAST(MAX(event_time) < {HEALTH_NOW} - INTERVAL 12 HOURS AS INTEGER) AS value, MAX(event_time) AS last_event_time,
+       COUNT(*) FILTER (WHERE DATE_TRUNC('second', event_time) > {HEALTH_NOW} - INTERVAL 1 MINUTE
+                        AND DATE_TRUNC('second', event_time) <= {HEALTH_NOW}) AS event_count_1min
+FROM moved GROUP BY rail""",
     "feed_status": f"WITH {PAYMENTS}, {_HEALTH} SELECT rail, CAST(CASE WHEN is_stale THEN 1 ELSE 0 END AS INTEGER) AS value FROM health",
     "rail_volume_by_hours": f"""WITH {PAYMENTS}
 SELECT rail, STRFTIME(event_time, '%H:%M') BETWEEN '07:00' AND '18:00' AS in_business_hours,
@@ -362,4 +386,5 @@ SELECT {_ALERT_COLUMNS} FROM alerts""",
 }
 
 ORACLE["batch_stream_positions"] = ORACLE["stream_positions"]
+ORACLE["stream_positions_many_batches"] = f"SELECT * EXCLUDE (last_payment_id, event_time) FROM ({ORACLE['stream_positions']})"
 ORACLE["batch_stream_alerts"] = ORACLE["stream_alerts"]

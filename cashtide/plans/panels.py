@@ -79,8 +79,9 @@ def pending_queue(table: DataFrame, as_of: datetime) -> DataFrame:
     )
 
 
-def feed_status(health: DataFrame) -> DataFrame:
-    return feeds.stale_flags(health).orderBy("rail")
+def feed_status(health: DataFrame, as_of: datetime, timeout_seconds: int = S.STALE_FEED_SECONDS) -> DataFrame:
+    """0/1 per rail at ``as_of``: a feed that is dead by then shows as stale though no row arrived since."""
+    return feeds.stale_flags(feeds.stale_at(health, F.lit(as_of), timeout_seconds)).orderBy("rail")
 
 
 def threshold_list(thresholds: DataFrame) -> DataFrame:

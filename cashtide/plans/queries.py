@@ -20,6 +20,8 @@ AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 PENDING_AS_OF = datetime(2024, 1, 15, 12, tzinfo=timezone.utc)
 # The derived feed has minutes between payments; 60 s would flag nearly every row.
 GAP_SECONDS = 7_200
+HEALTH_AS_OF = datetime(2024, 1, 30, 20, tzinfo=timezone.utc)
+HEALTH_TIMEOUT_SECONDS = 43_200
 
 QUERIES = {}
 
@@ -267,7 +269,9 @@ def _published(spark, sf_dir):
     noon = F.lit(PENDING_AS_OF)
     before = thresholds.accepted(thresholds.check_updates(updates.where(F.col("updated_at") < noon)))
     current = thresholds.latest_thresholds(before)
-    return thresholds.publish_updates(updates.where(F.col("updated_at") >= noon), current)
+    # The desk for EUR publishes nothing in the second half: its thresholds must stay.
+    later = updates.where((F.col("updated_at") >= noon) & (F.upper("currency") != "EUR"))
+    return thresholds.publish_updates(later, current)
 
 
 @query
@@ -365,16 +369,17 @@ def rail_health(spark, sf_dir):
 
 @query
 def feed_health_table(spark, sf_dir):
-    """Feed-health table after merging a newer observation of every rail over an older one."""
+    """Feed-health table after merging a newer observation of two rails over an older one of all."""
     payments = _payments(spark, sf_dir)
     older = feeds.rail_health(payments, PENDING_AS_OF)
-    return feeds.update_feed_health(older, feeds.rail_health(payments, AS_OF))
+    newer = feeds.rail_health(payments, AS_OF).where(F.col("rail") != "CHAPS")
+    return feeds.update_feed_health(older, newer)
 
 
 @query
 def feed_status(spark, sf_dir):
     """0/1 stale flag per rail."""
-    return panels.feed_status(feeds.rail_health(_payments(spark, sf_dir), AS_OF))
+    return panels.feed_status(feeds.rail_health(_payments(spark, sf_dir), AS_OF), AS_OF)
 
 
 @query
@@ -388,7 +393,8 @@ def rail_volume_by_hours(spark, sf_dir):
 
 def _refreshed(spark, sf_dir):
     events = _events(spark, sf_dir)
-    return pending.refresh_pending(D.pending_current(events), D.pending_incoming(events), PENDING_AS_OF)
+    incoming = D.pending_incoming(events, D.table(spark, sf_dir, "orders"))
+    return pending.refresh_pending(D.pending_current(events), incoming, PENDING_AS_OF)
 
 
 @query
@@ -473,6 +479,41 @@ def stream_dlq(spark, sf_dir):
     return quality.dead_letters(*parts).drop("detected_at")
 
 
+def _files_stream(spark, sf_dir, files=4):
+    """The feed as a stream of several files, one in each micro-batch."""
+    folder = new_path(spark, "events-files")
+    _events(spark, sf_dir).repartitionByRange(files, "ts", "event_id").write.parquet(folder)
+    return spark.readStream.schema(D.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+@query
+def stream_positions_many_batches(spark, sf_dir):
+    """Positions of the table-state engine when the feed comes in several micro-batches, with copies in all.
+
+    Files come in any order, and so does the last payment, which is left out.
+    """
+    output = _new_output(spark, "many")
+    checked = quality.check(D.raw_feed(_files_stream(spark, sf_dir)))
+    jobs.run_to_end(batches.start_batches(checked, None, output, available_now=True))
+    return jobs.positions_table(spark, output).read().drop("last_updated", "last_payment_id", "event_time")
+
+
+@query
+def stream_feed_health(spark, sf_dir):
+    """0/1 per rail at ``AS_OF`` from the feed-health table of a stream of several micro-batches.
+
+    CHAPS falls silent on the 30th: its later payments come by RTGS.
+    """
+    output, silent = _new_output(spark, "health"), F.lit("2024-01-30 00:00:00+00:00").cast("timestamp")
+    payments = D.payments(_files_stream(spark, sf_dir))
+    moved = (F.col("rail") == "CHAPS") & (F.col("event_time") >= silent)
+    payments = payments.withColumn("rail", F.when(moved, "RTGS").otherwise(F.col("rail")))
+    jobs.run_to_end(jobs.start_feed_health(payments, output, available_now=True, as_of=HEALTH_AS_OF))
+    health = jobs.feed_health_table(spark, output).read()
+    flags = panels.feed_status(health, HEALTH_AS_OF, HEALTH_TIMEOUT_SECONDS)
+    return flags.join(health.select("rail", "last_event_time", "event_count_1min"), "rail")
+
+
 def _batches_output(spark, sf_dir):
     output = _new_output(spark, "batches")
     checked, updates = _checked_stream(spark, sf_dir), _updates_stream(spark, sf_dir)

@@ -31,11 +31,6 @@ AMOUNT_RANGES = {
     "CHAPS": (1_000_000, 100_000_000),
     "INTERNAL": (100_000, 50_000_000),
 }
-ACCOUNTS = {
-    "GBP": ["RTGS-GBP-001", "CHAPS-GBP-001", "INTERNAL-GBP-001"],
-    "USD": ["NOSTRO-USD-001", "NOSTRO-USD-002"],
-    "EUR": ["NOSTRO-EUR-001", "NOSTRO-EUR-002"],
-}
 PENDING_STATUSES = ["PENDING", "SETTLED", "FAILED", "CANCELLED"]
 CLOSED_STATUSES = ["SETTLED", "CANCELLED", "FAILED"]
 STALE_FEED_SECONDS = 60
@@ -186,3 +181,6 @@ TABLE_KEYS = {
     "pending_payments": ["payment_id"],
     "alert_log": ["payment_id", "alert_type", *ACCOUNT_KEY],
 }
+
+# One row per account or rail, so one task may read them from a database.
+SMALL_TABLES = ["feed_health", "liquidity_positions", "thresholds"]

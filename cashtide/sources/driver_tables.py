@@ -176,28 +176,41 @@ def rail_feeds(events: DataFrame, orders: DataFrame, lineitem: DataFrame) -> lis
 
 
 def pending_current(events: DataFrame) -> DataFrame:
-    """The stored queue: every fifth event, in all four states."""
-    rest = F.col("event_id") % 20
-    status = F.when(rest.isin(0, 5), "PENDING").when(rest == 10, "SETTLED").otherwise(
-        F.when(F.col("event_id") % 40 == 15, "CANCELLED").otherwise("FAILED")
-    )
+    """The stored queue: every event, in all four states."""
+    rest = F.col("event_id") % 8
+    status = F.when(rest < 5, "PENDING").when(rest == 5, "SETTLED").when(rest == 6, "CANCELLED").otherwise("FAILED")
     created = _pending_noon() - F.make_interval(hours=(F.col("event_id") % 48).cast("int"))
-    return _pending(events.where(F.col("event_id") % 5 == 0), status, created)
+    return _pending(payments(events, status.alias("status"), created.alias("created_at")))
+
 
+def pending_incoming(events: DataFrame, orders: DataFrame) -> DataFrame:
+    """A new load: every order, and every event again, whose ids are queued already and must be ignored."""
+    status, created = F.lit("PENDING").alias("status"), _pending_noon().alias("created_at")
+    return _pending(payments(events, status, created)).unionByName(_pending(order_payments(orders).select("*", status, created)))
 
-def pending_incoming(events: DataFrame) -> DataFrame:
-    """A new load: other events, and ids that are queued already and must be ignored."""
-    chosen = events.where((F.col("event_id") % 5 == 1) | (F.col("event_id") % 20 == 0))
-    return _pending(chosen, F.lit("PENDING"), _pending_noon())
+
+def order_payments(orders: DataFrame) -> DataFrame:
+    """One payment per order, of the customer's account."""
+    account = F.col("o_custkey") % 7
+    return orders.select(
+        F.concat(F.lit("O"), F.col("o_orderkey")).alias("payment_id"),
+        _pick(account, _CURRENCY_BY_REST).alias("currency"),
+        _pick(account, _ACCOUNT_BY_REST).alias("settlement_account"),
+        to_cents(F.col("o_totalprice")).alias("amount_cents"),
+        F.when(F.col("o_orderstatus") == "O", "CREDIT").otherwise("DEBIT").alias("direction"),
+        _pick(F.col("o_orderkey") % 3, _RAIL_BY_REST).alias("rail"),
+        F.concat(F.lit("C"), F.col("o_custkey")).alias("counterparty"),
+        F.col("o_orderdate").cast("timestamp").alias("event_time"),
+        F.col("o_orderkey").alias("seq"),
+    )
 
 
 def _pending_noon() -> Column:
     return F.lit("2024-01-15 12:00:00+00:00").cast("timestamp")
 
 
-def _pending(events: DataFrame, status: Column, created: Column) -> DataFrame:
+def _pending(p: DataFrame) -> DataFrame:
     due = _pending_noon() + F.make_interval(mins=((F.col("seq") * 7) % 360 - 120).cast("int"))
-    p = payments(events, status.alias("status"), created.alias("created_at"))
     return p.select(
         "payment_id",
         "currency",

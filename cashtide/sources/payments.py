@@ -9,13 +9,13 @@ from cashtide import schemas as S
 from cashtide.functions.keys import account_key
 from cashtide.functions.times import parse_iso
 
-# One trigger admits at most this many records, which bounds what a single hot account can bring
-# to one task of the keyed processor.
-MAX_RECORDS_PER_TRIGGER = 500_000
 
+def kafka_options(servers: str, topics: list[str], per_trigger: int | None = None) -> dict[str, str]:
+    """Source options: first start reads from the earliest offset, later ones from the checkpoint.
 
-def kafka_options(servers: str, topics: list[str], per_trigger: int | None = MAX_RECORDS_PER_TRIGGER) -> dict[str, str]:
-    """Source options: first start reads from the earliest offset, later ones from the checkpoint."""
+    ``per_trigger`` bounds the records of a trigger; the keyed engine needs it where one account can
+    bring more than a task holds.
+    """
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": ",".join(topics),

@@ -16,12 +16,30 @@ def jdbc_options(url: str, table: str, user: str | None = None, password: str |
     return options
 
 
-def load_table(spark: SparkSession, name: str, root: str | None = None, jdbc: dict[str, str] | None = None) -> DataFrame:
-    """A stored table by name, from a parquet root or from a database."""
+def jdbc_partitions(column: str, lower: str, upper: str, partitions: int) -> dict[str, str]:
+    """Options that read a large table in ranges of a number or time column, one task each."""
+    bounds = {"partitionColumn": column, "lowerBound": lower, "upperBound": upper}
+    return {**bounds, "numPartitions": str(partitions)}
+
+
+def load_table(
+    spark: SparkSession,
+    name: str,
+    root: str | None = None,
+    jdbc: dict[str, str] | None = None,
+    ranges: dict[str, str] | None = None,
+) -> DataFrame:
+    """A stored table by name, from a parquet root or from a database.
+
+    From a database the append-only tables need ``ranges`` (see ``jdbc_partitions``); only the small
+    keyed tables are read by one task.
+    """
     if name not in S.TABLES:
         raise ValueError(f"unknown table {name!r}")
     if jdbc is not None:
-        return spark.read.format("jdbc").options(**{**jdbc, "dbtable": name}).load()
+        if ranges is None and name not in S.SMALL_TABLES:
+            raise ValueError(f"{name} can be large: say how to split its reading")
+        return spark.read.format("jdbc").options(**{**jdbc, **(ranges or {}), "dbtable": name}).load()
     return spark.read.schema(S.TABLES[name]).parquet(f"{root}/{name}")
 
 
@@ -37,11 +55,17 @@ def write_batch(rows: DataFrame, folder: str, batch_id: int) -> None:
 
 
 def read_batches(spark: SparkSession, folder: str, schema) -> DataFrame:
-    """All batches of an append-only table (no rows if nothing was written)."""
+    """All finished batches of an append-only table (no rows if nothing was written)."""
     if not _exists(spark, folder):
         return spark.createDataFrame([], schema)
+    files, path = _file_system(spark, folder)
+    names = [status.getPath().getName() for status in files.listStatus(path)]
+    done = [n for n in names if n.startswith("batch=") and files.exists(_path(spark, f"{folder}/{n}/_SUCCESS"))]
+    if not done:
+        return spark.createDataFrame([], schema)
     columns = [f.name for f in schema.fields]
-    return spark.read.option("basePath", folder).schema(schema).parquet(folder).select(*columns)
+    reader = spark.read.option("basePath", folder).schema(schema)
+    return reader.parquet(*[f"{folder}/{n}" for n in sorted(done)]).select(*columns)
 
 
 class VersionedTable:

@@ -5,8 +5,6 @@ payment id, running balances in blocks (``operators.blocks``), and the state bet
 tables in the shared folder, read as of the previous batch so that a replay repeats exactly.
 """
 
-from datetime import timedelta
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +15,7 @@ from cashtide.operators import duplicates, quality
 from cashtide.operators.merges import latest_per_key
 from cashtide.operators.positions import position_ledger
 from cashtide.sources.tables import VersionedTable, read_batches, write_batch
+from cashtide.sources.workspace import materialize
 from cashtide.streaming.jobs import Output, configure, keyed_input, start, write_letters, write_positions
 from cashtide.streaming.processor import PAYMENT_KIND, THRESHOLD_KIND
 
@@ -32,7 +31,7 @@ STATE = T.StructType(
         T.StructField("bounds", _BOUNDS),
     ]
 )
-SEEN = T.StructType([T.StructField(n, T.StringType()) for n in duplicates.PAYMENT_KEY] + [T.StructField("day", T.DateType())])
+SEEN = T.StructType([T.StructField(n, T.StringType()) for n in duplicates.PAYMENT_KEY])
 
 
 def start_batches(
@@ -40,44 +39,47 @@ def start_batches(
     updates: DataFrame | None,
     output: Output,
     available_now: bool = False,
-    seen_days: int | None = 1,
 ) -> StreamingQuery:
-    """Same inputs and tables as ``jobs.start_engine``; ids are remembered for whole days of arrival."""
+    """Same inputs and tables as ``jobs.start_engine``, and the same rule: ids are kept for ever."""
     configure(checked.sparkSession)
     writer = keyed_input(checked, updates).writeStream.foreachBatch(
-        lambda batch, batch_id: process_batch(batch, batch_id, output, seen_days)
+        lambda batch, batch_id: process_batch(batch, batch_id, output)
     )
     return start(writer, "batches", output, available_now)
 
 
-def process_batch(batch: DataFrame, batch_id: int, output: Output, seen_days: int | None = 1) -> None:
-    spark = batch.sparkSession
+def process_batch(batch: DataFrame, batch_id: int, output: Output) -> None:
     batch = batch.persist()
-    first_arrival = batch.agg(F.min("arrived")).first()[0]
-    if first_arrival is None:
+    try:
+        if not batch.isEmpty():
+            _process(batch, batch_id, output)
+    finally:
         batch.unpersist()
-        return
+
+
+def _process(batch: DataFrame, batch_id: int, output: Output) -> None:
+    spark = batch.sparkSession
     state = VersionedTable(spark, output.table("account_state"), STATE)
     opening = state.read(before=batch_id)
     payments = batch.where(F.col("kind") == PAYMENT_KIND).drop("kind", "warning_cents", "critical_cents", "has_warning", "has_critical")
     changes = _threshold_changes(batch)
 
-    seen = _seen_before(spark, output, batch_id, first_arrival, seen_days)
     repeated = duplicates.repeated_ids(payments, ARRIVAL_ORDER)
     firsts = duplicates.first_occurrences(payments, ARRIVAL_ORDER, repeated)
-    fresh = firsts.join(seen, duplicates.PAYMENT_KEY, "left_anti")
+    # Ids of earlier batches are unique and read once: stored with each row, for both uses below.
+    known = _seen_before(spark, output, batch_id).withColumn("_known", F.lit(True))
+    firsts = materialize(firsts.join(known, duplicates.PAYMENT_KEY, "left"), "marked")
+    fresh = firsts.where("_known IS NULL").drop("_known")
     ledger_folder = output.table("position_ledger")
     write_batch(position_ledger(fresh, changes, opening=opening, time="arrived"), ledger_folder, batch_id)
     ledger = spark.read.parquet(f"{ledger_folder}/batch={batch_id}")  # one computation for all that follows
 
-    new_ids = ledger.select(*duplicates.PAYMENT_KEY, F.to_date("arrived").alias("day"))
-    new_ids.write.mode("overwrite").partitionBy("day").parquet(f"{output.table('seen')}/batch={batch_id}")
+    write_batch(ledger.select(*duplicates.PAYMENT_KEY), output.table("seen"), batch_id)
     write_positions(ledger, batch_id, output)
-    copies = duplicates.later_copies(payments, ARRIVAL_ORDER, repeated).unionByName(firsts.join(seen, duplicates.PAYMENT_KEY, "left_semi"))
+    copies = duplicates.later_copies(payments, ARRIVAL_ORDER, repeated).unionByName(firsts.where("_known").drop("_known"))
     letters = duplicates.duplicate_letters(copies)
     write_letters(quality.dead_letters(letters), "payments_dlq_duplicates", batch_id, output)
     state.write(_next_state(opening, ledger, changes), batch_id)
-    batch.unpersist()
 
 
 def _threshold_changes(batch: DataFrame) -> DataFrame:
@@ -90,13 +92,10 @@ def _threshold_changes(batch: DataFrame) -> DataFrame:
     )
 
 
-def _seen_before(spark, output: Output, batch_id: int, first_arrival, seen_days: int | None) -> DataFrame:
-    """Ids of earlier batches; partitions that are too old are not read."""
+def _seen_before(spark, output: Output, batch_id: int) -> DataFrame:
+    """Ids of earlier batches."""
     schema = T.StructType([*SEEN.fields, T.StructField("batch", T.LongType())])
-    seen = read_batches(spark, output.table("seen"), schema).where(F.col("batch") < batch_id)
-    if seen_days is not None:
-        seen = seen.where(F.col("day") >= F.lit((first_arrival - timedelta(days=seen_days)).date()))
-    return seen.select(*duplicates.PAYMENT_KEY)
+    return read_batches(spark, output.table("seen"), schema).where(F.col("batch") < batch_id).select(*duplicates.PAYMENT_KEY)
 
 
 def _next_state(opening: DataFrame, ledger: DataFrame, changes: DataFrame) -> DataFrame:

@@ -1,5 +1,6 @@
 """The streaming jobs: account engine, window flows, rail merger."""
 
+import time
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -18,7 +19,7 @@ from cashtide.operators.positions import position_rows
 from cashtide.sources.payments import merge_rails, routed
 from cashtide.sources.tables import VersionedTable, write_batch
 from cashtide.streaming import processor
-from cashtide.streaming.processor import INPUT_COLUMNS, DAY_MS, OUTPUT_SCHEMA, PAYMENT_KIND, THRESHOLD_KIND, AccountProcessor
+from cashtide.streaming.processor import INPUT_COLUMNS, OUTPUT_SCHEMA, PAYMENT_KIND, THRESHOLD_KIND, AccountProcessor
 
 # Executors need not have this package installed: the processor travels with the query.
 cloudpickle.register_pickle_by_value(processor)
@@ -26,6 +27,18 @@ cloudpickle.register_pickle_by_value(processor)
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+@dataclass
+class RunReport:
+    """What an available-now run read, and how long each batch with input took."""
+
+    name: str
+    rows: int
+    batch_seconds: list[float]
+
+
+REPORTS: list[RunReport] = []  # of this process, for the benchmark
+
+
 @dataclass
 class Output:
     """Where a job writes: tables under ``root``, and Kafka if servers are given."""
@@ -61,21 +74,41 @@ def start(writer, name: str, output: Output, available_now: bool) -> StreamingQu
     return writer.trigger(**trigger).start()
 
 
-def run_to_end(query: StreamingQuery) -> None:
+def run_to_end(query: StreamingQuery) -> RunReport:
     """Wait until an available-now query has read its input.
 
     A query with processing-time timers never ends by itself: it keeps running empty batches in
-    case a timer fires.  It is stopped after two of them in a row: the first one after a restart may
-    be the repetition of an interrupted empty batch, with input still to come.
+    case a timer fires.  What counts as its end are the committed offsets: it is stopped after two
+    batches in a row in which no source moved on.  Files without rows move a source on; the first
+    batch after a restart may repeat an interrupted one, with input still to come.
     """
+    seen = {}
     while query.isActive:
-        last_two = query.recentProgress[-2:]
-        if len(last_two) == 2 and all(p.numInputRows == 0 for p in last_two):
+        recent = query.recentProgress
+        seen |= {p.batchId: p for p in recent}
+        if len(recent) > 1 and not any(_moved_on(p) for p in recent[-2:]):
+            _between_batches(query)
             query.stop()
             break
         query.awaitTermination(0.2)
     if query.exception() is not None:
         raise query.exception()
+    seen |= {p.batchId: p for p in query.recentProgress}
+    batches = [p for p in seen.values() if p.numInputRows]
+    report = RunReport(query.name, sum(p.numInputRows for p in batches), [p.batchDuration / 1000 for p in batches])
+    REPORTS.append(report)
+    return report
+
+
+def _moved_on(progress) -> bool:
+    return progress.numInputRows > 0 or any(s.startOffset != s.endOffset for s in progress.sources)
+
+
+def _between_batches(query: StreamingQuery, seconds: float = 5.0) -> None:
+    """Wait for a moment without a running batch; only empty batches run by now."""
+    limit = time.monotonic() + seconds
+    while query.isActive and query.status["isTriggerActive"] and time.monotonic() < limit:
+        time.sleep(0.01)
 
 
 # ---- account engine -----------------------------------------------------------------------
@@ -102,10 +135,10 @@ def keyed_input(checked: DataFrame, updates: DataFrame | None) -> DataFrame:
     return payments.unionByName(changes)
 
 
-def account_records(keyed: DataFrame, stale_seconds: float = S.STALE_FEED_SECONDS, seen_ttl_ms: int | None = DAY_MS) -> DataFrame:
+def account_records(keyed: DataFrame, stale_seconds: float = S.STALE_FEED_SECONDS) -> DataFrame:
     """Run the keyed processor.  Processing-time mode: late payments still change the balance."""
     return keyed.groupBy(*S.ACCOUNT_KEY).transformWithStateInPandas(
-        statefulProcessor=AccountProcessor(int(stale_seconds * 1000), seen_ttl_ms), outputStructType=OUTPUT_SCHEMA, outputMode="Update", timeMode="ProcessingTime"
+        statefulProcessor=AccountProcessor(int(stale_seconds * 1000)), outputStructType=OUTPUT_SCHEMA, outputMode="Update", timeMode="ProcessingTime"
     )
 
 
@@ -142,14 +175,16 @@ def start_rejects(checked: DataFrame, output: Output, available_now: bool = Fals
 
 def write_letters(letters: DataFrame, name: str, batch_id: int, output: Output) -> None:
     letters = letters.persist()
-    write_batch(letters, output.table(name), batch_id)
-    messages = letters.select(
-        F.lit(S.DLQ_TOPIC).alias("topic"),
-        account_key(F.col("currency"), F.col("settlement_account")).alias("key"),
-        F.to_json(F.struct(*S.DLQ.names)).alias("value"),
-    )
-    output.publish(messages, name, batch_id)
-    letters.unpersist()
+    try:
+        write_batch(letters, output.table(name), batch_id)
+        messages = letters.select(
+            F.lit(S.DLQ_TOPIC).alias("topic"),
+            account_key(F.col("currency"), F.col("settlement_account")).alias("key"),
+            F.to_json(F.struct(*S.DLQ.names)).alias("value"),
+        )
+        output.publish(messages, name, batch_id)
+    finally:
+        letters.unpersist()
 
 
 def ledger_rows(records: DataFrame) -> DataFrame:
@@ -163,6 +198,13 @@ def write_records(batch: DataFrame, batch_id: int, output: Output) -> None:
     batches run without input, so kinds of records that do not occur are not written at all.
     """
     batch = batch.persist()
+    try:
+        _write_kinds(batch, batch_id, output)
+    finally:
+        batch.unpersist()
+
+
+def _write_kinds(batch: DataFrame, batch_id: int, output: Output) -> None:
     kinds = {row["record_type"] for row in batch.select("record_type").distinct().collect()}  # five at most
     if "position" in kinds:
         ledger = ledger_rows(batch)
@@ -178,7 +220,6 @@ def write_records(batch: DataFrame, batch_id: int, output: Output) -> None:
             _key(), to_money(F.col("warning_cents")).alias("warning"), to_money(F.col("critical_cents")).alias("critical")
         )
         write_batch(applied, output.table("thresholds_applied"), batch_id)
-    batch.unpersist()
 
 
 def _key():
@@ -233,19 +274,36 @@ def start_flows(payments: DataFrame, output: Output, available_now: bool = False
 # ---- feed health ---------------------------------------------------------------------------
 
 
-def start_feed_health(payments: DataFrame, output: Output, available_now: bool = False) -> StreamingQuery:
-    """Keep the feed-health table of the rails; readers judge staleness with ``feeds.stale_at``."""
+def start_feed_health(
+    payments: DataFrame, output: Output, available_now: bool = False, as_of: datetime | None = None
+) -> StreamingQuery:
+    """Keep the feed-health table, one row for every rail from the first batch on.
+
+    Events of the last minute are counted over all batches: counts per rail and second are kept
+    beside the table.  No batch runs without input, so readers judge staleness when they read, with
+    ``feeds.stale_at``.  ``as_of`` fixes the moment that "last minute" ends (default: now).
+    """
     spark = payments.sparkSession
     configure(spark)
-    table = VersionedTable(spark, output.table("feed_health"), S.TABLES["feed_health"])
+    table = feed_health_table(spark, output)
+    seconds = VersionedTable(spark, output.table("feed_seconds"), feeds.SECONDS)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        seen = feeds.rail_health(batch, datetime.now(timezone.utc)).where(F.col("last_event_time").isNotNull())
-        table.write(feeds.update_feed_health(table.read(before=batch_id), seen), batch_id)
+        moment = as_of or datetime.now(timezone.utc)
+        counts = feeds.merge_seconds(seconds.read(before=batch_id), batch, moment).persist()
+        try:
+            seconds.write(counts, batch_id)
+            table.write(feeds.health_from(table.read(before=batch_id), batch, counts, moment), batch_id)
+        finally:
+            counts.unpersist()
 
     return start(payments.writeStream.foreachBatch(merge), "feed_health", output, available_now)
 
 
+def feed_health_table(spark: SparkSession, output: Output) -> VersionedTable:
+    return VersionedTable(spark, output.table("feed_health"), S.TABLES["feed_health"])
+
+
 # ---- rail merger --------------------------------------------------------------------------
 
 

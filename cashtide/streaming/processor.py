@@ -1,9 +1,8 @@
 """Keyed state of one account: balance, seen ids, bounds and the silence timer.
 
 The state is small per account, but rows of one account are taken in order, so one account is one
-task.  A trigger admits a bounded number of records (``sources.payments.MAX_RECORDS_PER_TRIGGER``),
-which bounds the rows handled here at once.  For backfills and very hot accounts use
-``streaming.batches``, which spreads one account over all tasks.
+task.  ``per_trigger`` of the source bounds the rows handled here at once.  For backfills and very
+hot accounts use ``streaming.batches``, which spreads one account over all tasks.
 """
 
 from collections.abc import Iterator
@@ -43,25 +42,22 @@ _TIMES = [part.split()[0] for part in OUTPUT_SCHEMA.split(", ") if part.endswith
 _TEXTS = [name for name in _COLUMNS if name not in _INTEGERS + _TIMES]
 _MAX_LONG = 2**63 - 1
 
-DAY_MS = 86_400_000
-
-
 class AccountProcessor(StatefulProcessor):
     """Emits ``position``, ``duplicate``, ``threshold_applied``, ``feed_stale`` and ``feed_recovered``.
 
     A position row carries the bounds in force, so alerts are a projection of it.
     """
 
-    def __init__(self, stale_ms: int = S.STALE_FEED_SECONDS * 1000, seen_ttl_ms: int | None = DAY_MS):
+    def __init__(self, stale_ms: int = S.STALE_FEED_SECONDS * 1000):
         self.stale_ms = stale_ms
-        self.seen_ttl_ms = seen_ttl_ms
 
     def init(self, handle) -> None:
         self.handle = handle
         self.totals = handle.getValueState("totals", "inbound BIGINT, outbound BIGINT, payments BIGINT")
         self.bounds = handle.getValueState("bounds", "warning BIGINT, critical BIGINT")
         self.silent = handle.getValueState("silent", "since_ms BIGINT")
-        self.seen = handle.getMapState("seen", "payment_id STRING", "event_time_ms BIGINT", self.seen_ttl_ms)
+        # Ids are kept for ever: a copy is refused however late it comes and however input is cut.
+        self.seen = handle.getMapState("seen", "payment_id STRING", "event_time_ms BIGINT")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         # Threshold changes first among rows that arrived at the same instant.

@@ -8,8 +8,9 @@ from helpers import MILLION, START, message, thresholds
 from cashtide import schemas as S
 from cashtide.operators import quality
 from cashtide.operators.thresholds import check_updates
+from cashtide.plans import panels
 from cashtide.sources import payments as sources
-from cashtide.sources.tables import VersionedTable, read_batches
+from cashtide.sources.tables import read_batches
 from cashtide.streaming import batches, jobs
 from cashtide.streaming.processor import PAYMENT_KIND, THRESHOLD_KIND, AccountProcessor
 
@@ -169,8 +170,49 @@ def test_feed_health_table(spark, tmp_path):
     feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
     feed.add(payment(1, 20 * MILLION, at=5), payment(2, 20 * MILLION))
     jobs.run_to_end(jobs.start_feed_health(quality.valid_payments(feed.checked()), output, available_now=True))
-    rows = VersionedTable(spark, output.table("feed_health"), S.TABLES["feed_health"]).read().collect()
-    assert [(r["rail"], r["last_event_time"]) for r in rows] == [("RTGS", START.replace(tzinfo=None) + timedelta(seconds=5))]
+    rows = {r["rail"]: r for r in jobs.feed_health_table(spark, output).read().collect()}
+    assert sorted(rows) == S.RAILS and rows["CHAPS"]["last_event_time"] is None and rows["CHAPS"]["is_stale"]
+    assert rows["RTGS"]["last_event_time"] == START.replace(tzinfo=None) + timedelta(seconds=5)
+
+
+def test_feed_health_counts_the_minute_over_batches_and_turns_stale_when_read(spark, tmp_path):
+    feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
+    for first, count in ((0, 50), (51, 3)):
+        feed.add(*[payment(first + i, 20 * MILLION, at=first) for i in range(count)])
+        moment = START + timedelta(seconds=52)
+        jobs.run_to_end(jobs.start_feed_health(quality.valid_payments(feed.checked()), output, available_now=True, as_of=moment))
+    health = jobs.feed_health_table(spark, output).read()
+    assert {r["rail"]: r["event_count_1min"] for r in health.collect()} == {"RTGS": 53, "CHAPS": 0, "INTERNAL": 0}
+    at = {seconds: panels.feed_status(health, START + timedelta(seconds=seconds)).collect() for seconds in (60, 200)}
+    assert [r["value"] for r in at[60]] == [1, 1, 0] and [r["value"] for r in at[200]] == [1, 1, 1]
+
+
+def test_empty_files_do_not_end_a_run(spark, tmp_path, engine):
+    feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
+    feed.add(payment(1, 100 * MILLION))
+    for _ in range(4):
+        spark.createDataFrame([], FEED).coalesce(1).write.mode("append").parquet(feed.folder)
+    feed.add(payment(2, 10 * MILLION))
+    stream = spark.readStream.schema(FEED).option("maxFilesPerTrigger", 1).parquet(feed.folder)
+    engine(quality.check(stream), None, output)
+    assert position(spark, output)["payment_count"] == 2
+
+
+def test_any_cut_of_the_input_gives_the_same_tables(spark, tmp_path, engine):
+    days = [0, 0, 3 * 86_400, 3 * 86_400, 9 * 86_400]
+    texts = [payment(n % 3, 10 * MILLION) for n in range(5)]
+    found = []
+    for cut in (1, 2, 5):
+        folder, output = tmp_path / f"in{cut}", jobs.Output(str(tmp_path / f"out{cut}"))
+        rows = [(t, i, START + timedelta(seconds=days[i] + i)) for i, t in enumerate(texts)]
+        for part in range(cut):
+            chosen = rows[len(rows) * part // cut : len(rows) * (part + 1) // cut]
+            spark.createDataFrame(chosen, FEED).coalesce(1).write.mode("append").parquet(str(folder))
+            engine(quality.check(spark.readStream.schema(FEED).parquet(str(folder))), None, output)
+        row = position(spark, output)
+        copies = read_batches(spark, output.table("payments_dlq_duplicates"), S.DLQ).count()
+        found.append((int(row["available_balance"]), row["payment_count"], copies))
+    assert found == [(30 * MILLION, 3, 2)] * 3
 
 
 def test_merger_and_text_source(spark, tmp_path):
@@ -185,10 +227,10 @@ def test_merger_and_text_source(spark, tmp_path):
 
 
 def test_kafka_options():
-    options = sources.kafka_options("broker:9092", S.RAIL_TOPICS)
+    options = sources.kafka_options("broker:9092", S.RAIL_TOPICS, per_trigger=1_000)
     assert options["subscribe"] == "payments.rtgs,payments.chaps,payments.internal"
     assert options["startingOffsets"] == "earliest" and int(options["maxOffsetsPerTrigger"]) > 0
-    assert "maxOffsetsPerTrigger" not in sources.kafka_options("b", ["t"], per_trigger=None)
+    assert "maxOffsetsPerTrigger" not in sources.kafka_options("b", ["t"])
     assert jobs.kafka_sink_options("b") == {"kafka.bootstrap.servers": "b", "kafka.acks": "all"}
 
 
@@ -227,7 +269,7 @@ class Handle:
     def getValueState(self, name, schema):
         return Value()
 
-    def getMapState(self, name, key_schema, value_schema, ttl):
+    def getMapState(self, name, key_schema, value_schema):
         return Map()
 
     def listTimers(self):
