@@ -10,24 +10,24 @@ from pyspark.sql import functions as F
 from cashtide.functions.money import to_cents
 
 # ---- fixed values of the derived data (the SQL side states the same) ---------------------
-_ACCOUNT_BY_REST = [
-    "RTGS-GBP-001",
-    "CHAPS-GBP-001",
-    "INTERNAL-GBP-001",
-    "NOSTRO-USD-001",
-    "NOSTRO-USD-002",
-    "NOSTRO-EUR-001",
-    "NOSTRO-EUR-002",
+# Account, currency, and the seed bounds (warning, critical) divided by ten, in cents.
+_ACCOUNTS = [
+    ("RTGS-GBP-001", "GBP", 20_000_000_000, 5_000_000_000),
+    ("CHAPS-GBP-001", "GBP", 5_000_000_000, 1_000_000_000),
+    ("INTERNAL-GBP-001", "GBP", 500_000_000, 100_000_000),
+    ("NOSTRO-USD-001", "USD", 10_000_000_000, 2_500_000_000),
+    ("NOSTRO-USD-002", "USD", 2_500_000_000, 500_000_000),
+    ("NOSTRO-EUR-001", "EUR", 7_500_000_000, 1_500_000_000),
+    ("NOSTRO-EUR-002", "EUR", 2_000_000_000, 400_000_000),
 ]
-_CURRENCY_BY_REST = ["GBP", "GBP", "GBP", "USD", "USD", "EUR", "EUR"]
-# Seed bounds per account divided by ten, in cents.
-_WARNING_BY_REST = [20_000_000_000, 5_000_000_000, 500_000_000, 10_000_000_000, 2_500_000_000, 7_500_000_000, 2_000_000_000]
-_CRITICAL_BY_REST = [5_000_000_000, 1_000_000_000, 100_000_000, 2_500_000_000, 500_000_000, 1_500_000_000, 400_000_000]
-_RAIL_BY_REST = ["RTGS", "CHAPS", "INTERNAL"]
-_BASE_BY_REST = [1_000_000_000, 100_000_000, 10_000_000]
-_FACTOR_BY_REST = [1_000_000, 200_000, 100_000]
+# Rail, least amount and what a unit of the event's value adds to it, in cents.
+_RAILS = [("RTGS", 1_000_000_000, 1_000_000), ("CHAPS", 100_000_000, 200_000), ("INTERNAL", 10_000_000, 100_000)]
 # -------------------------------------------------------------------------------------------
 
+# By the remainder that chooses the account or the rail.
+_ACCOUNT_BY_REST, _CURRENCY_BY_REST, _WARNING_BY_REST, _CRITICAL_BY_REST = map(list, zip(*_ACCOUNTS))
+_RAIL_BY_REST, _BASE_BY_REST, _FACTOR_BY_REST = map(list, zip(*_RAILS))
+
 EVENTS_SCHEMA = (
     "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 )
