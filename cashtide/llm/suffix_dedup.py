@@ -6,14 +6,17 @@ Every byte that is covered by a ``length``-byte string which also starts anywher
    (winnowing).  Equal windows choose equal grams, so a window whose grams occur once in the corpus is
    unique, and only the surroundings of shared grams go on: a lossless cut from all positions to
    about one in 169.
-2. Contexts.  The windows that can hold an anchor lie within (length - 64) bytes before it and
-   ``length`` bytes after its start.  Equal contexts are counted by digest; what occurs twice is
-   repeated as a whole, and one representative stays.  Copies of any number thus become one row.
-3. Buckets.  Contexts of one gram share a bucket of bounded size, cut in shards.  Each shard gets a
-   suffix array by Larsson-Sadakane refinement (ranks double in depth, only unsettled groups are
-   sorted again) and Kasai common prefixes; strings that share ``length`` bytes are neighbours.
-   Shards of a bucket are merged by binary search of one's strings in the other's suffix array.
-4. Hot grams.  If a gram has too many different contexts for a shard, its windows are dealt to two
+2. Contexts.  An anchor's context is the text that the windows which chose it cover.  Equal contexts
+   are counted by digest; what occurs twice is repeated as a whole, and one representative stays.
+   Copies of any number, and the inside of a shared passage, thus become one row.
+3. Buckets.  Contexts of one gram share a bucket of bounded size.  Sorting them by the text after and
+   before the anchor bounds how far each agrees with any other; windows beyond are unique and go,
+   and contexts that are now equal are one row again.
+   The rest is cut in shards.  Each shard gets a suffix array by Larsson-Sadakane refinement (ranks
+   double in depth, only unsettled groups are sorted again) and Kasai common prefixes; strings that
+   share ``length`` bytes are neighbours.  Shards of a bucket are merged by binary search of one's
+   strings in the other's suffix array.
+4. Hot grams.  If a gram has too many different contexts for a bucket, its windows are dealt to two
    halves by their offset from the anchor; the windows of a half share more bytes, and these become
    the new key.  After at most nine halvings a key is a whole window.  So no bucket grows with the
    frequency of a passage and no pairs of shards or documents are listed.
@@ -41,9 +44,9 @@ from cashtide.sources.workspace import materialize
 LENGTH = 400
 GRAM = 64
 PORTION_BYTES = 1_000_000
-BUCKET_BYTES = 1_000_000
-SHARD_BYTES = 500_000
-HOT = 500  # different contexts of one key that still go to a shard
+BUCKET_BYTES = 2_000_000
+SHARD_BYTES = 1_500_000
+HOT = 10_000  # different contexts of one key that still go to one bucket: 6 MB
 _BASE = np.uint64(0xD6E8FEB86659FD93)
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 _MOST = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -71,8 +74,11 @@ def _sliding(values: np.ndarray, width: int, least: bool) -> np.ndarray:
     return op(behind[:count], ahead[width - 1 : width - 1 + count])
 
 
-def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(text number, positions, gram hashes) of the texts that have windows; one call is one pass."""
+def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """(text number, positions, gram hashes, lo, hi) of the texts that have windows.
+
+    The windows that chose an anchor start lo to hi bytes before it.
+    """
     usable = [i for i, t in enumerate(texts) if len(t) >= length]
     if not usable:
         return
@@ -93,22 +99,24 @@ def anchors(texts: list[bytes], length: int = LENGTH, gram: int = GRAM) -> Itera
     # A gram is chosen if it is the least of some window over it: the greatest of those minima.
     around = np.concatenate((np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)))
     chosen = np.flatnonzero(_sliding(around, width, False) == x)
+    # Windows with one least value form runs; an anchor is chosen by the part of its run that holds it.
+    runs = np.flatnonzero(np.concatenate(([True], least[1:] != least[:-1])))
+    stops = np.append(runs[1:], len(least)) - 1
+    run = np.searchsorted(runs, chosen, side="right") - 1
+    while len(wrong := np.flatnonzero(least[runs[run]] != x[chosen])):
+        run[wrong] -= 1
+    lo, hi = chosen - np.minimum(stops[run], chosen), chosen - np.maximum(runs[run], chosen - width + 1)
     owner = np.searchsorted(ends, chosen, side="right")
     cuts = np.searchsorted(owner, np.arange(len(usable) + 1))
     for k, i in enumerate(usable):
         at = chosen[cuts[k] : cuts[k + 1]]
-        yield i, at - (ends[k] - len(texts[i])), x[at]
+        yield i, at - (ends[k] - len(texts[i])), x[at], lo[cuts[k] : cuts[k + 1]], hi[cuts[k] : cuts[k + 1]]
 
 
 def _digest(data: bytes) -> bytes:
     return hashlib.blake2b(data, digest_size=16).digest()
 
 
-def _bounds(pos: int, size: int, lo: int, hi: int, length: int) -> tuple[int, int]:
-    """First and last offset before the anchor at which a window of the range exists."""
-    return max(lo, pos + length - size), min(hi, pos)
-
-
 # ---- suffix arrays ---------------------------------------------------------------------------------
 
 
@@ -148,12 +156,9 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
     rank = np.empty(n, np.int64)
     start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
     rank[order] = start
+    open_ = np.flatnonzero(~(new & np.append(new[1:], True)))  # places in groups of two or more
     depth = 8
-    while True:
-        alone = new & np.append(new[1:], True)
-        open_ = np.flatnonzero(~alone)
-        if not len(open_):
-            return order
+    while len(open_):
         members = order[open_]
         behind = members + depth
         second = np.where(behind < n, rank[np.minimum(behind, n - 1)] + 1, 0)
@@ -162,10 +167,11 @@ def suffix_array(data: np.ndarray) -> np.ndarray:
         first = rank[members]
         order[open_] = members
         fresh = np.concatenate(([True], (first[1:] != first[:-1]) | (second[1:] != second[:-1])))
-        new[open_] |= fresh
-        start = np.maximum.accumulate(np.where(new, np.arange(n), 0))
-        rank[order[open_]] = start[open_]
+        heads = np.flatnonzero(fresh)
+        rank[members] = np.repeat(open_[heads], np.diff(np.append(heads, len(open_))))
+        open_ = open_[~(fresh & np.append(fresh[1:], True))]
         depth *= 2
+    return order
 
 
 def common_prefixes(data: np.ndarray, order: np.ndarray, rows: np.ndarray, most: int) -> np.ndarray:
@@ -300,7 +306,7 @@ def repeated_stretches(contexts: list[bytes], places: np.ndarray, multiple: np.n
 
 # ---- the corpus ------------------------------------------------------------------------------------
 
-_PLACES = "key long, c binary, d binary, pos int, lo int, hi int, size int"
+_PLACES = "key long, c binary, d binary, pos int, lo int, hi int"
 
 
 def doc_key(doc_id: Column, text: Column) -> Column:
@@ -309,22 +315,20 @@ def doc_key(doc_id: Column, text: Column) -> Column:
 
 
 def anchored(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """(key, c, d, pos, lo, hi, size): every anchor of every document with the digest of its context."""
-    reach = length - GRAM
+    """(key, c, d, pos, lo, hi): every anchor of every document with the digest of its context."""
+    names = [x.split(" ")[0] for x in _PLACES.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             keys = batch["d"].tolist()
             for first, texts in _portions(batch["text"].tolist()):
                 rows = []
-                for i, at, grams in anchors(texts, length):
+                for i, *columns in anchors(texts, length):
                     text, d = texts[i], keys[first + i]
-                    size = len(text)
-                    rows += [
-                        (g, _digest(b"%d:" % min(p, reach) + text[max(0, p - reach) : p + length]), d, p, 0, reach, size)
-                        for p, g in zip(at.tolist(), grams.view(np.int64).tolist())
-                    ]
-                yield pd.DataFrame(rows, columns=["key", "c", "d", "pos", "lo", "hi", "size"])
+                    columns[1] = columns[1].view(np.int64)
+                    for p, g, lo, hi in zip(*(c.tolist() for c in columns)):
+                        rows.append((g, _digest(b"%d,%d:" % (lo, hi) + text[p - hi : p - lo + length]), d, p, lo, hi))
+                yield pd.DataFrame(rows, columns=names)
 
     return docs.select("d", "text").mapInPandas(run, _PLACES)
 
@@ -347,27 +351,24 @@ def _equal_contexts(rows: DataFrame, length: int, *data: str) -> tuple[DataFrame
 
     The second frame has the contexts of keys with two or more, of which at least one is single.
     """
-    place = F.struct("d", "pos", "size", *data)
-    contexts = rows.groupBy("key", "c", "lo", "hi").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
+    place = F.struct("d", "pos", "lo", "hi", *data)
+    contexts = rows.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"), F.min(place).alias("first"))
     contexts = materialize(contexts, "contexts")
-    twice = contexts.where("n > 1").select("key", "c", "lo", "hi")
-    both = rows.join(twice, ["key", "c", "lo", "hi"], "left_semi")
-    stretches = both.select(
-        "d",
-        (F.col("pos") - F.least("hi", "pos")).alias("start"),
-        F.least(F.col("pos") - F.col("lo") + length, F.col("size")).alias("stop"),
-    )
-    kinds = contexts.groupBy("key", "lo", "hi").agg(F.count(F.lit(1)).alias("contexts"), F.min("n").alias("fewest"))
+    both = rows.join(contexts.where("n > 1").select("key", "c"), ["key", "c"], "left_semi")
+    stretches = both.select("d", (F.col("pos") - F.col("hi")).alias("start"), (F.col("pos") - F.col("lo") + length).alias("stop"))
+    kinds = contexts.groupBy("key").agg(F.count(F.lit(1)).alias("contexts"), F.min("n").alias("fewest"))
     kinds = kinds.where("contexts > 1 and fewest = 1")
-    open_ = contexts.join(kinds.drop("fewest"), ["key", "lo", "hi"])
-    return stretches, open_.select("key", "lo", "hi", "contexts", (F.col("n") > 1).alias("multiple"), "first.*")
+    open_ = contexts.join(kinds.drop("fewest"), "key")
+    return stretches, open_.select("key", "contexts", (F.col("n") > 1).alias("multiple"), "first.*")
+
+
+_OPEN = "key long, contexts long, multiple boolean, d binary, pos int, lo int, hi int, data binary"
 
 
 def _with_bytes(open_: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     """Adds the bytes of each context from the documents."""
-    reach = length - GRAM
-    wanted = open_.groupBy("d").agg(F.collect_list(F.struct("key", "lo", "hi", "contexts", "multiple", "pos", "size")).alias("at"))
-    names = ["key", "lo", "hi", "contexts", "multiple", "d", "pos", "size", "data"]
+    wanted = open_.groupBy("d").agg(F.collect_list(F.struct("key", "contexts", "multiple", "pos", "lo", "hi")).alias("at"))
+    names = [x.split(" ")[0] for x in _OPEN.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -375,85 +376,128 @@ def _with_bytes(open_: DataFrame, docs: DataFrame, length: int) -> DataFrame:
             for d, text, at in zip(batch["d"], batch["text"], batch["at"]):
                 data = text.encode("utf-8", "surrogatepass")
                 for w in at:
-                    p = w["pos"]
-                    piece = data[max(0, p - reach) : p + length]
-                    rows.append((w["key"], w["lo"], w["hi"], w["contexts"], w["multiple"], d, p, w["size"], piece))
+                    piece = data[w["pos"] - w["hi"] : w["pos"] - w["lo"] + length]
+                    rows.append((w["key"], w["contexts"], w["multiple"], d, w["pos"], w["lo"], w["hi"], piece))
                     held += len(piece)
                 if held > PORTION_BYTES:
                     yield pd.DataFrame(rows, columns=names)
                     rows, held = [], 0
             yield pd.DataFrame(rows, columns=names)
 
-    schema = "key long, lo int, hi int, contexts long, multiple boolean, d binary, pos int, size int, data binary"
     joined = docs.select("d", "text").join(wanted, "d").dropDuplicates(["d"])
-    return joined.mapInPandas(run, schema)
+    return joined.mapInPandas(run, _OPEN)
 
 
-def _halved(hot: DataFrame, length: int) -> DataFrame:
-    """The windows of each context in two halves of its offsets, keyed by the bytes they share."""
-    reach = length - GRAM
+def _halved(hot: DataFrame, level: int, length: int) -> DataFrame:
+    """The windows of each context by parts of the offsets, keyed by the bytes that a part shares."""
+    width = -(-(length - GRAM + 1) // 2**level)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for r in batch.itertuples(index=False):
-                middle, origin = (r.lo + r.hi) // 2, r.pos - max(0, r.pos - reach)
-                for lo, hi in ((r.lo, middle), (middle + 1, r.hi)):
-                    first, last = _bounds(r.pos, r.size, lo, hi, length)
-                    if lo <= hi and first <= last:
-                        common = r.data[origin - lo : origin - hi + length]
-                        key = int.from_bytes(_digest(b"%d,%d:" % (lo, hi) + common)[:8], "little", signed=True)
-                        own = r.data[origin - last : origin - first + length]
-                        rows.append((key, _digest(b"%d:" % last + own), r.d, r.pos, lo, hi, r.size, r.multiple, r.data))
-            yield pd.DataFrame(rows, columns=["key", "c", "d", "pos", "lo", "hi", "size", "multiple", "data"])
+                for part in range(r.lo // width, r.hi // width + 1):
+                    lo, hi = max(r.lo, part * width), min(r.hi, part * width + width - 1)
+                    common = r.data[r.hi - part * width :][: length - width + 1]
+                    key = int.from_bytes(_digest(b"%d,%d:" % (level, part) + common)[:8], "little", signed=True)
+                    own = r.data[r.hi - hi : r.hi - lo + length]
+                    rows.append((key, _digest(b"%d,%d:" % (lo, hi) + own), r.d, r.pos, lo, hi, r.multiple, own))
+            yield pd.DataFrame(rows, columns=["key", "c", "d", "pos", "lo", "hi", "multiple", "data"])
 
     return hot.mapInPandas(run, _PLACES + ", multiple boolean, data binary")
 
 
-def _in_buckets(rows: DataFrame, length: int) -> DataFrame:
+def _agreement(group: np.ndarray, texts: list[bytes], length: int) -> np.ndarray:
+    """How many bytes each text shares at most with another one of its group, from its start on."""
+    keyed = np.array([int(g).to_bytes(8, "big") + t for g, t in zip(group, texts)], f"S{8 + length}")
+    order = np.argsort(keyed, kind="stable")
+    table = keyed[order].view(np.uint8).reshape(len(texts), 8 + length)
+    differ = table[1:] != table[:-1]
+    shared = np.where(differ.any(1), differ.argmax(1), 8 + length)
+    shared = np.maximum(shared - 8, np.where(shared < 8, -1, 0))
+    out = np.full(len(texts), -1)
+    out[order[1:]] = shared
+    out[order[:-1]] = np.maximum(out[order[:-1]], shared)
+    return out
+
+
+def _narrowed(batch: pd.DataFrame, length: int) -> pd.DataFrame:
+    """The contexts with only those offsets at which a window can agree with another context.
+
+    With at most R bytes in common after the anchor and L before it, offsets are length - R to L.
+    """
+    group = pd.factorize(batch["key"])[0]
+    after = [d[hi:] for d, hi in zip(batch["data"], batch["hi"])]
+    before = [d[:hi][::-1] for d, hi in zip(batch["data"], batch["hi"])]
+    right, left = _agreement(group, after, length), _agreement(group, before, length)
+    lo, hi = np.maximum(batch["lo"], length - right), np.minimum(batch["hi"], left)
+    cut = [d[h - b : h - a + length] for d, h, a, b in zip(batch["data"], batch["hi"], lo, hi)]
+    return batch.assign(data=cut, lo=lo, hi=hi)[lo <= hi]
+
+
+def _collapsed(batch: pd.DataFrame, length: int) -> tuple[pd.DataFrame, pd.DataFrame]:
+    """Narrowed contexts that occur twice, as stretches, and one row per different context.
+
+    Keys without a single context, or with one context only, need no more comparing.
+    """
+    same = ["key", "lo", "hi", "data"]
+    twice = batch.duplicated(same, keep=False)
+    stretches = batch[twice].assign(start=batch["pos"] - batch["hi"], stop=batch["pos"] - batch["lo"] + length)
+    firsts = batch.assign(multiple=batch["multiple"] | twice).drop_duplicates(same)
+    by_key = firsts.groupby("key")["multiple"]
+    left = firsts[~by_key.transform("all") & (by_key.transform("size") > 1)]
+    return stretches[["d", "start", "stop"]], left.reset_index(drop=True)
+
+
+def _in_buckets(rows: DataFrame, buckets: int, length: int) -> DataFrame:
     """(d, start, stop) of the repeated stretches of contexts, bucket by bucket."""
-    reach = length - GRAM
-    total = rows.agg(F.sum(F.length("data"))).first()[0] or 0
-    count = max(1, -(-total // BUCKET_BYTES))
-    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(count)))
 
     def run(batch: pd.DataFrame) -> pd.DataFrame:
-        starts, contexts = [], []
-        for r in batch.itertuples(index=False):
-            first, last = _bounds(r.pos, r.size, r.lo, r.hi, length)
-            origin = r.pos - max(0, r.pos - reach)
-            contexts.append(r.data[origin - last : origin - first + length])
-            starts.append(r.pos - last)
+        done, batch = _collapsed(_narrowed(batch, length), length)
+        if batch.empty:
+            return done
+        starts = (batch["pos"] - batch["hi"]).to_numpy(np.int64)
         document, names = pd.factorize(batch["d"])
-        places = document.astype(np.int64) << 32 | np.array(starts, np.int64)
+        places = document.astype(np.int64) << 32 | starts
         found = [
             (names[document[i]], starts[i] + a, starts[i] + b)
-            for i, a, b in repeated_stretches(contexts, places, batch["multiple"].to_numpy(bool), length)
+            for i, a, b in repeated_stretches(batch["data"].tolist(), places, batch["multiple"].to_numpy(bool), length)
         ]
-        return pd.DataFrame(found, columns=["d", "start", "stop"])
+        return pd.concat([done, pd.DataFrame(found, columns=["d", "start", "stop"])], ignore_index=True)
 
+    dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
     return dealt.groupBy("bucket").applyInPandas(run, "d binary, start int, stop int")
 
 
+def _bucket_count(open_: DataFrame, length: int) -> int:
+    total = open_.agg(F.sum(F.col("hi") - F.col("lo") + length)).first()[0] or 0
+    return max(1, -(-total // BUCKET_BYTES))
+
+
 def repeated(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """(d, start, stop): stretches, possibly overlapping, of the documents (d, text) to remove."""
     places = materialize(anchored(docs, length), "anchors")
     shared = places.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("key")
     rows = materialize(places.join(shared, "key"), "shared-anchors")
     found, open_ = _equal_contexts(rows, length)
-    found = [found]
-    contexts = materialize(_with_bytes(open_, docs, length), "open-contexts")
-    while True:
-        small = contexts.where(f"contexts <= {hot}")
-        found.append(materialize(_in_buckets(small, length), "stretches"))
-        halves = materialize(_halved(contexts.where(f"contexts > {hot} and lo < hi"), length), "halves")
-        if halves.isEmpty():
-            break
-        # What a representative stands for counts as a second occurrence of its contexts.
-        again = halves.where("multiple").withColumn("d", F.lit(b""))
-        same, open_ = _equal_contexts(halves.unionByName(again), length, "data")
-        found.append(materialize(same, "stretches"))
-        contexts = materialize(open_, "open-contexts")
+    found, level = [found], 0
+    open_ = materialize(open_, "open-contexts")
+    small, large = open_.where(f"contexts <= {hot}"), open_.where(f"contexts > {hot}")
+    found.append(_in_buckets(_with_bytes(small, docs, length), _bucket_count(small, length), length))
+    if not large.isEmpty():
+        large = _with_bytes(large, docs, length)
+        while True:
+            level += 1
+            halves = materialize(_halved(large, level, length), "halves")
+            if halves.isEmpty():
+                break
+            # What a representative stands for counts as a second occurrence of its contexts.
+            again = halves.where("multiple").withColumn("d", F.lit(b""))
+            same, open_ = _equal_contexts(halves.unionByName(again), length, "data")
+            found.append(same)
+            open_ = materialize(open_, "open-contexts")
+            small, large = open_.where(f"contexts <= {hot}"), open_.where(f"contexts > {hot} and lo < hi")
+            found.append(_in_buckets(small, _bucket_count(small, length), length))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -467,7 +511,7 @@ def removed(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame:
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select("doc_id", text.alias("text")).withColumn("d", doc_key(F.col("doc_id"), F.col("text")))
-    spans = repeated(rows, length, hot).distinct().groupBy("d").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
+    spans = repeated(rows, length, hot).groupBy("d").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
