@@ -19,7 +19,7 @@ empty result; other columns are ignored.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cashtide.sources.workspace import materialize
@@ -82,16 +82,15 @@ def log_ratios(counts: DataFrame, order: int = ORDER) -> DataFrame:
     levels = [counts]
     for _ in range(order):
         shorter = levels[-1].groupBy(F.expr("substring(gram, 2)").alias("gram"))
-        levels.append(shorter.agg(*(F.sum(c).alias(c) for c in sums)))
+        levels.append(materialize(shorter.agg(*(F.sum(c).alias(c) for c in sums)), "url-grams"))
     chances = None
     for level in reversed(levels):
-        context = F.expr("substring(gram, 1, length(gram) - 1)")
-        grams = level.withColumn("context", context)
-        totals = grams.groupBy("context").agg(
-            *(F.sum(c).alias(f"{c}_all") for c in sums),
-            *(F.count(F.when(F.col(c) > 0, 1)).alias(f"{c}_kinds") for c in sums),
+        # A context has no more rows than there are characters, so its window is small.
+        context = Window.partitionBy(F.expr("substring(gram, 1, length(gram) - 1)"))
+        joined = level.withColumns(
+            {f"{c}_all": F.sum(c).over(context) for c in sums}
+            | {f"{c}_kinds": F.count(F.when(F.col(c) > 0, 1)).over(context) for c in sums}
         )
-        joined = grams.join(totals, "context")
         if chances is None:
             joined = joined.withColumns({f"{c}_shorter": F.lit(1.0 / ALPHABET) for c in sums})
         else:
@@ -146,7 +145,8 @@ def judged(pages: DataFrame, rules: list[tuple[str, str]] = RULES, order: int =
     urls = rows.groupBy("url").agg(F.max("kind").alias("kind")).withColumn("learns", ~calibrates)
     # Two full passes over the distinct addresses, one to learn and one to score: stored once.
     urls = materialize(urls, "urls")
-    ratios = materialize(log_ratios(gram_counts(urls, order), order), "url-ratios")
+    counts = materialize(gram_counts(urls, order), "url-grams")
+    ratios = materialize(log_ratios(counts, order), "url-ratios")
     scored = materialize(scores(urls, ratios, order).join(urls, "url"), "url-scores")
     both = urls.where("learns").agg(F.count_distinct("kind")).first()[0] == 2
     threshold = calibrate(scored.where("not learns and kind is not null")) if both else 0.0
