@@ -388,9 +388,14 @@ def _with_bytes(open_: DataFrame, docs: DataFrame, length: int) -> DataFrame:
     return joined.mapInPandas(run, _OPEN)
 
 
+def _width(level: int, length: int) -> int:
+    """How many offsets a part has after so many halvings."""
+    return -(-(length - GRAM + 1) // 2**level)
+
+
 def _halved(hot: DataFrame, level: int, length: int) -> DataFrame:
     """The windows of each context by parts of the offsets, keyed by the bytes that a part shares."""
-    width = -(-(length - GRAM + 1) // 2**level)
+    width = _width(level, length)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -496,8 +501,11 @@ def repeated(docs: DataFrame, length: int = LENGTH, hot: int = HOT) -> DataFrame
             same, open_ = _equal_contexts(halves.unionByName(again), length, "data")
             found.append(same)
             open_ = materialize(open_, "open-contexts")
-            small, large = open_.where(f"contexts <= {hot}"), open_.where(f"contexts > {hot} and lo < hi")
+            # Contexts of one window go on too: wider ones of the key may hold that window.
+            small, large = open_.where(f"contexts <= {hot}"), open_.where(f"contexts > {hot}")
             found.append(_in_buckets(small, _bucket_count(small, length), length))
+            if _width(level, length) == 1:
+                break  # a key is a whole window and has one context
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)

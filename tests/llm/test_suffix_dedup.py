@@ -73,6 +73,33 @@ def test_equals_brute_force(spark, hot):
     assert all(hashlib.sha256(r.kept).hexdigest() == r.kept_sha256 for r in found)
 
 
+def test_one_window_context_of_a_hot_key(spark):
+    """One text has nothing but the window on a part's edge; the others of the hot key hold it in wider contexts."""
+    random.seed(6)
+    edge = -(-(sd.LENGTH - sd.GRAM + 1) // 2) - 1  # the last offset of the first half
+
+    def noise(letters, size):
+        return "".join(random.choice(letters) for _ in range(size))
+
+    def window(text, passage):
+        """(lo, hi) of the anchor in the passage, if the passage's window chose it."""
+        at = text.index(passage) + edge
+        return next(((int(lo), int(hi)) for _, p, _, los, his in sd.anchors([text.encode()]) for q, lo, hi in zip(p, los, his) if q == at and lo <= edge <= hi), None)
+
+    last = None  # a letter behind the passage whose gram is the least of the next window
+    while last is None:
+        passage = noise("abcdefgh", sd.LENGTH)
+        if window(passage, passage):
+            last = next((c for c in "klmnopqrstuvwxyz" if window(passage + c, passage)[0] == edge), None)
+    letters = [c for c in "ABCDEFGHIJKL" if window(passage + c, passage)[0] < edge]
+    texts = [noise("klmno", 300) + passage + random.choice(letters) + noise("pqrst", 300) for _ in range(12)]
+    lone = noise("klmno", 300) + passage + last + noise("pqrst", 300)
+    texts.append(lone)
+    found = {r.doc_id: r.n_removed for r in sd.removed(docs_of(spark, list(enumerate(texts))), hot=4).collect()}
+    assert found == {i: row[1] for i, row in enumerate(brute([t.encode() for t in texts], sd.LENGTH))}
+    assert min(found.values()) >= sd.LENGTH
+
+
 def test_repeated_rows_and_ids(spark):
     text, other = "z" + "abc" * 200, "".join(chr(97 + i * i % 23) for i in range(700))
     rows = sd.removed(docs_of(spark, [(1, text), (1, text), (None, other), (None, other), (2, "q" * 100)])).collect()
