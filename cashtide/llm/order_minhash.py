@@ -13,9 +13,14 @@ Texts at that similarity share a sketch with a chance of about 0.64, so all twel
    most.  Copies of one original resemble it more than each other, and it shares most sketches.
    Members that do not match it are compared with their neighbours in a random order of the bucket,
    another one in each of its 24 buckets and in each of the ``rounds``.
-3. Candidates are aligned in a band as wide as the similarity allows; bounds that the alignment
+3. What is left is searched exactly: members of buckets that still hold several classes.  Texts that
+   similar share one of the rarest fifth of their labelled shingles, so these are keys, and texts of
+   different classes that meet at a key are candidates if the shingles behind it can suffice.  A
+   template of many texts is not among their rarest shingles.  Which shingles are frequent is estimated
+   on a sample; any order gives the same links.
+4. Candidates are aligned in a band as wide as the similarity allows; bounds that the alignment
    cannot exceed are tried first.
-4. Links are closed to classes by connected components.
+5. Links are closed to classes by connected components.
 
 Sizes of buckets and least members are combined in the tasks before shuffles; joins carry no hints, so
 hot buckets are split by the planner.  The text is read once for sketches and once a round for the
@@ -44,6 +49,8 @@ SKETCHES = 12
 SIMILARITY = 0.8
 ROUNDS = 3
 PART_ROWS = 1_000
+SAMPLE_TEXTS = 20_000  # for the order of shingles by frequency
+FREQUENT = 200_000
 PORTION_BYTES = 1_000_000
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SEEDS = np.random.default_rng(20240101).integers(1, 2**63, 2 * SKETCHES, dtype=np.uint64) | np.uint64(1)
@@ -231,12 +238,12 @@ def neighbours(members: DataFrame, open_: DataFrame, turn: int) -> DataFrame:
     return beside.select("b", "k", F.explode("hubs").alias("hub")).where("hub is not null")
 
 
-def _may_hold(rows: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The rows whose key k may be among the wanted: a bit map of fixed size goes to every task.
+def _may_hold(rows: DataFrame, wanted: DataFrame, key: str = "k") -> DataFrame:
+    """The rows whose key may be among the wanted: a bit map of fixed size goes to every task.
 
     It has 2^18 words at any size of the tables; a full map only lets more rows through.
     """
-    bit = F.pmod(F.xxhash64("k"), F.lit(1 << 24))
+    bit = F.pmod(F.xxhash64(key), F.lit(1 << 24))
     mask = F.expr("shiftleft(1L, cast(bit & 63 as int))")
     words = wanted.select(bit.alias("bit")).groupBy(F.expr("bit div 64").alias("word")).agg(F.bit_or(mask).alias("bits"))
     marked = rows.withColumn("bit", bit).withColumn("word", F.expr("bit div 64"))
@@ -275,6 +282,87 @@ def _ordered(asked: DataFrame, *kept: str) -> DataFrame:
     return asked.select(*kept, F.greatest("k", "hub").alias("k"), F.least("k", "hub").alias("hub"))
 
 
+def unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
+    """(k, root): members of the buckets of three or more that hold several classes of the links found.
+
+    In a bucket of two the hub was compared with the other one.
+    """
+    rows = members.where("n > 2").join(components(found, "k", "hub").withColumnRenamed("node", "k"), "k", "left")
+    rows = materialize(rows.select("b", "k", F.xxhash64(F.coalesce("root", "k")).alias("root")), "classes")
+    several = rows.groupBy("b").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("b")
+    return rows.join(several, "b", "left_semi").select("k", "root").distinct()
+
+
+def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent labelled shingles of a sample, ascending, with their counts."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            labels = [labelled(np.asarray(x).view(np.uint64)).view(np.int64) for x in batch["sequence"]]
+            if labels:
+                label, n = np.unique(np.concatenate(labels), return_counts=True)
+                yield pd.DataFrame({"label": label, "n": n})
+
+    step = max(1, -(-texts.count() // SAMPLE_TEXTS))
+    sample = texts.where(F.pmod(F.xxhash64("k"), F.lit(step)) == 0)
+    counts = sample.mapInPandas(run, "label long, n long").groupBy("label").agg(F.sum("n").alias("n")).where("n > 1")
+    rows = counts.orderBy(F.desc("n"), "label").limit(FREQUENT).toPandas().sort_values("label")
+    return rows["label"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
+
+
+def prefixes(texts: DataFrame, label: np.ndarray, count: np.ndarray, least: float) -> DataFrame:
+    """(label, k, root, at, n): the rarest labelled shingles of each text and their places in that order.
+
+    A text of n shingles shares at least ``least`` * n with any that similar, so not all others are rarer.
+    """
+    label, count = np.append(label, np.iinfo(np.int64).max), np.append(count, 0)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows, held = [], 0
+            for k, root, sequence in zip(batch["k"], batch["root"], batch["sequence"]):
+                own = labelled(np.asarray(sequence).view(np.uint64))
+                signed = own.view(np.int64)
+                place = np.searchsorted(label, signed)
+                often = np.where(label[place] == signed, count[place], 0)
+                size = len(own) - int(np.ceil(least * len(own) - 1e-9)) + 1
+                first = np.lexsort((mixed(own), often))[:size]
+                rows.append(pd.DataFrame({"label": signed[first], "k": k, "root": root, "at": np.arange(len(first)), "n": len(own)}))
+                held += len(first)
+                if held > 100_000:
+                    yield pd.concat(rows)
+                    rows, held = [], 0
+            if rows:
+                yield pd.concat(rows)
+
+    return texts.select("k", "root", "sequence").mapInPandas(run, "label long, k binary, root long, at int, n int")
+
+
+def candidates(members: DataFrame, found: DataFrame, payload: DataFrame, least: float) -> DataFrame:
+    """(k, hub): all pairs of unsettled members of different classes that can be similar enough.
+
+    Of the largest class of a key none is compared with its own; large keys are dealt to parts.
+    """
+    open_ = materialize(unsettled(members, found), "unsettled")
+    texts = materialize(payload.join(open_, "k"), "unsettled-sequences")
+    rows = materialize(prefixes(texts, *frequent(texts), least), "prefixes")
+    shared = rows.groupBy("label").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("label")
+    shared = materialize(shared, "shared-labels")
+    rows = materialize(_may_hold(rows, shared, "label").join(shared, "label"), "shared-prefixes")
+    kinds = rows.groupBy("label", "root").agg(F.count(F.lit(1)).alias("rows"))
+    kinds = kinds.groupBy("label").agg(F.sum("rows").alias("rows"), F.max(F.struct("rows", "root"))["root"].alias("largest"))
+    rows = rows.join(kinds, "label").withColumn("parts", F.ceil(F.col("rows") / PART_ROWS))
+    rows = materialize(rows.select("label", "k", "root", "at", "n", "largest", "parts"), "keyed-prefixes")
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1))
+    asking = rows.where("root <> largest").withColumn("part", every).drop("parts")
+    part = F.pmod(F.xxhash64("k"), F.col("parts"))
+    other = rows.select("label", part.alias("part"), F.col("k").alias("hub"), F.col("root").alias("other"), F.col("at").alias("other_at"), F.col("n").alias("m"))
+    need = (F.col("n") + F.col("m")) * (least / (1 + least)) - 1e-9
+    fits = need <= F.least(F.col("n") - F.col("at"), F.col("m") - F.col("other_at"))
+    once = F.expr("root <> other and (other = largest or k > hub)")
+    return asking.join(other, ["label", "part"]).where(once & fits).select("k", "hub")
+
+
 def links(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
     """(k, hub, similarity): verified links between different texts, by their keys (k > hub)."""
     members = materialize(buckets(sketches(docs)), "buckets")
@@ -298,7 +386,8 @@ def links(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> D
             matched = answered.join(linked, ["x", "y"], "left_semi").select("b", "k")
             open_ = materialize(open_.join(matched, ["b", "k"], "left_anti"), "open")
             asked = materialize(neighbours(members, open_, turn), "asked")
-    return found
+    pairs = _ordered(candidates(members, found, payload, least)).distinct().join(tried, ["k", "hub"], "left_anti")
+    return found.unionByName(materialize(verified(materialize(pairs, "pairs"), payload, least), "links"))
 
 
 def text_classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:

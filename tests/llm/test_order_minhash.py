@@ -75,6 +75,33 @@ def test_classes_equal_brute_force(spark):
     assert all(r.class_size == sum(root(j) == root(i) for j in range(len(texts))) for i, r in found.items())
 
 
+def test_template_of_many_unlike_texts(spark):
+    """Pairs at 0.8 that meet only in the buckets of a template which all texts share."""
+    random.seed(9)
+
+    def words(count):
+        return ["".join(random.choice("abcdefghij") for _ in range(7)) for _ in range(count)]
+
+    def buckets(text):
+        return set(om.sketch(om.shingles([" ".join(text)])[0]).tolist())
+
+    template = words(144)
+    texts = [template + words(60) for _ in range(200)]
+    hot = set.union(*map(buckets, texts[:50])) & set.union(*map(buckets, texts[50:]))
+    while len(texts) < 220:
+        shared = template + words(38)
+        pair = [shared + words(22), shared + words(22)]
+        both = buckets(pair[0]) & buckets(pair[1])
+        if both and both <= hot:
+            texts += pair
+    texts = [" ".join(t) for t in texts]
+    sequences = om.shingles(texts)
+    near = {(i, j) for j in range(len(texts)) for i in range(j) if om.aligned(sequences[i], sequences[j]) > 0}
+    assert near == {(i, i + 1) for i in range(200, 220, 2)}
+    found = {r.doc_id: (r.class_id, r.class_size) for r in om.near_duplicates(docs_of(spark, list(enumerate(texts)))).collect()}
+    assert found == {i: (i - i % 2, 2) if i >= 200 else (i, 1) for i in range(220)}
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 150)] + [(7, 7)]
     rows = components(spark.createDataFrame(chain, "a long, b long"), "a", "b").collect()
