@@ -2,10 +2,29 @@
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cashtide.llm import decontaminate, fingerprints, order_minhash, secrets, sentencepiece, suffix_dedup, token_counts, toxicity, url_filter, warc
+from cashtide.llm import (
+    centroids,
+    decontaminate,
+    exact_dedup,
+    filter_audit,
+    fingerprints,
+    order_minhash,
+    secrets,
+    sentencepiece,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+    url_filter,
+    warc,
+)
 
 QUERIES = {}
-ORACLE = {"op2_warc": warc.ARCHIVED_SQL}
+ORACLE = {
+    "op2_warc": warc.ARCHIVED_SQL,
+    "op11_exact_dedup": exact_dedup.DEDUPLICATED_SQL,
+    "op12_filter_audit": filter_audit.AUDIT_SQL,
+    "op13_centroids": centroids.CLUSTERED_SQL,
+}
 
 
 def query(function):
@@ -80,3 +99,21 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near-duplicates of every document."""
     return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of equal texts of every document, and which of them stays."""
+    return exact_dedup.deduplicated(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their orders, per source."""
+    return filter_audit.interactions(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cluster of every embedding."""
+    return centroids.clustered(table(spark, sf_dir, "embeddings"))
