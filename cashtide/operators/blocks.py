@@ -9,6 +9,9 @@ Blocks are stretches of event time, as wide as ``max_rows`` allows.  If even the
 stretch of some key holds more, the rows of that key are range-partitioned on (key, order) instead:
 Spark then picks the bounds from the data, so ties in time are split too.  The number of ranges is
 bounded; beyond it ranges grow, and sorting spills.
+
+With ``ranges`` all rows are range-partitioned from the start: for the batches of a stream, where passes
+over the data cost more than a shuffle saves, and where one key may bring nearly all rows.
 """
 
 from dataclasses import dataclass
@@ -53,6 +56,7 @@ def running(
     scan: BlockScan,
     max_rows: int = MAX_BLOCK_ROWS,
     opening: DataFrame | None = None,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Add the columns of ``scan`` to ``df``; ``order`` starts with a TIMESTAMP and must be total.
 
@@ -69,7 +73,10 @@ def running(
     for name, value in {**sums, **latest}.items():
         work = work.withColumn(f"_in_{name}", value)
 
-    blocked, totals = _cut(work, keys, order, sums, max_rows)
+    if ranges:
+        blocked, totals = _ranged(work, keys, order, sums, ranges)
+    else:
+        blocked, totals = _cut(work, keys, order, sums, max_rows)
     openings = _block_openings(blocked, totals, keys, order, sums, latest, scan.next_time, opening)
 
     in_block = Window.partitionBy(*keys, BLOCK).orderBy(*order)
@@ -99,18 +106,24 @@ def running(
     return joined.select(*out)
 
 
+def _totals(rows, keys, order, sums):
+    """Totals of each block; a block may turn out to be too hot, so its sum must not overflow either."""
+    agg = [wide_sum(F.col(f"_in_{s}")).alias(s) for s in sums]
+    return rows.groupBy(*keys, BLOCK).agg(F.count(F.lit(1)).alias(_ROWS), F.min(order[0]).alias(_FIRST_TIME), *agg)
+
+
+def _ranged(work, keys, order, sums, ranges):
+    """Rows in ranges of (key, order), stored: block numbers must be the same wherever they are read."""
+    cut = work.repartitionByRange(ranges, *keys, *order).withColumn(BLOCK, F.spark_partition_id().cast("long"))
+    stored = materialize(cut, "ranged")
+    return stored, _totals(stored, keys, order, sums)
+
+
 def _cut(work, keys, order, sums, max_rows):
     """Rows with a block column, and the block totals (a small stored table)."""
 
     def totals_of(rows, name):
-        # A block may turn out to be too hot here, so its sum must not overflow either.
-        agg = [wide_sum(F.col(f"_in_{s}")).alias(s) for s in sums]
-        return materialize(
-            rows.groupBy(*keys, BLOCK).agg(
-                F.count(F.lit(1)).alias(_ROWS), F.min(order[0]).alias(_FIRST_TIME), *agg
-            ),
-            name,
-        )
+        return materialize(_totals(rows, keys, order, sums), name)
 
     def time_block(width):
         return F.floor(F.unix_seconds(F.col(order[0])) / F.lit(width)).cast("long")
@@ -123,10 +136,8 @@ def _cut(work, keys, order, sums, max_rows):
     if in_hot:
         # Only keys that need it are cut in ranges; the others keep their blocks of time.
         parts = max(2, min(MAX_RANGES, -(-4 * in_hot // max_rows)))
-        ranged = work.join(hot.select(*keys), keys, "left_semi").repartitionByRange(parts, *keys, *order)
-        # Stored before use: the block numbers must be the same wherever they are read.
-        stored = materialize(ranged.withColumn(BLOCK, F.spark_partition_id().cast("long")), "ranged")
-        totals = totals_of(stored, "range-totals")
+        stored, totals = _ranged(work.join(hot.select(*keys), keys, "left_semi"), keys, order, sums, parts)
+        totals = materialize(totals, "range-totals")
         work = work.join(hot.select(*keys), keys, "left_anti")
         fine = fine.join(hot.select(*keys), keys, "left_anti")
     for width in _WIDTHS:

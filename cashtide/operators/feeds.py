@@ -70,24 +70,31 @@ def update_feed_health(
     return stale_at(merged, F.col("last_check_time"), timeout_seconds)
 
 
-SECONDS = T.StructType(
-    [T.StructField("rail", T.StringType()), T.StructField("second", T.TimestampType()), T.StructField("events", T.LongType())]
+RECENT = T.StructType(
+    [T.StructField("rail", T.StringType()), T.StructField("event_time", T.TimestampType()), T.StructField("events", T.LongType())]
 )
 
 
-def merge_seconds(counts: DataFrame, payments: DataFrame, moment: datetime) -> DataFrame:
-    """Events per rail and second of the last minute before ``moment``, with those of new payments."""
-    new = payments.groupBy("rail", F.date_trunc("second", "event_time").alias("second")).agg(F.count(F.lit(1)).alias("events"))
-    recent = (F.col("second") > F.lit(moment) - F.expr("INTERVAL 1 MINUTE")) & (F.col("second") <= F.lit(moment))
-    return counts.unionByName(new).where(recent).groupBy("rail", "second").agg(F.sum("events").alias("events"))
+def merge_recent(recent: DataFrame, payments: DataFrame, moment: datetime) -> DataFrame:
+    """Events per rail and instant that count for ``moment`` or later: those of the minute before it, and newer ones."""
+    new = payments.groupBy("rail", "event_time").agg(F.count(F.lit(1)).alias("events"))
+    kept = F.col("event_time") > F.lit(moment) - F.expr("INTERVAL 1 MINUTE")
+    return recent.unionByName(new).where(kept).groupBy("rail", "event_time").agg(F.sum("events").alias("events"))
 
 
-def health_from(table: DataFrame, payments: DataFrame, counts: DataFrame, moment: datetime) -> DataFrame:
-    """The feed-health table after new payments: every rail has a row, event times never go back."""
+def health_from(table: DataFrame, payments: DataFrame, earlier: DataFrame, recent: DataFrame, moment: datetime) -> DataFrame:
+    """The feed-health table at ``moment``, as ``rail_health`` gives it for all payments so far.
+
+    ``recent`` is what ``merge_recent`` keeps, ``earlier`` what it kept before these payments: events that were
+    too new then may be the last ones now.  Every rail has a row; event times never go back, and those after
+    ``moment`` do not count yet.
+    """
     rails = payments.sparkSession.createDataFrame([(r,) for r in S.RAILS], "rail STRING")
-    last = table.select("rail", "last_event_time").unionByName(payments.select("rail", F.col("event_time").alias("last_event_time")))
+    times = [part.select("rail", F.col(name).alias("last_event_time")) for part, name in ((table, "last_event_time"), (payments, "event_time"), (earlier, "event_time"))]
+    last = times[0].unionByName(times[1]).unionByName(times[2]).where(F.col("last_event_time") <= F.lit(moment))
     last = last.groupBy("rail").agg(F.max("last_event_time").alias("last_event_time"))
-    minute = counts.groupBy("rail").agg(F.sum("events").alias("event_count_1min"))
+    in_minute = recent.where(F.col("event_time") <= F.lit(moment))
+    minute = in_minute.groupBy("rail").agg(F.sum("events").alias("event_count_1min"))
     return stale_at(rails.join(last, "rail", "left").join(minute, "rail", "left"), F.lit(moment))
 
 

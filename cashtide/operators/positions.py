@@ -21,6 +21,7 @@ def position_ledger(
     max_rows: int = MAX_BLOCK_ROWS,
     opening: DataFrame | None = None,
     time: str = "event_time",
+    ranges: int | None = None,
 ) -> DataFrame:
     """Running balance, totals and count after each payment, in the order of (``time``, seq).
 
@@ -28,7 +29,7 @@ def position_ledger(
     threshold rows join the same ordered stream of their account, so the as-of lookup costs no
     join of its own and no broadcast.  Without a column ``time`` an update counts from its
     ``updated_at``.  ``reset='day'`` restarts totals every UTC day.  ``opening`` holds totals and
-    ``bounds`` per account to start from.
+    ``bounds`` per account to start from.  ``ranges`` is described in ``blocks``.
     """
     keys = _ledger_keys(reset)
     columns = payments.columns
@@ -53,7 +54,7 @@ def position_ledger(
     )
     # A threshold published at the instant of a payment is in force for it.
     order = [time, *(["_is_payment"] if thresholds is not None else []), "seq"]
-    rows = running(work, keys, order, scan, max_rows, opening)
+    rows = running(work, keys, order, scan, max_rows, opening, ranges)
     if thresholds is not None:
         rows = rows.where("_is_payment = 1")
     out = [

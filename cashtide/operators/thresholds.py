@@ -4,8 +4,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cashtide import schemas as S
-from cashtide.functions.keys import account_key
-from cashtide.functions.messages import STRICT_JSON, json_message
+from cashtide.functions.keys import account_key, key_account, key_currency
+from cashtide.functions.messages import STRICT_JSON, is_single_object, json_message
 from cashtide.functions.money import to_cents, to_money
 from cashtide.functions.times import iso_utc, parse_iso
 from cashtide.operators.merges import latest_per_key, upsert
@@ -28,9 +28,36 @@ def decode_updates(df: DataFrame, *extra: str, raw: str = "raw") -> DataFrame:
             (F.col("_t.warning_threshold").isNotNull() & to_cents(F.col("_t.warning_threshold")).isNull())
             | (F.col("_t.critical_threshold").isNotNull() & to_cents(F.col("_t.critical_threshold")).isNull())
         ).alias("_bad_number"),
+        (F.col(raw).isNotNull() & ~is_single_object(F.col(raw))).alias("_bad_text"),
         *extra,
     )
-    return check_updates(updates, F.col("_bad_number")).drop("_bad_number")
+    checked = check_updates(updates, F.col("_bad_number"))
+    error = F.when(F.col("_bad_text"), F.lit("not one JSON object")).otherwise(F.col("error"))
+    return checked.withColumn("error", error).drop("_bad_number", "_bad_text")
+
+
+def decode_messages(messages: DataFrame, *extra: str) -> DataFrame:
+    """Keyed threshold messages (key, raw, seq) to update rows with ``error`` and ``deleted``.
+
+    A message without text deletes its key: both bounds are NULL from then on.
+    """
+    decoded = decode_updates(messages, "key", "raw", "seq", *extra)
+    deleted = F.col("raw").isNull()
+    named = account_key(key_currency(F.col("key")), key_account(F.col("key"))).isNotNull()
+    accounts = {c: F.when(deleted, part(F.col("key"))).otherwise(F.col(c)) for c, part in zip(S.ACCOUNT_KEY, (key_currency, key_account))}
+    error = F.when(deleted, F.when(~F.coalesce(named, F.lit(False)), F.lit("deletion without a key"))).otherwise(F.col("error"))
+    return decoded.withColumns({**accounts, "error": error, "deleted": deleted}).drop("key", "raw")
+
+
+def compacted(decoded: DataFrame) -> DataFrame:
+    """What usable messages leave: the newest bounds of each account, deleted ones left out.
+
+    A malformed message changes nothing, so it does not hide the one before it.
+    """
+    newest = accepted(decoded).groupBy(*S.ACCOUNT_KEY).agg(
+        F.max_by(F.struct("warning_cents", "critical_cents", "deleted"), "seq").alias("_n")
+    )
+    return newest.where("NOT _n.deleted").select(*S.ACCOUNT_KEY, "_n.warning_cents", "_n.critical_cents")
 
 
 def check_updates(updates: DataFrame, bad_number=None) -> DataFrame:

@@ -131,8 +131,9 @@ texts AS (
 judged AS (
   SELECT *,
     CASE fault WHEN 1 THEN 'not valid json {{{{ ' || payment_id WHEN 10 THEN '["' || payment_id || '"]'
-         WHEN 12 THEN message || REPEAT('x', 600) ELSE message END AS raw,
-    CASE WHEN fault IN (1, 12) THEN 'json_parse'
+         WHEN 12 THEN message || REPEAT('x', 600) WHEN 13 THEN message || ' ' || message
+         WHEN 14 THEN message || '}}' ELSE message END AS raw,
+    CASE WHEN fault IN (1, 12, 13, 14) THEN 'json_parse'
          WHEN fault IN (2, 3, 4, 5, 6, 7, 8, 10, 11) THEN 'schema_validation'
          WHEN cents NOT BETWEEN CASE rail WHEN 'RTGS' THEN 1000000000 WHEN 'CHAPS' THEN 100000000 ELSE 10000000 END
                         AND CASE rail WHEN 'RTGS' THEN 50000000000 WHEN 'CHAPS' THEN 10000000000 ELSE 5000000000 END
@@ -148,8 +149,8 @@ ranked AS (
   FROM valid),
 refused AS (
   SELECT SUBSTRING(raw, 1, 500) AS raw,
-    CASE WHEN fault IN (1, 10, 11, 12) THEN NULL ELSE payment_id END AS payment_id,
-    CASE fault WHEN 1 THEN 'JSON parse failed' WHEN 12 THEN 'JSON parse failed' WHEN 10 THEN 'not a JSON object'
+    CASE WHEN fault IN (1, 10, 11, 12, 13, 14) THEN NULL ELSE payment_id END AS payment_id,
+    CASE WHEN fault IN (1, 12, 13, 14) THEN 'JSON parse failed' ELSE CASE fault WHEN 10 THEN 'not a JSON object'
       WHEN 2 THEN 'missing required field: ''amount'''
       WHEN 3 THEN 'invalid currency ''CHF'' — expected one of {{''EUR'', ''GBP'', ''USD''}}'
       WHEN 4 THEN 'invalid direction ''OUT'' — expected DEBIT or CREDIT'
@@ -165,7 +166,7 @@ refused AS (
                || ' is outside expected range for ' || rail || CASE rail
                  WHEN 'RTGS' THEN ' (10,000,000 – 500,000,000)' WHEN 'CHAPS' THEN ' (1,000,000 – 100,000,000)'
                  ELSE ' (100,000 – 50,000,000)' END
-        ELSE 'payment_id is empty' END END AS error,
+        ELSE 'payment_id is empty' END END END AS error,
     stage, arrived AS detected_at
   FROM judged WHERE stage IS NOT NULL),
 copies AS (
@@ -353,9 +354,8 @@ SELECT * FROM health WHERE rail <> 'CHAPS' UNION ALL SELECT * FROM older WHERE r
   SELECT * REPLACE (CASE WHEN rail = 'CHAPS' AND event_time >= TIMESTAMP '2024-01-30 00:00:00' THEN 'RTGS' ELSE rail END AS rail)
   FROM payments)
 SELECT rail, CAST(MAX(event_time) < {HEALTH_NOW} - INTERVAL 12 HOURS AS INTEGER) AS value, MAX(event_time) AS last_event_time,
-       COUNT(*) FILTER (WHERE DATE_TRUNC('second', event_time) > {HEALTH_NOW} - INTERVAL 1 MINUTE
-                        AND DATE_TRUNC('second', event_time) <= {HEALTH_NOW}) AS event_count_1min
-FROM moved GROUP BY rail""",
+       COUNT(*) FILTER (WHERE event_time > {HEALTH_NOW} - INTERVAL 1 MINUTE) AS event_count_1min
+FROM moved WHERE event_time <= {HEALTH_NOW} GROUP BY rail""",
     "feed_status": f"WITH {PAYMENTS}, {_HEALTH} SELECT rail, CAST(CASE WHEN is_stale THEN 1 ELSE 0 END AS INTEGER) AS value FROM health",
     "rail_volume_by_hours": f"""WITH {PAYMENTS}
 SELECT rail, STRFTIME(event_time, '%H:%M') BETWEEN '07:00' AND '18:00' AS in_business_hours,
@@ -388,3 +388,54 @@ SELECT {_ALERT_COLUMNS} FROM alerts""",
 ORACLE["batch_stream_positions"] = ORACLE["stream_positions"]
 ORACLE["stream_positions_many_batches"] = f"SELECT * EXCLUDE (last_payment_id, event_time) FROM ({ORACLE['stream_positions']})"
 ORACLE["batch_stream_alerts"] = ORACLE["stream_alerts"]
+
+ORACLE["stream_feed_events"] = ORACLE["feed_gaps"]
+ORACLE["stream_restart"] = f"""SELECT * EXCLUDE (last_payment_id, event_time), payment_count AS ids_in_state
+FROM ({ORACLE['stream_positions']})
+JOIN (WITH {FEED} SELECT currency, settlement_account, COUNT(*) AS sightings FROM valid GROUP BY ALL) USING (currency, settlement_account)"""
+
+# Ids are remembered for a day after their last message.
+ORACLE["stream_id_ttl"] = f"""WITH {FEED}, resent AS (
+  SELECT currency, settlement_account, payment_id, arrived, seq FROM valid
+  UNION ALL
+  SELECT currency, settlement_account, payment_id, arrived + INTERVAL 3 DAYS, seq + 1099511627776 FROM valid WHERE seq % 194 = 0),
+before AS (
+  SELECT *, LAG(arrived) OVER (PARTITION BY currency, settlement_account, payment_id ORDER BY arrived, seq) AS last_seen FROM resent)
+SELECT payment_id, COUNT(*) FILTER (WHERE last_seen IS NULL OR arrived >= last_seen + INTERVAL 1 DAY) AS accepted,
+       COUNT(*) FILTER (WHERE arrived < last_seen + INTERVAL 1 DAY) AS refused
+FROM before GROUP BY payment_id"""
+
+# Rows come in four batches.  A window drops the rows of a batch if it had ended, one second ago or more, before
+# the newest row of the batches up to the last but one.
+ORACLE["stream_late_rows"] = f"""WITH {FEED}, {_FIRST_FEED}, {_FEED_POSITIONS},
+quarters AS (
+  SELECT *, CAST(event_time >= TIMESTAMP '2024-01-08 00:00:00' AS INTEGER) + CAST(event_time >= TIMESTAMP '2024-01-15 00:00:00' AS INTEGER)
+         + CAST(event_time >= TIMESTAMP '2024-01-23 00:00:00' AS INTEGER) AS quarter
+  FROM payments),
+numbered AS (
+  SELECT *, CASE WHEN seq % 50 = 7 AND quarter < 2 THEN quarter + 2 ELSE quarter END AS batch,
+         TIME_BUCKET(INTERVAL 5 MINUTES, event_time) AS window_start FROM quarters),
+marks AS (
+  SELECT b.batch, (SELECT MAX(event_time) FROM numbered n WHERE n.batch < b.batch - 1) - INTERVAL 1 SECOND AS mark
+  FROM (SELECT DISTINCT batch FROM numbered) b),
+windowed AS (
+  SELECT *, COALESCE(window_start + INTERVAL 5 MINUTES <= mark, FALSE) AS late FROM numbered JOIN marks USING (batch)),
+per_account AS (
+  SELECT currency, settlement_account, COUNT(DISTINCT window_start) AS windows, COUNT(*) AS in_windows
+  FROM windowed WHERE NOT late GROUP BY ALL)
+SELECT currency, settlement_account, {_money('balance')} AS available_balance, n AS in_balance, windows, in_windows,
+       (SELECT COUNT(*) FROM windowed WHERE late) AS late_rows
+FROM positions JOIN per_account USING (currency, settlement_account)"""
+
+# Of 40 messages one is malformed and one a deletion.
+ORACLE["stream_thresholds_applied"] = f"""WITH {UPDATES},
+messages AS (
+  SELECT currency || ':' || COALESCE(settlement_account, '') AS key, updated_at, seq, seq % 40 = 6 AS deleted,
+         CASE WHEN seq % 40 <> 6 THEN warning END AS warning, CASE WHEN seq % 40 <> 6 THEN critical END AS critical
+  FROM updates
+  WHERE seq % 40 <> 5 AND settlement_account IS NOT NULL AND (seq % 40 = 6 OR seq % 50 <> 0)),
+held AS (
+  SELECT * FROM messages WHERE updated_at < {PENDING_NOW} QUALIFY ROW_NUMBER() OVER (PARTITION BY key ORDER BY seq DESC) = 1)
+SELECT key, {_money('warning')} AS warning, {_money('critical')} AS critical FROM held WHERE NOT deleted
+UNION ALL
+SELECT key, {_money('warning')} AS warning, {_money('critical')} AS critical FROM messages WHERE updated_at >= {PENDING_NOW}"""

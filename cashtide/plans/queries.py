@@ -11,10 +11,10 @@ from cashtide.functions.money import inbound, outbound, to_double, wide_sum
 from cashtide.operators import alerts, duplicates, feeds, flows, pending, positions, quality, thresholds
 from cashtide.plans import panels
 from cashtide.sources import driver_tables as D
-from cashtide.sources.payments import merge_rails, routed
+from cashtide.sources.payments import merge_rails, routed, spread, topic_files
 from cashtide.sources.tables import read_batches
 from cashtide.sources.workspace import new_path
-from cashtide.streaming import batches, jobs
+from cashtide.streaming import engine, identity, jobs, silence
 
 AS_OF = datetime(2024, 1, 31, tzinfo=timezone.utc)
 PENDING_AS_OF = datetime(2024, 1, 15, 12, tzinfo=timezone.utc)
@@ -427,7 +427,7 @@ def pending_top10_debits(spark, sf_dir):
 
 def _checked_stream(spark, sf_dir):
     events = D.table_stream(spark, sf_dir, "events", D.EVENTS_SCHEMA)
-    return quality.check(D.raw_feed(events))
+    return quality.check(spread(D.raw_feed(events)))
 
 
 def _updates_stream(spark, sf_dir):
@@ -452,7 +452,7 @@ def stream_flow_summary(spark, sf_dir):
 def _engine_output(spark, sf_dir):
     output = _new_output(spark, "engine")
     checked, updates = _checked_stream(spark, sf_dir), _updates_stream(spark, sf_dir)
-    jobs.run_to_end(jobs.start_engine(checked, updates, output, available_now=True))
+    jobs.run_to_end(engine.start_engine(checked, updates, output, available_now=True))
     return output
 
 
@@ -479,25 +479,145 @@ def stream_dlq(spark, sf_dir):
     return quality.dead_letters(*parts).drop("detected_at")
 
 
-def _files_stream(spark, sf_dir, files=4):
-    """The feed as a stream of several files, one in each micro-batch."""
-    folder = new_path(spark, "events-files")
-    _events(spark, sf_dir).repartitionByRange(files, "ts", "event_id").write.parquet(folder)
-    return spark.readStream.schema(D.EVENTS_SCHEMA).option("maxFilesPerTrigger", 1).parquet(folder)
+_CUTS = [datetime(2024, 1, day, tzinfo=timezone.utc) for day in (8, 15, 23)]
+
+
+def _quarter(time):
+    """0 to 3, by fixed cuts of the month."""
+    return sum([F.when(time >= F.lit(cut), 1).otherwise(0) for cut in _CUTS], F.lit(0))
+
+
+def _in_files(rows, number, files=4):
+    """Stored rows as a stream, a file in each micro-batch; ``number`` says which one, from 0."""
+    spark, folder = rows.sparkSession, new_path(rows.sparkSession, "files")
+    for wanted in range(files):  # one after the other: files are read by their age
+        rows.where(number == wanted).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+
+
+_TS = F.col("ts").cast("timestamp")
+
+
+def _files_stream(spark, sf_dir):
+    """The events as a stream of several files by time, one in each micro-batch."""
+    return _in_files(_events(spark, sf_dir), _quarter(_TS))
+
+
+def _ticked(events, moment):
+    """Events and a row that holds a time only, which moves the clock of a stream on."""
+    at = F.lit(f"{moment:%Y-%m-%d %H:%M:%S}").cast("timestamp_ntz").alias("ts")
+    return events.unionByName(events.sparkSession.range(1).select(at), allowMissingColumns=True)
 
 
 @query
 def stream_positions_many_batches(spark, sf_dir):
-    """Positions of the table-state engine when the feed comes in several micro-batches, with copies in all.
+    """Positions of the engine when the feed comes in several micro-batches, with copies in all.
 
-    Files come in any order, and so does the last payment, which is left out.
+    The last payment differs from the whole feed's where a copy opens a batch, so it is left out.
     """
     output = _new_output(spark, "many")
-    checked = quality.check(D.raw_feed(_files_stream(spark, sf_dir)))
-    jobs.run_to_end(batches.start_batches(checked, None, output, available_now=True))
+    checked = quality.check(spread(D.raw_feed(_files_stream(spark, sf_dir))))
+    jobs.run_to_end(engine.start_engine(checked, None, output, available_now=True))
     return jobs.positions_table(spark, output).read().drop("last_updated", "last_payment_id", "event_time")
 
 
+@query
+def stream_restart(spark, sf_dir):
+    """Positions of an engine that was stopped after two of four batches and opened again.
+
+    Beside each account: the ids in the engine's state, read by the state data source.
+    """
+    output, feed = _new_output(spark, "restart"), D.raw_feed(_files_stream(spark, sf_dir))
+
+    def opened():
+        return engine.start_engine(quality.check(spread(feed)), None, output, available_now=True)
+
+    jobs.run_batches(opened(), 2)
+    jobs.run_to_end(opened())
+    ids = identity.live_ids(spark, output.table("checkpoints/engine")).groupBy(*S.ACCOUNT_KEY)
+    counts = ids.agg(F.count(F.lit(1)).alias("ids_in_state"), F.sum("sightings").alias("sightings"))
+    return jobs.positions_table(spark, output).read().drop("last_updated", "last_payment_id", "event_time").join(counts, S.ACCOUNT_KEY, "full")
+
+
+ID_TTL_SECONDS = 86_400
+
+
+def resent_feed(spark, sf_dir):
+    """The feed with a third message of every 97th event, three days after the first."""
+    feed = D.raw_feed(_events(spark, sf_dir))
+    later = feed.where(F.col("seq") % 194 == 0).withColumns({"arrived": F.col("arrived") + F.expr("INTERVAL 3 DAYS"), "seq": F.col("seq") + F.lit(1 << 40)})
+    return feed.unionByName(later)
+
+
+@query
+def stream_id_ttl(spark, sf_dir):
+    """Messages accepted and refused of every payment id when ids are remembered for one day.
+
+    A copy after 30 seconds is refused, one after three days accepted.
+    """
+    output = _new_output(spark, "ttl")
+    checked = quality.check(spread(_in_files(resent_feed(spark, sf_dir), _quarter(F.col("arrived")))))
+    jobs.run_to_end(engine.start_engine(checked, None, output, available_now=True, id_ttl_seconds=ID_TTL_SECONDS))
+    ledger = spark.read.parquet(output.table("position_ledger")).select("payment_id", F.lit(True).alias("taken"))
+    copies = read_batches(spark, output.table("payments_dlq_duplicates"), S.DLQ).select("payment_id", F.lit(False).alias("taken"))
+    return ledger.unionByName(copies).groupBy("payment_id").agg(
+        F.count_if("taken").alias("accepted"), F.count_if(~F.col("taken")).alias("refused")
+    )
+
+
+@query
+def stream_feed_events(spark, sf_dir):
+    """Silences of the account feeds from event-time timers, over several micro-batches.
+
+    A tick moves the clock to ``AS_OF`` when the payments have ended.
+    """
+    output = _new_output(spark, "silences")
+    events = _ticked(_events(spark, sf_dir), AS_OF + timedelta(seconds=2))  # the watermark is a second behind
+    payments = D.payments(_in_files(events, _quarter(_TS)))
+    jobs.run_to_end(silence.start_silences(payments, output, available_now=True, stale_seconds=GAP_SECONDS))
+    return silence.gaps(read_batches(spark, output.table("feed_events"), silence.EVENT_TABLE))
+
+
+@query
+def stream_late_rows(spark, sf_dir):
+    """Payments of which one in fifty comes two batches late: closed windows drop it, balances keep it."""
+    output, counts = _new_output(spark, "late"), jobs.RowCounts()
+    quarter = _quarter(_TS)
+    number = F.when((F.col("event_id") % 50 == 7) & (quarter < 2), quarter + 2).otherwise(quarter)
+    feed = _in_files(_ticked(_events(spark, sf_dir), AS_OF + timedelta(days=1)), number)
+    spark.streams.addListener(counts)
+    try:
+        windows = jobs.start_flows(D.payments(feed), output, available_now=True)
+        jobs.run_to_end(windows)
+        checked = quality.check(spread(D.raw_feed(feed.where("event_id IS NOT NULL"))))
+        jobs.run_to_end(engine.start_engine(checked, None, output, available_now=True))
+        late = counts.late(windows)
+    finally:
+        spark.streams.removeListener(counts)
+    flow = read_batches(spark, output.table("liquidity_flow_summary"), S.TABLES["liquidity_flow_summary"])
+    per_account = flow.groupBy(*S.ACCOUNT_KEY).agg(F.count(F.lit(1)).alias("windows"), F.sum("payment_count").alias("in_windows"))
+    balances = jobs.positions_table(spark, output).read().select(*S.ACCOUNT_KEY, "available_balance", F.col("payment_count").alias("in_balance"))
+    return balances.join(per_account, S.ACCOUNT_KEY).withColumn("late_rows", F.lit(late).cast("long"))
+
+
+@query
+def stream_thresholds_applied(spark, sf_dir):
+    """Threshold changes that the engine applied, from a dumped topic of JSON text.
+
+    What the topic held before the engine starts is compacted and in force before the first payment; the
+    rest is read as a stream.  Malformed messages change nothing, deletions remove the bounds.
+    """
+    output, folder = _new_output(spark, "applied"), new_path(spark, "topic")
+    lines, noon = D.threshold_lines(D.table(spark, sf_dir, "orders")), F.lit(PENDING_AS_OF)
+    lines.where(F.col("updated_at") < noon).select("value").write.text(f"{folder}/before")
+    lines.where(F.col("updated_at") >= noon).select("value").write.text(f"{folder}/after")
+    held = thresholds.compacted(thresholds.decode_messages(topic_files(spark, f"{folder}/before", stream=False)))
+    updates = thresholds.decode_messages(topic_files(spark, f"{folder}/after").withColumn("arrived", F.current_timestamp()), "arrived")
+    run = engine.start_engine(_checked_stream(spark, sf_dir), updates, output, available_now=True, opening_bounds=held)
+    jobs.run_to_end(run)
+    return read_batches(spark, output.table("thresholds_applied"), engine.APPLIED)
+
+
 @query
 def stream_feed_health(spark, sf_dir):
     """0/1 per rail at ``AS_OF`` from the feed-health table of a stream of several micro-batches.
@@ -517,7 +637,7 @@ def stream_feed_health(spark, sf_dir):
 def _batches_output(spark, sf_dir):
     output = _new_output(spark, "batches")
     checked, updates = _checked_stream(spark, sf_dir), _updates_stream(spark, sf_dir)
-    jobs.run_to_end(batches.start_batches(checked, updates, output, available_now=True))
+    jobs.run_to_end(engine.start_engine(checked, updates, output, available_now=True))
     return output
 
 

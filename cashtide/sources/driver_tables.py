@@ -117,6 +117,8 @@ def raw_feed(events: DataFrame) -> DataFrame:
         F.when(F.col("_fault") == 1, F.concat(F.lit("not valid json {{ "), "payment_id"))
         .when(F.col("_fault") == 10, F.concat(F.lit('["'), "payment_id", F.lit('"]')))
         .when(F.col("_fault") == 12, F.concat(message, F.lit("x" * 600)))
+        .when(F.col("_fault") == 13, F.concat(message, F.lit(" "), message))
+        .when(F.col("_fault") == 14, F.concat(message, F.lit("}")))
         .otherwise(message)
     )
     return p.select(
@@ -147,6 +149,23 @@ def threshold_updates(orders: DataFrame) -> DataFrame:
     )
 
 
+def threshold_lines(orders: DataFrame) -> DataFrame:
+    """The desk's updates as lines of a dumped topic (value, updated_at); see ``sources.payments.topic_lines``.
+
+    Of each 40 one is cut short (no JSON) and one deletes its key.
+    """
+    updates = threshold_updates(orders).withColumn("currency", F.upper("currency"))
+    kind = F.col("seq") % 40
+    key = F.concat(F.col("currency"), F.lit(":"), F.coalesce("settlement_account", F.lit("")))
+    bound = {name: F.col(f"{name}_cents") / F.lit(100.0) for name in ("warning", "critical")}
+    message = F.to_json(F.struct(
+        "currency", "settlement_account", bound["warning"].alias("warning_threshold"), bound["critical"].alias("critical_threshold"),
+        "updated_by", F.date_format("updated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("updated_at"),
+    ))
+    text = F.when(kind == 5, F.substring(message, 1, 30)).when(kind != 6, message)
+    return updates.select(F.concat_ws("\t", F.col("seq").cast("string"), key, text).alias("value"), "updated_at")
+
+
 def rail_messages(source: DataFrame, rail: str, name: Column, who: Column, cents: Column) -> DataFrame:
     """Messages of one rail from any table: JSON text with the account chosen by ``who``.
 

@@ -81,6 +81,38 @@ def text_stream(spark: SparkSession, folder: str, files_per_trigger: int | None
     )
 
 
+def topic_lines(lines: DataFrame, value: str = "value") -> DataFrame:
+    """Lines of a dumped topic, ``offset TAB key [TAB message]``, as (key, raw, seq).
+
+    A line without a message is a deletion of its key; a line without an offset has a NULL ``seq``.
+    """
+    parts = F.split(value, "\t", 3)
+    message = F.when(F.size(parts) > 2, F.element_at(parts, 3))
+    return lines.select(
+        F.when(F.size(parts) > 1, F.element_at(parts, 2)).alias("key"),
+        message.alias("raw"),
+        F.element_at(parts, 1).try_cast("long").alias("seq"),
+    )
+
+
+def topic_files(spark: SparkSession, folder: str, stream: bool = True, files_per_trigger: int | None = None) -> DataFrame:
+    """Files of a dumped topic, as a stream or as a table; either can be read again from its start."""
+    if not stream:
+        return topic_lines(spark.read.text(folder))
+    reader = spark.readStream.format("text")
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return topic_lines(reader.load(folder))
+
+
+def spread(feed: DataFrame) -> DataFrame:
+    """Deal messages to all tasks before they are parsed, for feeds with fewer partitions than cores.
+
+    Parsing is the costly step; by position the deal is even, whatever the messages hold.
+    """
+    return feed.repartition("seq")
+
+
 def merge_rails(rails: list[DataFrame]) -> DataFrame:
     """Bag union of rail streams; no order between rails."""
     return reduce(lambda a, b: a.unionByName(b), rails)

@@ -1,12 +1,16 @@
 """Shared working folder: intermediate tables and stream progress live there."""
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
 _local_folders: dict[str, str] = {}
+_scopes = threading.local()
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,4 +42,27 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = new_path(spark, name)
     df.write.parquet(path)
+    if getattr(_scopes, "open", None):
+        _scopes.open[-1].append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables that this thread materializes inside are deleted at the end.
+
+    For work whose results are all written before it ends, as the batches of a stream.
+    """
+    if not hasattr(_scopes, "open"):
+        _scopes.open = []
+    _scopes.open.append([])
+    try:
+        yield
+    finally:
+        for path in _scopes.open.pop():
+            delete(spark, path)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

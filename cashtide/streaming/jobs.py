@@ -1,28 +1,21 @@
-"""The streaming jobs: account engine, window flows, rail merger."""
+"""What the streaming jobs share, and the simple ones: rejects, window flows, feed health, rail merger."""
 
+import threading
 import time
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import StreamingQuery, StreamingQueryListener
 
 from cashtide import schemas as S
 from cashtide.functions.keys import account_key
-from cashtide.functions.messages import json_message
-from cashtide.functions.money import to_money
-from cashtide.operators import alerts, duplicates, feeds, flows, quality, thresholds
-from cashtide.operators.merges import latest_per_key, upsert
+from cashtide.operators import alerts, feeds, flows, quality
+from cashtide.operators.merges import upsert
 from cashtide.operators.positions import position_rows
 from cashtide.sources.payments import merge_rails, routed
 from cashtide.sources.tables import VersionedTable, write_batch
-from cashtide.streaming import processor
-from cashtide.streaming.processor import INPUT_COLUMNS, OUTPUT_SCHEMA, PAYMENT_KIND, THRESHOLD_KIND, AccountProcessor
-
-# Executors need not have this package installed: the processor travels with the query.
-cloudpickle.register_pickle_by_value(processor)
 
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -100,6 +93,18 @@ def run_to_end(query: StreamingQuery) -> RunReport:
     return report
 
 
+def run_batches(query: StreamingQuery, count: int) -> None:
+    """Stop a query once ``count`` batches with input are committed; a batch under way is cut short.
+
+    What such a batch has written is written again, under the same batch id, when the query is reopened.
+    """
+    seen = set()
+    while query.isActive and len(seen) < count:
+        query.awaitTermination(0.05)
+        seen |= {p.batchId for p in query.recentProgress if p.numInputRows}
+    query.stop()
+
+
 def _moved_on(progress) -> bool:
     return progress.numInputRows > 0 or any(s.startOffset != s.endOffset for s in progress.sources)
 
@@ -111,56 +116,7 @@ def _between_batches(query: StreamingQuery, seconds: float = 5.0) -> None:
         time.sleep(0.01)
 
 
-# ---- account engine -----------------------------------------------------------------------
-
-
-def keyed_input(checked: DataFrame, updates: DataFrame | None) -> DataFrame:
-    """Accepted payments and threshold changes as one stream with the account key."""
-    zero, no = F.lit(0).cast("long"), F.lit(False)
-    payments = quality.valid_payments(checked, "seq", "arrived").select(
-        "*", F.lit(PAYMENT_KIND).alias("kind"), zero.alias("warning_cents"), zero.alias("critical_cents"),
-        no.alias("has_warning"), no.alias("has_critical"),
-    ).select(*INPUT_COLUMNS)
-    if updates is None:
-        return payments
-    empty = F.lit("")
-    changes = thresholds.accepted(updates).select(
-        *S.ACCOUNT_KEY, F.lit(THRESHOLD_KIND).alias("kind"), "arrived", "seq", empty.alias("payment_id"),
-        zero.alias("amount_cents"), empty.alias("direction"), F.col("updated_at").alias("event_time"),
-        F.coalesce("warning_cents", zero).alias("warning_cents"),
-        F.coalesce("critical_cents", zero).alias("critical_cents"),
-        F.col("warning_cents").isNotNull().alias("has_warning"),
-        F.col("critical_cents").isNotNull().alias("has_critical"),
-    ).select(*INPUT_COLUMNS)
-    return payments.unionByName(changes)
-
-
-def account_records(keyed: DataFrame, stale_seconds: float = S.STALE_FEED_SECONDS) -> DataFrame:
-    """Run the keyed processor.  Processing-time mode: late payments still change the balance."""
-    return keyed.groupBy(*S.ACCOUNT_KEY).transformWithStateInPandas(
-        statefulProcessor=AccountProcessor(int(stale_seconds * 1000)), outputStructType=OUTPUT_SCHEMA, outputMode="Update", timeMode="ProcessingTime"
-    )
-
-
-def start_engine(
-    checked: DataFrame,
-    updates: DataFrame | None,
-    output: Output,
-    available_now: bool = False,
-    stale_seconds: float = S.STALE_FEED_SECONDS,
-) -> StreamingQuery:
-    """Positions, ledger, alerts, duplicates and feed health from one stateful query.
-
-    ``checked`` comes from ``quality.check`` over (raw, seq, arrived), ``updates`` from
-    ``thresholds.decode_updates`` or ``check_updates`` with seq and arrived.
-    """
-    spark = checked.sparkSession
-    configure(spark)
-    records = account_records(keyed_input(checked, updates), stale_seconds)
-    writer = records.writeStream.outputMode("update").foreachBatch(
-        lambda batch, batch_id: write_records(batch, batch_id, output)
-    )
-    return start(writer, "engine", output, available_now)
+# ---- dead letters and positions ------------------------------------------------------------
 
 
 def start_rejects(checked: DataFrame, output: Output, available_now: bool = False) -> StreamingQuery:
@@ -187,48 +143,9 @@ def write_letters(letters: DataFrame, name: str, batch_id: int, output: Output)
         letters.unpersist()
 
 
-def ledger_rows(records: DataFrame) -> DataFrame:
-    return records.where("record_type = 'position'").drop("record_type", "stale_since", "detected_at")
-
-
-def write_records(batch: DataFrame, batch_id: int, output: Output) -> None:
-    """Split one batch of processor output over its tables and topics.
-
-    Every write is keyed by the batch id, so a replayed batch leaves the same tables.  Timers make
-    batches run without input, so kinds of records that do not occur are not written at all.
-    """
-    batch = batch.persist()
-    try:
-        _write_kinds(batch, batch_id, output)
-    finally:
-        batch.unpersist()
-
-
-def _write_kinds(batch: DataFrame, batch_id: int, output: Output) -> None:
-    kinds = {row["record_type"] for row in batch.select("record_type").distinct().collect()}  # five at most
-    if "position" in kinds:
-        ledger = ledger_rows(batch)
-        write_batch(ledger, output.table("position_ledger"), batch_id)
-        write_positions(ledger, batch_id, output)
-    if "duplicate" in kinds:
-        letters = duplicates.duplicate_letters(batch.where("record_type = 'duplicate'"))
-        write_letters(quality.dead_letters(letters), "payments_dlq_duplicates", batch_id, output)
-    if kinds & {"feed_stale", "feed_recovered"}:
-        _write_feed_events(batch.where("record_type IN ('feed_stale', 'feed_recovered')"), batch_id, output)
-    if "threshold_applied" in kinds:
-        applied = batch.where("record_type = 'threshold_applied'").select(
-            _key(), to_money(F.col("warning_cents")).alias("warning"), to_money(F.col("critical_cents")).alias("critical")
-        )
-        write_batch(applied, output.table("thresholds_applied"), batch_id)
-
-
-def _key():
-    return account_key(*[F.col(c) for c in S.ACCOUNT_KEY]).alias("key")
-
-
-def write_positions(ledger: DataFrame, batch_id: int, output: Output) -> None:
-    """The upserted positions table and the alerts of one batch of ledger rows."""
-    newest = latest_per_key(ledger, S.ACCOUNT_KEY, ["payment_count"]).withColumnRenamed("payment_id", "last_payment_id")
+def write_positions(ledger: DataFrame, newest: DataFrame, batch_id: int, output: Output) -> None:
+    """The upserted positions table and the alerts of one batch of ledger rows; ``newest`` has an account's last."""
+    newest = newest.withColumnRenamed("payment_id", "last_payment_id")
     table, table_key = positions_table(ledger.sparkSession, output), S.TABLE_KEYS["liquidity_positions"]
     table.write(upsert(table.read(before=batch_id), position_rows(newest), table_key, ["payment_count"]), batch_id)
 
@@ -242,31 +159,62 @@ def positions_table(spark: SparkSession, output: Output) -> VersionedTable:
     return VersionedTable(spark, output.table("liquidity_positions"), S.TABLES["liquidity_positions"])
 
 
-def _write_feed_events(feed: DataFrame, batch_id: int, output: Output) -> None:
-    events = feed.select(
-        F.col("record_type").alias("type"),
-        _key(),
-        F.unix_millis("stale_since").alias("stale_since_ts"),
-        F.unix_millis("detected_at").alias("detected_at_ts"),
-    )
-    write_batch(events, output.table("feed_events"), batch_id)
-    value = json_message(["type", "key", "stale_since_ts", "detected_at_ts"]).alias("value")
-    output.publish(events.select(F.lit(S.FEED_HEALTH_TOPIC).alias("topic"), "key", value), "feed_events", batch_id)
+# ---- window flows -------------------------------------------------------------------------
 
 
-# ---- window flows -------------------------------------------------------------------------
+class RowCounts(StreamingQueryListener):
+    """Rows that the flow windows of a query took in and gave out, over all its batches.
+
+    Once a query has closed all its windows, the difference are the rows that came too late for theirs.
+    """
+
+    def __init__(self):
+        self.taken: dict[str, int] = {}
+        self.given: dict[str, int] = {}
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        query = str(event.progress.id)
+        for name, counts in ((FLOW_INPUT, self.taken), (FLOW_OUTPUT, self.given)):
+            row = event.progress.observedMetrics.get(name)
+            if row is not None:
+                counts[query] = counts.get(query, 0) + (row["rows"] or 0)
+
+    def onQueryTerminated(self, event) -> None:
+        with self._change:
+            self._ended.add(str(event.id))
+            self._change.notify_all()
+
+    def late(self, query: StreamingQuery, seconds: float = 60) -> int:
+        """Rows dropped, once a query has ended whose windows are all closed; its reports come a moment later."""
+        with self._change:
+            if not self._change.wait_for(lambda: str(query.id) in self._ended, seconds):
+                raise TimeoutError(f"no report of the end of query {query.id}")
+        return self.taken.get(str(query.id), 0) - self.given.get(str(query.id), 0)
+
+
+FLOW_INPUT, FLOW_OUTPUT = "flow_input", "flow_output"
 
 
 def windowed_flows(payments: DataFrame) -> DataFrame:
-    """Flows with a watermark: windows close one second after their end, later rows are dropped."""
-    return flows.flow_rows(flows.flow_summary(payments.withWatermark("event_time", S.WATERMARK_DELAY)))
+    """Flows with a watermark: windows close one second after their end, later rows are dropped.
+
+    Rows without an account (ticks) move the watermark on and are counted nowhere.
+    """
+    seen = payments.observe(FLOW_INPUT, F.count_if(F.col("settlement_account").isNotNull()).alias("rows"))
+    found = flows.flow_rows(flows.flow_summary(seen.withWatermark("event_time", S.WATERMARK_DELAY)))
+    return found.observe(FLOW_OUTPUT, F.sum(F.when(F.col("settlement_account").isNotNull(), F.col("payment_count"))).alias("rows"))
 
 
 def start_flows(payments: DataFrame, output: Output, available_now: bool = False) -> StreamingQuery:
     """Closed windows appended to ``liquidity_flow_summary``; each window is written once."""
     configure(payments.sparkSession)
     writer = windowed_flows(payments).writeStream.outputMode("append").foreachBatch(
-        lambda batch, batch_id: write_batch(batch, output.table("liquidity_flow_summary"), batch_id)
+        lambda batch, batch_id: write_batch(batch.where(F.col("settlement_account").isNotNull()), output.table("liquidity_flow_summary"), batch_id)
     )
     return start(writer, "flows", output, available_now)
 
@@ -279,21 +227,22 @@ def start_feed_health(
 ) -> StreamingQuery:
     """Keep the feed-health table, one row for every rail from the first batch on.
 
-    Events of the last minute are counted over all batches: counts per rail and second are kept
-    beside the table.  No batch runs without input, so readers judge staleness when they read, with
+    Events of the last minute are counted over all batches: counts per rail and instant are kept
+    beside the table, newer events included, which count once the time has come.  No batch runs without input, so readers judge staleness when they read, with
     ``feeds.stale_at``.  ``as_of`` fixes the moment that "last minute" ends (default: now).
     """
     spark = payments.sparkSession
     configure(spark)
     table = feed_health_table(spark, output)
-    seconds = VersionedTable(spark, output.table("feed_seconds"), feeds.SECONDS)
+    recent = VersionedTable(spark, output.table("feed_recent"), feeds.RECENT)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         moment = as_of or datetime.now(timezone.utc)
-        counts = feeds.merge_seconds(seconds.read(before=batch_id), batch, moment).persist()
+        earlier = recent.read(before=batch_id)
+        counts = feeds.merge_recent(earlier, batch, moment).persist()
         try:
-            seconds.write(counts, batch_id)
-            table.write(feeds.health_from(table.read(before=batch_id), batch, counts, moment), batch_id)
+            recent.write(counts, batch_id)
+            table.write(feeds.health_from(table.read(before=batch_id), batch, earlier, counts, moment), batch_id)
         finally:
             counts.unpersist()
 

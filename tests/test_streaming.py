@@ -1,18 +1,20 @@
+import json
 import time
 from datetime import timedelta
 
 import pandas as pd
 import pytest
 from helpers import MILLION, START, message, thresholds
+from pyspark.sql import functions as F
 
 from cashtide import schemas as S
-from cashtide.operators import quality
+from cashtide.operators import feeds, quality
+from cashtide.operators import thresholds as thresholds_op
 from cashtide.operators.thresholds import check_updates
 from cashtide.plans import panels
 from cashtide.sources import payments as sources
 from cashtide.sources.tables import read_batches
-from cashtide.streaming import batches, jobs
-from cashtide.streaming.processor import PAYMENT_KIND, THRESHOLD_KIND, AccountProcessor
+from cashtide.streaming import engine, identity, jobs, silence
 
 FEED = "raw STRING, seq BIGINT, arrived TIMESTAMP"
 
@@ -34,7 +36,7 @@ class Feed:
 
 
 def payment(number, amount, at=0, **more):
-    text = (START + timedelta(seconds=at)).strftime("%Y-%m-%dT%H:%M:%S.000Z")
+    text = (START + timedelta(seconds=at)).isoformat(timespec="milliseconds").replace("+00:00", "Z")
     direction = "CREDIT" if amount > 0 else "DEBIT"
     return message(payment_id=f"p-{number}", amount=abs(amount), direction=direction, event_time=text, **more)
 
@@ -45,29 +47,22 @@ def updates_stream(spark, folder, changes):
     return spark.readStream.schema(rows.schema).parquet(str(folder))
 
 
-ENGINES = {
-    "keyed": lambda *args: jobs.run_to_end(jobs.start_engine(*args, available_now=True)),
-    "tables": lambda *args: jobs.run_to_end(batches.start_batches(*args, available_now=True)),
-}
-
-
-@pytest.fixture(params=list(ENGINES))
-def engine(request):
-    return ENGINES[request.param]
+def run_engine(*args, **kwargs):
+    return jobs.run_to_end(engine.start_engine(*args, available_now=True, **kwargs))
 
 
 def position(spark, output):
     return jobs.positions_table(spark, output).read().first()
 
 
-def test_restart_and_redelivery(spark, tmp_path, engine):
+def test_restart_and_redelivery(spark, tmp_path):
     """State survives a restart; a payment sent again after it is refused, not counted."""
     feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
     feed.add(payment(1, 100 * MILLION), payment(2, -20 * MILLION), payment(2, -20 * MILLION))
-    engine(feed.checked(), None, output)
+    run_engine(feed.checked(), None, output)
     assert int(position(spark, output)["available_balance"]) == 80 * MILLION
     feed.add(payment(1, 100 * MILLION), payment(3, 10 * MILLION))
-    engine(feed.checked(), None, output)
+    run_engine(feed.checked(), None, output)
     row = position(spark, output)
     assert (int(row["available_balance"]), row["payment_count"], row["last_payment_id"]) == (90 * MILLION, 3, "p-3")
     letters = read_batches(spark, output.table("payments_dlq_duplicates"), S.DLQ).collect()
@@ -77,23 +72,23 @@ def test_restart_and_redelivery(spark, tmp_path, engine):
     ]
 
 
-def test_late_payment_counts_in_the_balance(spark, tmp_path, engine):
+def test_late_payment_counts_in_the_balance(spark, tmp_path):
     feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
     feed.add(payment(1, 100 * MILLION, at=7200))
-    engine(feed.checked(), None, output)
+    run_engine(feed.checked(), None, output)
     feed.add(payment(2, 50 * MILLION, at=0))
-    engine(feed.checked(), None, output)
+    run_engine(feed.checked(), None, output)
     assert int(position(spark, output)["available_balance"]) == 150 * MILLION
 
 
-def test_thresholds_change_while_running(spark, tmp_path, engine):
+def test_thresholds_change_while_running(spark, tmp_path):
     feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
     feed.add(payment(1, 300 * MILLION))
     changes = [(-10, 2000 * MILLION, 100 * MILLION)]
-    engine(feed.checked(), updates_stream(spark, tmp_path / "thr", changes), output)
+    run_engine(feed.checked(), updates_stream(spark, tmp_path / "thr", changes), output)
     feed.add(payment(2, 11 * MILLION))  # arrives one second after the first
     changes = [(0, 2000 * MILLION, 500 * MILLION)]
-    engine(feed.checked(), updates_stream(spark, tmp_path / "thr", changes), output)
+    run_engine(feed.checked(), updates_stream(spark, tmp_path / "thr", changes), output)
     found = read_batches(spark, output.table("alert_log"), S.TABLES["alert_log"]).collect()
     assert sorted((r["payment_id"], r["alert_type"]) for r in found) == [("p-1", "WARNING"), ("p-2", "CRITICAL")]
     topics = read_batches(spark, output.table("topics/alerts"), spark.createDataFrame([], "topic STRING, key STRING, value STRING").schema)
@@ -101,25 +96,67 @@ def test_thresholds_change_while_running(spark, tmp_path, engine):
 
 
 def test_replayed_batch_leaves_the_same_tables(spark, tmp_path):
-    output = jobs.Output(str(tmp_path / "out"))
-    rows = [
-        ("GBP", "RTGS-GBP-001", PAYMENT_KIND, START + timedelta(seconds=i), i, f"p-{i % 3}", 100, "CREDIT", START, 0, 0, False, False)
-        for i in range(5)
-    ]
-    batch = spark.createDataFrame(
-        rows,
-        "currency STRING, settlement_account STRING, kind INT, arrived TIMESTAMP, seq BIGINT, payment_id STRING, "
-        "amount_cents BIGINT, direction STRING, event_time TIMESTAMP, warning_cents BIGINT, critical_cents BIGINT, "
-        "has_warning BOOLEAN, has_critical BOOLEAN",
+    """A batch whose commit is lost runs again: same balance, same letters, same state."""
+    feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
+    feed.add(*[payment(n % 3, 10 * MILLION) for n in range(5)])
+    run_engine(feed.checked(), None, output)
+    feed.add(*[payment(n % 4, 10 * MILLION) for n in range(5)])
+    for lost in (False, True):
+        run_engine(feed.checked(), None, output)
+        row = position(spark, output)
+        assert (row["payment_count"], int(row["available_balance"])) == (4, 40 * MILLION)
+        assert read_batches(spark, output.table("payments_dlq_duplicates"), S.DLQ).count() == 2 + 4
+        ids = identity.live_ids(spark, output.table("checkpoints/engine")).collect()
+        assert sorted((r.payment_id, r.sightings) for r in ids) == [("p-0", 4), ("p-1", 3), ("p-2", 2), ("p-3", 1)]
+        if not lost:
+            commits = tmp_path / "out/checkpoints/engine/commits"
+            last = max((p for p in commits.iterdir() if p.name.isdigit()), key=lambda p: int(p.name))
+            last.rename(tmp_path / "lost-commit")
+            for crc in commits.glob(f".{last.name}.crc"):
+                crc.rename(tmp_path / "lost-commit.crc")
+
+
+def test_hot_account_keeps_all_tasks_busy(spark, tmp_path):
+    """Nine in ten payments are of one account: its ids and its balances are spread over all tasks."""
+    rows = spark.range(4_000).select(
+        F.lit("GBP").alias("currency"),
+        F.when(F.col("id") % 10 == 0, "CHAPS-GBP-001").otherwise("RTGS-GBP-001").alias("settlement_account"),
+        F.concat(F.lit("p-"), F.col("id")).alias("payment_id"),
+        F.lit(100).cast("long").alias("amount_cents"),
+        F.lit("CREDIT").alias("direction"),
+        *[F.lit(None).cast("string").alias(c) for c in ("rail", "counterparty", "stage")],
+        *[F.timestamp_seconds(F.col("id") + 1_700_000_000).alias(c) for c in ("event_time", "arrived")],
+        F.col("id").alias("seq"),
     )
-    for _ in range(2):
-        batches.process_batch(batch, 0, output)
-    assert (position(spark, output)["payment_count"], int(position(spark, output)["available_balance"])) == (3, 3)
-    batches.process_batch(batch, 1, output)
-    for _ in range(2):
-        batches.process_batch(batch, 1, output)
+    rows.coalesce(1).write.parquet(str(tmp_path / "in"))
+    output = jobs.Output(str(tmp_path / "out"))
+    run_engine(spark.readStream.schema(rows.schema).parquet(str(tmp_path / "in")), None, output, ranges=4)
+    found = {r["settlement_account"]: r["payment_count"] for r in jobs.positions_table(spark, output).read().collect()}
+    assert found == {"RTGS-GBP-001": 3_600, "CHAPS-GBP-001": 400}
+    hot = F.col("settlement_account") == "RTGS-GBP-001"
+    ids = identity.live_ids(spark, output.table("checkpoints/engine")).where(hot)
+    per_task = [r["count"] for r in ids.groupBy("partition_id").count().collect()]
+    assert len(per_task) == 4 and max(per_task) < 1.3 * min(per_task)
+    ledger = spark.read.parquet(output.table("position_ledger")).where(hot)
+    assert ledger.count() == ledger.select("balance_cents").distinct().count() == 3_600
+    assert ledger.agg(F.max("balance_cents")).first()[0] == 360_000
+
+
+@pytest.mark.parametrize("cut", [1, 3])
+def test_ids_expire(spark, tmp_path, cut):
+    """With a limit of a day: a copy inside is refused, one outside accepted, however the input is cut."""
+    hours = [0, 1, 23, 30, 60, 200, 201, 223]  # gaps of 1, 22, 7, 30, 140, 1 and 22 hours
+    rows = [(payment(1, 10 * MILLION), i, START + timedelta(hours=h)) for i, h in enumerate(hours)]
+    folder, output = tmp_path / "in", jobs.Output(str(tmp_path / "out"))
+    for part in range(cut):
+        chosen = rows[len(rows) * part // cut : len(rows) * (part + 1) // cut]
+        spark.createDataFrame(chosen, FEED).coalesce(1).write.mode("append").parquet(str(folder))
+        run_engine(quality.check(spark.readStream.schema(FEED).parquet(str(folder))), None, output, id_ttl_seconds=86_400)
     assert position(spark, output)["payment_count"] == 3
-    assert read_batches(spark, output.table("payments_dlq_duplicates"), S.DLQ).count() == 2 + 5
+    taken = spark.read.parquet(output.table("position_ledger")).orderBy("arrived").collect()
+    assert [r["seq"] for r in taken] == [0, 4, 5]
+    slots = identity.live_ids(spark, output.table("checkpoints/engine")).select("slot_start").distinct().count()
+    assert slots <= 4 if cut > 1 else slots >= 1  # earlier slots are gone once later batches came
 
 
 def test_flow_window_drops_late_rows(spark, tmp_path):
@@ -132,15 +169,18 @@ def test_flow_window_drops_late_rows(spark, tmp_path):
     assert [(r["payment_count"], int(r["net_flow"])) for r in rows] == [(1, 20 * MILLION), (1, 20 * MILLION)]
 
 
-def test_silence_and_recovery(spark, tmp_path):
+def test_silence_and_recovery_by_the_clock(spark, tmp_path):
+    """Live monitoring of what the engine accepted: silence is reported, then recovery."""
     feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
     feed.add(payment(1, 100 * MILLION))
-    query = jobs.start_engine(feed.checked(), None, output, stale_seconds=2)
-    schema = spark.createDataFrame([], "type STRING, key STRING, stale_since_ts BIGINT, detected_at_ts BIGINT").schema
+    run_engine(feed.checked(), None, output)
+    ledger = output.table("position_ledger")
+    accepted = spark.readStream.schema(spark.read.parquet(ledger).schema).parquet(ledger)
+    query = silence.start_silences(accepted, output, stale_seconds=2, clock="processing")
 
     def wait_for(kind):
         for _ in range(120):
-            rows = [r for r in read_batches(spark, output.table("feed_events"), schema).collect() if r["type"] == kind]
+            rows = [r for r in read_batches(spark, output.table("feed_events"), silence.EVENT_TABLE).collect() if r["type"] == kind]
             if rows:
                 return rows
             assert query.isActive, query.exception()
@@ -150,9 +190,10 @@ def test_silence_and_recovery(spark, tmp_path):
     try:
         stale = wait_for("feed_stale")
         assert len(stale) == 1 and stale[0]["key"] == "GBP:RTGS-GBP-001"
-        assert stale[0]["detected_at_ts"] - stale[0]["stale_since_ts"] == 2000
+        assert stale[0]["detected_at"] - stale[0]["stale_since"] == timedelta(seconds=2)
         feed.add(payment(2, 10 * MILLION))
-        assert wait_for("feed_recovered")[0]["stale_since_ts"] == stale[0]["stale_since_ts"]
+        run_engine(feed.checked(), None, output)
+        assert wait_for("feed_recovered")[0]["stale_since"] == stale[0]["stale_since"]
     finally:
         query.stop()
 
@@ -187,18 +228,36 @@ def test_feed_health_counts_the_minute_over_batches_and_turns_stale_when_read(sp
     assert [r["value"] for r in at[60]] == [1, 1, 0] and [r["value"] for r in at[200]] == [1, 1, 1]
 
 
-def test_empty_files_do_not_end_a_run(spark, tmp_path, engine):
+def test_feed_health_equals_the_batch_definition_at_every_moment(spark, tmp_path):
+    """Boundary instants, events after the moment that count later, and late ones."""
+    feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
+    seconds = [[0.0, 59.9999, 60.0, 61.5], [0.0005, 0.001, 90.0, 300.0], [60.0, 119.5, 150.0]]
+    moments = [60, 60.001, 120, 400]
+    sent = []
+    for number, moment in enumerate(moments):
+        times = seconds[number] if number < len(seconds) else [10.0]
+        sent += times
+        rows = [(payment(f"{number}-{i}", 20 * MILLION, at=t), 0, START) for i, t in enumerate(times)]
+        spark.createDataFrame(rows, FEED).coalesce(1).write.mode("append").parquet(feed.folder)
+        as_of = START + timedelta(seconds=moment)
+        jobs.run_to_end(jobs.start_feed_health(quality.valid_payments(feed.checked()), output, available_now=True, as_of=as_of))
+        ours = jobs.feed_health_table(spark, output).read().orderBy("rail").collect()
+        payments = quality.valid_payments(quality.check(spark.read.schema(FEED).parquet(feed.folder)))
+        assert ours == feeds.rail_health(payments, as_of).orderBy("rail").collect()
+
+
+def test_empty_files_do_not_end_a_run(spark, tmp_path):
     feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
     feed.add(payment(1, 100 * MILLION))
     for _ in range(4):
         spark.createDataFrame([], FEED).coalesce(1).write.mode("append").parquet(feed.folder)
     feed.add(payment(2, 10 * MILLION))
     stream = spark.readStream.schema(FEED).option("maxFilesPerTrigger", 1).parquet(feed.folder)
-    engine(quality.check(stream), None, output)
+    run_engine(quality.check(stream), None, output)
     assert position(spark, output)["payment_count"] == 2
 
 
-def test_any_cut_of_the_input_gives_the_same_tables(spark, tmp_path, engine):
+def test_any_cut_of_the_input_gives_the_same_tables(spark, tmp_path):
     days = [0, 0, 3 * 86_400, 3 * 86_400, 9 * 86_400]
     texts = [payment(n % 3, 10 * MILLION) for n in range(5)]
     found = []
@@ -208,7 +267,7 @@ def test_any_cut_of_the_input_gives_the_same_tables(spark, tmp_path, engine):
         for part in range(cut):
             chosen = rows[len(rows) * part // cut : len(rows) * (part + 1) // cut]
             spark.createDataFrame(chosen, FEED).coalesce(1).write.mode("append").parquet(str(folder))
-            engine(quality.check(spark.readStream.schema(FEED).parquet(str(folder))), None, output)
+            run_engine(quality.check(spark.readStream.schema(FEED).parquet(str(folder))), None, output)
         row = position(spark, output)
         copies = read_batches(spark, output.table("payments_dlq_duplicates"), S.DLQ).count()
         found.append((int(row["available_balance"]), row["payment_count"], copies))
@@ -234,7 +293,48 @@ def test_kafka_options():
     assert jobs.kafka_sink_options("b") == {"kafka.bootstrap.servers": "b", "kafka.acks": "all"}
 
 
-# ---- the processor alone, with state kept in dictionaries ---------------------------------
+def test_threshold_topic_of_text(spark):
+    """Malformed messages change nothing, deletions remove bounds, and the newest usable message counts."""
+
+    def text(warning, critical, account="RTGS-GBP-001"):
+        fields = {"currency": "GBP", "settlement_account": account, "warning_threshold": warning, "critical_threshold": critical}
+        return json.dumps(fields | {"updated_by": "desk", "updated_at": "2026-04-01T09:00:00Z"})
+
+    key = "GBP:RTGS-GBP-001"
+    lines = [
+        f"1\t{key}\t{text(200, 100)}", f"3\t{key}\t{text(400, 300)}", f"2\t{key}\t{text(9, 8)}", f"4\t{key}\tnot json",
+        f"5\t{key}\t{text(1, 2)}", f"6\tGBP:B\t{text(50, None, 'B')}", "7\tGBP:B", "8\t", "9", f"10\tGBP:C\t{text(70, 60, 'C')}\ttail",
+    ]
+    messages = sources.topic_lines(spark.createDataFrame([(line,) for line in lines], "value STRING"))
+    decoded = thresholds_op.decode_messages(messages)
+    errors = {r["seq"]: r["error"] for r in decoded.collect()}
+    assert {n for n, e in errors.items() if e is None} == {1, 2, 3, 6, 7}
+    assert [(r["settlement_account"], r["warning_cents"], r["critical_cents"]) for r in thresholds_op.compacted(decoded).collect()] == [
+        ("RTGS-GBP-001", 40_000, 30_000)
+    ]
+
+
+def test_opening_bounds_hold_until_changed_or_deleted(spark, tmp_path):
+    feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
+    opening = spark.createDataFrame([("GBP", "RTGS-GBP-001", 50_000 * MILLION, 20_000 * MILLION)], "currency STRING, settlement_account STRING, warning_cents BIGINT, critical_cents BIGINT")
+    topic = tmp_path / "topic"
+    topic.mkdir()
+
+    def run():
+        changes = sources.topic_files(spark, str(topic)).withColumn("arrived", F.lit(START))
+        run_engine(feed.checked(), thresholds_op.decode_messages(changes, "arrived"), output, opening_bounds=opening)
+
+    feed.add(payment(1, 300 * MILLION))
+    run()
+    (topic / "1.txt").write_text("1\tGBP:RTGS-GBP-001\n")
+    feed.add(payment(2, 11 * MILLION))
+    run()
+    assert [r["payment_id"] for r in read_batches(spark, output.table("alert_log"), S.TABLES["alert_log"]).collect()] == ["p-1"]
+    applied = read_batches(spark, output.table("thresholds_applied"), engine.APPLIED).collect()
+    assert sorted((r["key"], r["warning"] is None) for r in applied) == [("GBP:RTGS-GBP-001", False), ("GBP:RTGS-GBP-001", True)]
+
+
+# ---- the silence processor alone, with state kept in memory ---------------------------------
 
 
 class Value:
@@ -250,17 +350,6 @@ class Value:
     def update(self, value):
         self.value = value
 
-    def clear(self):
-        self.value = None
-
-
-class Map(dict):
-    def exists(self):
-        return bool(self)
-
-    containsKey = dict.__contains__
-    updateValue = dict.__setitem__
-
 
 class Handle:
     def __init__(self):
@@ -269,9 +358,6 @@ class Handle:
     def getValueState(self, name, schema):
         return Value()
 
-    def getMapState(self, name, key_schema, value_schema):
-        return Map()
-
     def listTimers(self):
         return iter(self.timers)
 
@@ -289,69 +375,45 @@ class Clock:
     def getCurrentProcessingTimeInMs(self):
         return self.now
 
-    getExpiryTimeInMs = getCurrentProcessingTimeInMs
+    getExpiryTimeInMs = getCurrentWatermarkInMs = getCurrentProcessingTimeInMs
 
 
 KEY = ("GBP", "RTGS-GBP-001")
+SECOND = 1_000_000
 
 
-def processor():
-    p = AccountProcessor(60_000)
+def silence_processor(by_event):
+    p = silence.SilenceProcessor(60 * SECOND, by_event)
     p.init(Handle())
     return p
 
 
-def frame(*rows):
-    """Rows (kind, arrived second, id, amount, direction, warning, critical)."""
-    return pd.DataFrame(
-        [
-            {
-                "currency": KEY[0], "settlement_account": KEY[1], "kind": kind, "arrived": pd.Timestamp(at, unit="s"),
-                "seq": i, "payment_id": name, "amount_cents": amount, "direction": direction,
-                "event_time": pd.Timestamp(at, unit="s"), "warning_cents": w or 0, "critical_cents": c or 0,
-                "has_warning": w is not None, "has_critical": c is not None,
-            }
-            for i, (kind, at, name, amount, direction, w, c) in enumerate(rows)
-        ]
-    )
-
-
-def pay(at, name, amount):
-    return (PAYMENT_KIND, at, name, abs(amount), "CREDIT" if amount > 0 else "DEBIT", None, None)
-
-
-def run(p, rows, now=0):
-    out = pd.concat(list(p.handleInputRows(KEY, iter([frame(*rows)]), Clock(now))), ignore_index=True)
-    return {kind: part.reset_index(drop=True) for kind, part in out.groupby("record_type")}
+def heard(p, *stretches, now=0):
+    rows = pd.DataFrame(stretches or [(0, 0)], columns=["first_us", "last_us"])
+    found = pd.concat([pd.DataFrame(columns=silence._COLUMNS), *p.handleInputRows(KEY, iter([rows]), Clock(now))])
+    return list(zip(found["type"], found["stale_since_us"], found["detected_at_us"]))
 
 
 def test_each_accepted_payment_moves_the_only_timer():
-    p = processor()
-    run(p, [pay(0, "a", 5)], now=1_000)
+    p = silence_processor(False)
+    heard(p, now=1_000)
     assert p.handle.timers == {61_000}
-    run(p, [pay(1, "b", 5)], now=11_000)
-    assert p.handle.timers == {71_000}
-    run(p, [pay(2, "b", 5)], now=20_000)  # a duplicate does not move it
+    heard(p, now=11_000)
     assert p.handle.timers == {71_000}
-
-
-def test_timer_reports_silence_only():
-    rows = list(processor().handleExpiredTimer(KEY, Clock(), Clock(1_743_498_060_000)))
-    assert len(rows) == 1 and list(rows[0]["record_type"]) == ["feed_stale"]
-    assert rows[0]["stale_since"][0] == pd.Timestamp(1_743_498_000_000, unit="ms")
-
-
-def test_thresholds_are_taken_in_arrival_order():
-    p = processor()
-    change = (THRESHOLD_KIND, 2, "", 0, "", 2000, 500)
-    out = run(p, [pay(1, "a", 100), pay(2, "b", 100), change])
-    assert out["position"]["warning_cents"].tolist() == [pd.NA, 2000]
-    assert out["threshold_applied"]["critical_cents"].tolist() == [500]
-    assert run(p, [pay(3, "c", -50)])["position"]["critical_cents"].tolist() == [500]
-
-
-def test_large_cents_stay_exact():
-    p, big = processor(), 2**62 + 1
-    assert run(p, [pay(0, "a", big)])["position"]["balance_cents"].tolist() == [big]
-    with pytest.raises(OverflowError):
-        run(p, [pay(1, "b", big)])
+    rows = list(p.handleExpiredTimer(KEY, Clock(), Clock(71_000)))
+    assert list(rows[0]["type"]) == ["feed_stale"] and list(rows[0]["stale_since_us"]) == [11 * SECOND]
+    assert heard(p, now=100_000) == [("feed_recovered", 11 * SECOND, 100 * SECOND)]
+
+
+def test_stretches_bound_silences():
+    """Silences between stretches, in any order of arrival within a batch, and one still open."""
+    p = silence_processor(True)
+    found = heard(p, (130 * SECOND, 150 * SECOND), (0, 50 * SECOND), now=180_000)
+    assert found == [("feed_stale", 50 * SECOND, 110 * SECOND), ("feed_recovered", 50 * SECOND, 130 * SECOND)]
+    assert p.handle.timers == {240_000}  # the limit is at 210 s; payments up to there are known at 240 s
+    assert heard(p, (210 * SECOND, 211 * SECOND), now=240_000) == []  # 60 seconds sharp are no silence
+    assert heard(p, (272 * SECOND, 272 * SECOND), now=420_000) == [
+        ("feed_stale", 211 * SECOND, 271 * SECOND), ("feed_recovered", 211 * SECOND, 272 * SECOND), ("feed_stale", 272 * SECOND, 332 * SECOND)
+    ]
+    assert p.handle.timers == set()
+    assert list(p.handleInputRows((None, None), iter([]), Clock())) == []  # ticks
