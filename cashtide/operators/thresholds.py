@@ -32,7 +32,7 @@ def decode_updates(df: DataFrame, *extra: str, raw: str = "raw") -> DataFrame:
         *extra,
     )
     checked = check_updates(updates, F.col("_bad_number"))
-    error = F.when(F.col("_bad_text"), F.lit("not one JSON object")).otherwise(F.col("error"))
+    error = F.coalesce("error", F.when(F.col("_bad_text"), F.lit("text behind the JSON object")))
     return checked.withColumn("error", error).drop("_bad_number", "_bad_text")
 
 

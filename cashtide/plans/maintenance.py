@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cashtide import schemas as S
 from cashtide.operators import pending, thresholds
-from cashtide.sources.tables import VersionedTable, write_batch
+from cashtide.sources.tables import VersionedTable, read_batch, write_batch
 from cashtide.streaming.jobs import Output
 
 
@@ -19,7 +19,7 @@ def refresh_pending(spark: SparkSession, incoming: DataFrame, as_of: datetime, o
     snapshot, summary = pending.refresh_pending(table.read(before=run), incoming, as_of)
     table.write(snapshot, run)
     write_batch(summary, output.table("pending_runs"), run)
-    return spark.read.parquet(f"{output.table('pending_runs')}/batch={run}")
+    return read_batch(spark, output.table("pending_runs"), run)
 
 
 def publish_thresholds(spark: SparkSession, updates: DataFrame, output: Output, run: int) -> DataFrame:

@@ -558,7 +558,7 @@ def stream_id_ttl(spark, sf_dir):
     output = _new_output(spark, "ttl")
     checked = quality.check(spread(_in_files(resent_feed(spark, sf_dir), _quarter(F.col("arrived")))))
     jobs.run_to_end(engine.start_engine(checked, None, output, available_now=True, id_ttl_seconds=ID_TTL_SECONDS))
-    ledger = spark.read.parquet(output.table("position_ledger")).select("payment_id", F.lit(True).alias("taken"))
+    ledger = read_batches(spark, output.table("position_ledger")).select("payment_id", F.lit(True).alias("taken"))
     copies = read_batches(spark, output.table("payments_dlq_duplicates"), S.DLQ).select("payment_id", F.lit(False).alias("taken"))
     return ledger.unionByName(copies).groupBy("payment_id").agg(
         F.count_if("taken").alias("accepted"), F.count_if(~F.col("taken")).alias("refused")

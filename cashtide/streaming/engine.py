@@ -18,7 +18,7 @@ from cashtide.functions.money import to_money
 from cashtide.operators import duplicates, quality, thresholds
 from cashtide.operators.merges import latest_per_key
 from cashtide.operators.positions import position_ledger
-from cashtide.sources.tables import VersionedTable, write_batch
+from cashtide.sources.tables import VersionedTable, read_batch, write_batch
 from cashtide.sources.workspace import materialize, scratch
 from cashtide.streaming import identity
 from cashtide.streaming.identity import PAYMENT_KIND, THRESHOLD_KIND
@@ -120,18 +120,13 @@ def _process(batch: DataFrame, kinds: set[int], batch_id: int, output: Output, r
     if PAYMENT_KIND in kinds:
         fresh = payments.where("NOT is_copy").drop("is_copy")
         rows = position_ledger(fresh, changes, opening=opening, time="arrived", ranges=ranges)
-        write_batch(rows, output.table("position_ledger"), batch_id)
-        ledger = output_batch(batch.sparkSession, output, "position_ledger", batch_id)
+        write_batch(rows, output.table("position_ledger"), batch_id, "event_time")
+        ledger = read_batch(batch.sparkSession, output.table("position_ledger"), batch_id)
         newest = materialize(latest_per_key(ledger, S.ACCOUNT_KEY, ["payment_count"]), "newest")
         write_positions(ledger, newest, batch_id, output)
     state.write(_next_state(opening, newest, changes), batch_id)
 
 
-def output_batch(spark: SparkSession, output: Output, name: str, batch_id: int) -> DataFrame:
-    """What a batch has written: one computation for all that follows."""
-    return spark.read.parquet(f"{output.table(name)}/batch={batch_id}")
-
-
 def applied_rows(changes: DataFrame) -> DataFrame:
     """The record that a threshold change was applied; both bounds are NULL where they were deleted."""
     key = account_key(*[F.col(c) for c in S.ACCOUNT_KEY]).alias("key")

@@ -132,7 +132,7 @@ def start_rejects(checked: DataFrame, output: Output, available_now: bool = Fals
 def write_letters(letters: DataFrame, name: str, batch_id: int, output: Output) -> None:
     letters = letters.persist()
     try:
-        write_batch(letters, output.table(name), batch_id)
+        write_batch(letters, output.table(name), batch_id, "detected_at")
         messages = letters.select(
             F.lit(S.DLQ_TOPIC).alias("topic"),
             account_key(F.col("currency"), F.col("settlement_account")).alias("key"),
@@ -151,7 +151,7 @@ def write_positions(ledger: DataFrame, newest: DataFrame, batch_id: int, output:
 
     # Payment ids are unique per account here and a replay replaces its folder, so the alert key is unique.
     found = alerts.alert_rows(alerts.alerts(ledger))
-    write_batch(found, output.table("alert_log"), batch_id)
+    write_batch(found, output.table("alert_log"), batch_id, "triggered_at")
     output.publish(alerts.alert_messages(found), "alerts", batch_id)
 
 
@@ -214,7 +214,7 @@ def start_flows(payments: DataFrame, output: Output, available_now: bool = False
     """Closed windows appended to ``liquidity_flow_summary``; each window is written once."""
     configure(payments.sparkSession)
     writer = windowed_flows(payments).writeStream.outputMode("append").foreachBatch(
-        lambda batch, batch_id: write_batch(batch.where(F.col("settlement_account").isNotNull()), output.table("liquidity_flow_summary"), batch_id)
+        lambda batch, batch_id: write_batch(batch.where(F.col("settlement_account").isNotNull()), output.table("liquidity_flow_summary"), batch_id, "window_start")
     )
     return start(writer, "flows", output, available_now)
 

@@ -146,7 +146,7 @@ def _write(batch: DataFrame, batch_id: int, output: Output) -> None:
         key = account_key(*[F.col(c) for c in S.ACCOUNT_KEY]).alias("key")
         times = [F.timestamp_micros(f"{c}_us").alias(c) for c in ("stale_since", "detected_at")]
         events = batch.select("type", key, *times)
-        write_batch(events, output.table("feed_events"), batch_id)
+        write_batch(events, output.table("feed_events"), batch_id, "detected_at")
         fields = ["type", "key", *[F.unix_millis(c).alias(f"{c}_ts") for c in ("stale_since", "detected_at")]]
         messages = events.select(F.lit(S.FEED_HEALTH_TOPIC).alias("topic"), "key", json_message(fields).alias("value"))
         output.publish(messages, "feed_events", batch_id)

@@ -13,7 +13,7 @@ from cashtide.operators import thresholds as thresholds_op
 from cashtide.operators.thresholds import check_updates
 from cashtide.plans import panels
 from cashtide.sources import payments as sources
-from cashtide.sources.tables import read_batches
+from cashtide.sources.tables import batch_stream, read_batches
 from cashtide.streaming import engine, identity, jobs, silence
 
 FEED = "raw STRING, seq BIGINT, arrived TIMESTAMP"
@@ -137,7 +137,7 @@ def test_hot_account_keeps_all_tasks_busy(spark, tmp_path):
     ids = identity.live_ids(spark, output.table("checkpoints/engine")).where(hot)
     per_task = [r["count"] for r in ids.groupBy("partition_id").count().collect()]
     assert len(per_task) == 4 and max(per_task) < 1.3 * min(per_task)
-    ledger = spark.read.parquet(output.table("position_ledger")).where(hot)
+    ledger = read_batches(spark, output.table("position_ledger")).where(hot)
     assert ledger.count() == ledger.select("balance_cents").distinct().count() == 3_600
     assert ledger.agg(F.max("balance_cents")).first()[0] == 360_000
 
@@ -153,7 +153,7 @@ def test_ids_expire(spark, tmp_path, cut):
         spark.createDataFrame(chosen, FEED).coalesce(1).write.mode("append").parquet(str(folder))
         run_engine(quality.check(spark.readStream.schema(FEED).parquet(str(folder))), None, output, id_ttl_seconds=86_400)
     assert position(spark, output)["payment_count"] == 3
-    taken = spark.read.parquet(output.table("position_ledger")).orderBy("arrived").collect()
+    taken = read_batches(spark, output.table("position_ledger")).orderBy("arrived").collect()
     assert [r["seq"] for r in taken] == [0, 4, 5]
     slots = identity.live_ids(spark, output.table("checkpoints/engine")).select("slot_start").distinct().count()
     assert slots <= 4 if cut > 1 else slots >= 1  # earlier slots are gone once later batches came
@@ -175,7 +175,7 @@ def test_silence_and_recovery_by_the_clock(spark, tmp_path):
     feed.add(payment(1, 100 * MILLION))
     run_engine(feed.checked(), None, output)
     ledger = output.table("position_ledger")
-    accepted = spark.readStream.schema(spark.read.parquet(ledger).schema).parquet(ledger)
+    accepted = batch_stream(spark, ledger, read_batches(spark, ledger).schema)
     query = silence.start_silences(accepted, output, stale_seconds=2, clock="processing")
 
     def wait_for(kind):
@@ -281,7 +281,7 @@ def test_merger_and_text_source(spark, tmp_path):
         spark.createDataFrame([(message(rail=rail.upper()),)], "value STRING").write.text(str(tmp_path / rail))
         rails.append(sources.text_stream(spark, str(tmp_path / rail)))
     jobs.run_to_end(jobs.start_merger(rails, output, available_now=True))
-    rows = spark.read.parquet(output.table("topics/payments")).collect()
+    rows = read_batches(spark, output.table("topics/payments")).collect()
     assert [(r["topic"], r["key"]) for r in rows] == [("payments.all", "GBP:RTGS-GBP-001")] * 2
 
 

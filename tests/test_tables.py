@@ -1,6 +1,8 @@
-from datetime import timedelta
+from datetime import date, timedelta
+from pathlib import Path
 
 import pytest
+from conftest import utc
 from helpers import START, payments, thresholds
 from pyspark.sql import functions as F
 
@@ -8,7 +10,7 @@ from cashtide import schemas as S
 from cashtide.operators import feeds, merges, pending
 from cashtide.operators import thresholds as T
 from cashtide.plans import maintenance, panels
-from cashtide.sources import workspace
+from cashtide.sources import tables, workspace
 from cashtide.sources.tables import VersionedTable, jdbc_options, load_pending_file, load_table
 from cashtide.streaming import jobs
 
@@ -132,7 +134,7 @@ def test_scheduled_jobs_can_be_repeated(spark, tmp_path):
     assert refused.count() == 1
     state = VersionedTable(spark, output.table("thresholds_state"), S.THRESHOLD).read()
     assert [r["warning_cents"] for r in state.collect()] == [20_000]
-    assert spark.read.parquet(output.table("topics/thresholds")).count() == 2
+    assert tables.read_batches(spark, output.table("topics/thresholds")).count() == 2
 
 
 def test_feed_health_keeps_the_latest_event(spark):
@@ -162,3 +164,47 @@ def test_shared_folder():
         workspace.shared_dir(_Session("spark://host:7077"))
     local.conf["spark.checkpoint.dir"] = "hdfs://shared/x"
     assert workspace.new_path(local, "t").startswith("hdfs://shared/x/t-")
+
+
+def test_parts_are_merged_pruned_by_day_and_replayed(spark, tmp_path, monkeypatch):
+    """Forty batches over four days: few parts, only the asked days are read, replays change nothing."""
+    monkeypatch.setattr(tables, "FAN", 4)
+    folder, schema = str(tmp_path / "t"), spark.createDataFrame([], "at TIMESTAMP, n INT").schema
+
+    def write(number, value=None):
+        day = utc("2026-04-01T12:00:00") + timedelta(days=number // 10)
+        rows = [] if number == 7 else [(day, number if value is None else value)]
+        tables.write_batch(spark.createDataFrame(rows, schema).coalesce(1), folder, number, "at")
+
+    for number in range(40):
+        write(number)
+        if number in (14, 39):
+            write(number)  # a replay
+
+    def found(**kwargs):
+        return sorted(r.n for r in tables.read_batches(spark, folder, schema, **kwargs).collect())
+
+    assert found() == [n for n in range(40) if n != 7]
+    live = [name for name, *_ in tables._Parts(spark, folder).live()]
+    assert len(live) <= 3 * 4 and len(list((tmp_path / "t/_parts").glob("[0-9]*.json"))) == tables.KEEP
+    on_disk = [p.name for p in (tmp_path / "t").iterdir() if p.name.startswith("stored_part=")]
+    assert len(on_disk) <= len(live) + tables.FAN + tables.KEEP
+    second = (date(2026, 4, 2), date(2026, 4, 2))
+    assert found(days=second) == list(range(10, 20))
+    pruned = tables.read_batches(spark, folder, schema, days=second)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_day" in plan
+    assert {f.split("event_day=")[1][:10] for f in pruned.inputFiles()} >= {"2026-04-02"}
+    write(39, value=-1)  # the last batch again, with other rows
+    assert found() == [-1, *[n for n in range(39) if n != 7]]
+    assert tables.read_batches(spark, str(tmp_path / "none"), schema).count() == 0
+
+
+def test_scratch_tables_are_deleted(spark):
+    with workspace.scratch(spark):
+        inner = workspace.materialize(spark.range(3), "inner")
+        path = inner.inputFiles()[0]
+        assert Path(path.removeprefix("file://")).exists()
+    assert not Path(path.removeprefix("file://")).exists()
+    kept = workspace.materialize(spark.range(3), "kept")
+    assert kept.count() == 3
