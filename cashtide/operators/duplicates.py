@@ -55,7 +55,7 @@ def duplicate_letters(copies: DataFrame, detected_at: Column | None = None) -> D
         to_money(F.col("amount_cents")).alias("amount"),
         "direction",
         F.concat(
-            F.lit("duplicate payment_id already processed for "), F.concat_ws(":", *S.ACCOUNT_KEY)
+            F.lit("payment_id was taken before for "), F.concat_ws(":", *S.ACCOUNT_KEY)
         ).alias("error"),
         F.lit(S.STAGE_DUPLICATE).alias("stage"),
         detected_at.alias("detected_at"),

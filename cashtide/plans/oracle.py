@@ -150,28 +150,28 @@ ranked AS (
 refused AS (
   SELECT SUBSTRING(raw, 1, 500) AS raw,
     CASE WHEN fault IN (1, 10, 11, 12, 13, 14) THEN NULL ELSE payment_id END AS payment_id,
-    CASE WHEN fault IN (1, 12, 13, 14) THEN 'JSON parse failed' ELSE CASE fault WHEN 10 THEN 'not a JSON object'
-      WHEN 2 THEN 'missing required field: ''amount'''
-      WHEN 3 THEN 'invalid currency ''CHF'' — expected one of {{''EUR'', ''GBP'', ''USD''}}'
-      WHEN 4 THEN 'invalid direction ''OUT'' — expected DEBIT or CREDIT'
-      WHEN 5 THEN 'invalid rail ''SWIFT'' — expected one of {{''CHAPS'', ''INTERNAL'', ''RTGS''}}'
-      WHEN 6 THEN 'amount is not numeric: ''N/A''' WHEN 7 THEN 'amount must be positive, got -5000.0'
+    CASE WHEN fault IN (1, 12, 13, 14) THEN 'text is not JSON' ELSE CASE fault WHEN 10 THEN 'not a JSON object'
+      WHEN 2 THEN 'field ''amount'' is absent'
+      WHEN 3 THEN 'currency ''CHF'' is not among EUR, GBP, USD'
+      WHEN 4 THEN 'direction ''OUT'' is not among CREDIT, DEBIT'
+      WHEN 5 THEN 'rail ''SWIFT'' is not among CHAPS, INTERNAL, RTGS'
+      WHEN 6 THEN 'amount ''N/A'' is no number' WHEN 7 THEN 'amount -5000.0 is not above zero'
       ELSE CASE
-        WHEN stage = 'timestamp_parse' THEN 'event_time parse failed: ''yesterday'''
+        WHEN stage = 'timestamp_parse' THEN 'event_time ''yesterday'' is no ISO time'
         WHEN fault = 8 OR stage = 'schema_validation' AND cents NOT BETWEEN
              CASE rail WHEN 'RTGS' THEN 1000000000 WHEN 'CHAPS' THEN 100000000 ELSE 10000000 END
              AND CASE rail WHEN 'RTGS' THEN 50000000000 WHEN 'CHAPS' THEN 10000000000 ELSE 5000000000 END
           THEN 'amount ' || FORMAT('{{:,}}', CASE WHEN fault = 8 THEN 900000000
                  ELSE CAST(ROUND_EVEN(cents / 100.0, 0) AS BIGINT) END)
-               || ' is outside expected range for ' || rail || CASE rail
-                 WHEN 'RTGS' THEN ' (10,000,000 – 500,000,000)' WHEN 'CHAPS' THEN ' (1,000,000 – 100,000,000)'
-                 ELSE ' (100,000 – 50,000,000)' END
+               || ' does not fit ' || rail || CASE rail
+                 WHEN 'RTGS' THEN ', which takes 10,000,000 to 500,000,000' WHEN 'CHAPS' THEN ', which takes 1,000,000 to 100,000,000'
+                 ELSE ', which takes 100,000 to 50,000,000' END
         ELSE 'payment_id is empty' END END END AS error,
     stage, arrived AS detected_at
   FROM judged WHERE stage IS NOT NULL),
 copies AS (
   SELECT payment_id, currency, settlement_account, {_money('cents')} AS amount, direction,
-         'duplicate payment_id already processed for ' || currency || ':' || settlement_account AS error,
+         'payment_id was taken before for ' || currency || ':' || settlement_account AS error,
          'duplicate_detection' AS stage, arrived AS detected_at
   FROM ranked WHERE rank > 1),
 letters AS (
@@ -315,13 +315,13 @@ FROM updates WHERE seq % 50 IN (0, 1)""",
     "threshold_upsert": f"""WITH {UPDATES}
 SELECT currency, settlement_account, {_money('warning')} AS warning_threshold,
        {_money('critical')} AS critical_threshold, updated_at, updated_by
-FROM good_updates WHERE updated_at < {PENDING_NOW} OR currency <> 'EUR'
+FROM good_updates
 QUALIFY ROW_NUMBER() OVER (PARTITION BY currency, settlement_account ORDER BY updated_at DESC, seq DESC) = 1""",
     "threshold_messages": f"""WITH {UPDATES}
 SELECT 'liquidity.thresholds' AS topic, currency || ':' || settlement_account AS key,
        {_money('warning')} AS warning_threshold, {_money('critical')} AS critical_threshold, updated_by,
        STRFTIME(updated_at, '%Y-%m-%dT%H:%M:%S.%gZ') AS updated_at
-FROM good_updates WHERE updated_at >= {PENDING_NOW} AND currency <> 'EUR'""",
+FROM good_updates WHERE updated_at >= {PENDING_NOW}""",
     "payments_valid": f"""WITH {FEED}
 SELECT payment_id, currency, settlement_account, direction, rail, counterparty, event_time, seq,
        {_money('cents')} AS amount FROM valid""",

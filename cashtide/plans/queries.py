@@ -269,8 +269,7 @@ def _published(spark, sf_dir):
     noon = F.lit(PENDING_AS_OF)
     before = thresholds.accepted(thresholds.check_updates(updates.where(F.col("updated_at") < noon)))
     current = thresholds.latest_thresholds(before)
-    # The desk for EUR publishes nothing in the second half: its thresholds must stay.
-    later = updates.where((F.col("updated_at") >= noon) & (F.upper("currency") != "EUR"))
+    later = updates.where(F.col("updated_at") >= noon)
     return thresholds.publish_updates(later, current)
 
 
