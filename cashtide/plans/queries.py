@@ -494,12 +494,13 @@ def _in_files(rows, number, files=4):
     return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
 
 
-_TS = F.col("ts").cast("timestamp")
+def _event_quarter():
+    return _quarter(F.col("ts").cast("timestamp"))
 
 
 def _files_stream(spark, sf_dir):
     """The events as a stream of several files by time, one in each micro-batch."""
-    return _in_files(_events(spark, sf_dir), _quarter(_TS))
+    return _in_files(_events(spark, sf_dir), _event_quarter())
 
 
 def _ticked(events, moment):
@@ -572,7 +573,7 @@ def stream_feed_events(spark, sf_dir):
     """
     output = _new_output(spark, "silences")
     events = _ticked(_events(spark, sf_dir), AS_OF + timedelta(seconds=2))  # the watermark is a second behind
-    payments = D.payments(_in_files(events, _quarter(_TS)))
+    payments = D.payments(_in_files(events, _event_quarter()))
     jobs.run_to_end(silence.start_silences(payments, output, available_now=True, stale_seconds=GAP_SECONDS))
     return silence.gaps(read_batches(spark, output.table("feed_events"), silence.EVENT_TABLE))
 
@@ -581,7 +582,7 @@ def stream_feed_events(spark, sf_dir):
 def stream_late_rows(spark, sf_dir):
     """Payments of which one in fifty comes two batches late: closed windows drop it, balances keep it."""
     output, counts = _new_output(spark, "late"), jobs.RowCounts()
-    quarter = _quarter(_TS)
+    quarter = _event_quarter()
     number = F.when((F.col("event_id") % 50 == 7) & (quarter < 2), quarter + 2).otherwise(quarter)
     feed = _in_files(_ticked(_events(spark, sf_dir), AS_OF + timedelta(days=1)), number)
     spark.streams.addListener(counts)

@@ -20,7 +20,7 @@ from cashtide.operators.merges import latest_per_key
 from cashtide.operators.positions import position_ledger
 from cashtide.sources.tables import VersionedTable, read_batch, write_batch
 from cashtide.sources.workspace import materialize, scratch
-from cashtide.streaming import identity
+from cashtide.streaming import identity, jobs
 from cashtide.streaming.identity import PAYMENT_KIND, THRESHOLD_KIND
 from cashtide.streaming.jobs import Output, configure, start, write_letters, write_positions
 
@@ -73,7 +73,7 @@ def start_engine(
     configure(spark)
     if opening_bounds is not None:
         open_with(opening_bounds, output)
-    rows = identity.with_sightings(keyed_input(checked, updates), id_ttl_seconds)
+    rows = jobs.timed(identity.with_sightings(keyed_input(checked, updates), id_ttl_seconds))
     writer = rows.writeStream.outputMode("update").foreachBatch(
         lambda batch, batch_id: process_batch(batch, batch_id, output, ranges)
     )

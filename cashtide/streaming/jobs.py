@@ -162,6 +162,48 @@ def positions_table(spark: SparkSession, output: Output) -> VersionedTable:
 # ---- window flows -------------------------------------------------------------------------
 
 
+class Delays(StreamingQueryListener):
+    """From arrival to table: how long the rows of timed streams waited until their batch was committed.
+
+    A batch reports its first and last arrival; between them rows are taken to arrive evenly.
+    """
+
+    def __init__(self):
+        self.batches: list[tuple[int, float, float]] = []  # rows, least delay, most
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        row = event.progress.observedMetrics.get(ARRIVALS)
+        if row is None or not row["rows"]:
+            return
+        end = datetime.fromisoformat(event.progress.timestamp).timestamp() + event.progress.batchDuration / 1000
+        self.batches.append((row["rows"], end - row["last_ms"] / 1000, end - row["first_ms"] / 1000))
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def percentile(self, share: float) -> float | None:
+        """Delay in seconds that ``share`` of the rows stayed below."""
+        points = sorted((low + (high - low) * (i + 0.5) / 20, rows / 20) for rows, low, high in self.batches for i in range(20))
+        wanted = share * sum(weight for _, weight in points)
+        for delay, weight in points:
+            wanted -= weight
+            if wanted <= 0:
+                return delay
+        return None
+
+
+ARRIVALS = "arrivals"
+
+
+def timed(rows: DataFrame) -> DataFrame:
+    """A stream whose batches report the first and last arrival of their rows, for ``Delays``."""
+    millis = F.unix_millis("arrived")
+    return rows.observe(ARRIVALS, F.count("arrived").alias("rows"), F.min(millis).alias("first_ms"), F.max(millis).alias("last_ms"))
+
+
 class RowCounts(StreamingQueryListener):
     """Rows that the flow windows of a query took in and gave out, over all its batches.
 
