@@ -117,9 +117,9 @@ def read_batches(spark: SparkSession, folder: str, schema=None, days: tuple | No
     return found.drop(_PART, _DAY)
 
 
-def read_batch(spark: SparkSession, folder: str, batch_id: int) -> DataFrame:
+def read_batch(spark: SparkSession, folder: str, batch_id: int, schema) -> DataFrame:
     """What one batch has written, while it is under way or among the last finished ones."""
-    return spark.read.parquet(f"{folder}/{_PART}=batch-{batch_id}").drop(_DAY)
+    return spark.read.schema(schema).parquet(f"{folder}/{_PART}=batch-{batch_id}").select(*schema.names)
 
 
 def batch_stream(spark: SparkSession, folder: str, schema) -> DataFrame:

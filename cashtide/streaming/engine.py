@@ -121,7 +121,7 @@ def _process(batch: DataFrame, kinds: set[int], batch_id: int, output: Output, r
         fresh = payments.where("NOT is_copy").drop("is_copy")
         rows = position_ledger(fresh, changes, opening=opening, time="arrived", ranges=ranges)
         write_batch(rows, output.table("position_ledger"), batch_id, "event_time")
-        ledger = read_batch(batch.sparkSession, output.table("position_ledger"), batch_id)
+        ledger = read_batch(batch.sparkSession, output.table("position_ledger"), batch_id, rows.schema)
         newest = materialize(latest_per_key(ledger, S.ACCOUNT_KEY, ["payment_count"]), "newest")
         write_positions(ledger, newest, batch_id, output)
     state.write(_next_state(opening, newest, changes), batch_id)
