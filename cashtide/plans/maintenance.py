@@ -18,8 +18,8 @@ def refresh_pending(spark: SparkSession, incoming: DataFrame, as_of: datetime, o
     table = VersionedTable(spark, output.table("pending_payments"), S.TABLES["pending_payments"])
     snapshot, summary = pending.refresh_pending(table.read(before=run), incoming, as_of)
     table.write(snapshot, run)
-    write_batch(summary, output.table("pending_runs"), run, summary.schema)
-    return read_batch(spark, output.table("pending_runs"), run)
+    write_batch(summary, output.table("pending_runs"), run)
+    return read_batch(spark, output.table("pending_runs"), run, summary.schema)
 
 
 def publish_thresholds(spark: SparkSession, updates: DataFrame, output: Output, run: int) -> DataFrame:
