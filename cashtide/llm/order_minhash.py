@@ -35,10 +35,11 @@ an empty result; other columns are ignored or, in the filter, kept.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cashtide.llm.components import components
@@ -52,6 +53,7 @@ PART_ROWS = 1_000
 SAMPLE_TEXTS = 20_000  # for the order of shingles by frequency
 FREQUENT = 200_000
 PORTION_BYTES = 1_000_000
+BATCH_BYTES = 4_000_000  # of rows that a task hands to Python at once; a longer row goes alone
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _SEEDS = np.random.default_rng(20240101).integers(1, 2**63, 2 * SKETCHES, dtype=np.uint64) | np.uint64(1)
 
@@ -363,8 +365,28 @@ def candidates(members: DataFrame, found: DataFrame, payload: DataFrame, least:
     return asking.join(other, ["label", "part"]).where(once & fits).select("k", "hub")
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Sequences are long rows: batches of the usual size, and their copies, would fill an executor."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def links(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
-    """(k, hub, similarity): verified links between different texts, by their keys (k > hub)."""
+    """(k, hub, similarity): verified links between different texts, by their keys (k > hub), stored."""
+    with _small_batches(docs.sparkSession):
+        return _links(docs, least, rounds)
+
+
+def _links(docs: DataFrame, least: float, rounds: int) -> DataFrame:
     members = materialize(buckets(sketches(docs)), "buckets")
     weights = materialize(members.groupBy("k").agg(F.sum("n").alias("weight")), "weights")
     asked = materialize(hubs(members.select("b", "k"), weights), "asked")
