@@ -3,9 +3,13 @@
 A text is the sequence of its five-word shingles, each labelled with its occurrence number.  A sketch
 takes the two labelled shingles with the least hashes and keeps them in text order, so it is equal for
 texts that share shingles in the same order.  Two texts are linked if an alignment of their sequences
-matches M shingles with M / (|A| + |B| - M) >= 0.8.
+matches M units with M / (|A| + |B| - M) >= 0.8.  The units are shingles or, with ``by="words"``, words.
+An edited word costs one word, but five shingles: texts in which one word in twenty differs are at 0.9 by
+words and at 0.6 by shingles.  Every link by shingles is one by words too.
 
-Texts at that similarity share a sketch with a chance of about 0.64, so all twelve miss with 5e-6.
+Texts at 0.8 by shingles share a sketch with a chance of about 0.64, so all twelve miss with 5e-6.  With
+one word in n edited, texts share (1 - 1/n)^5 of their shingles: 5 % edits miss all sketches with 0.005,
+8 % with 0.05.  The links by words are those that sketches find and those that step 3 finds.
 
 1. Equal texts are one class from the start; everything below is about different texts.
 2. Sketches are bucket keys, alone and together with the next sketch.  No pairs of a bucket are
@@ -16,10 +20,11 @@ Texts at that similarity share a sketch with a chance of about 0.64, so all twel
 3. What is left is searched exactly: members of buckets that still hold several classes.  Texts that
    similar share one of the rarest fifth of their labelled shingles, so these are keys, and texts of
    different classes that meet at a key are candidates if the shingles behind it can suffice.  A
-   template of many texts is not among their rarest shingles.  Which shingles are frequent is estimated
-   on a sample; any order gives the same links.
-4. Candidates are aligned in a band as wide as the similarity allows; bounds that the alignment
-   cannot exceed are tried first.
+   template of many texts is not among their rarest shingles.  Shingles are counted in all these texts;
+   any order gives the same links.  This search is complete for the similarity by shingles.
+4. Candidates meet by their profiles first, units counted in 256 slots, which bound what can match.
+   Only the sequences of pairs that can be similar enough are brought together, and aligned in a band as
+   wide as the similarity allows.
 5. Links are closed to classes by connected components.
 
 Sizes of buckets and least members are combined in the tasks before shuffles; joins carry no hints, so
@@ -39,6 +44,7 @@ from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -50,8 +56,8 @@ SKETCHES = 12
 SIMILARITY = 0.8
 ROUNDS = 3
 PART_ROWS = 1_000
-SAMPLE_TEXTS = 20_000  # for the order of shingles by frequency
-FREQUENT = 200_000
+FREQUENT = 200_000  # shingles whose counts are known to the tasks
+SLOTS = 256
 PORTION_BYTES = 1_000_000
 BATCH_BYTES = 4_000_000  # of rows that a task hands to Python at once; a longer row goes alone
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
@@ -59,6 +65,8 @@ _SEEDS = np.random.default_rng(20240101).integers(1, 2**63, 2 * SKETCHES, dtype=
 
 _WORD_BYTES = np.zeros(256, bool)
 _WORD_BYTES[[*range(48, 58), *range(97, 123), 95, *range(128, 256)]] = True
+_NO_WORD = regex.compile(r"[^\w\x00-\x7f]+")
+_ALONE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -78,12 +86,19 @@ def _powers(base: np.uint64, count: int) -> np.ndarray:
 _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 
 
+def _spaced(text: str) -> str:
+    """Lower case, blanks for signs beyond ASCII, and blanks around letters of scripts without blanks."""
+    text = text.lower()
+    return text if text.isascii() else _ALONE.sub(r" \g<0> ", _NO_WORD.sub(" ", text))
+
+
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of all texts, and the number of words of each text.
 
-    Words are runs of lower-case letters, digits and underscores; all other than ASCII counts as letters.
+    Words are runs of letters, marks, digits and underscores of any script, in lower case; in scripts
+    without blanks each letter is a word.
     """
-    coded = [t.lower().encode("utf-8", "surrogatepass") for t in texts]
+    coded = [_spaced(t).encode("utf-8", "surrogatepass") for t in texts]
     data = np.frombuffer(b" ".join(coded) + b" ", np.uint8)
     inside = _WORD_BYTES[data]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], inside)).astype(np.int8)))
@@ -94,21 +109,54 @@ def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return hashes, np.diff(np.concatenate(([0], np.searchsorted(begin, limits))))
 
 
+def words_of(texts: list[str]) -> list[np.ndarray]:
+    """The sequence of word hashes of each text."""
+    hashes, counts = word_hashes(texts)
+    return np.split(hashes, np.cumsum(counts)[:-1]) if texts else []
+
+
+def shingled(words: np.ndarray) -> np.ndarray:
+    """The sequence of shingle hashes of a sequence of word hashes."""
+    count = len(words)
+    size = min(WORDS, count)
+    total = np.zeros(max(count - size + 1, 0) if count else 0, np.uint64)
+    for k in range(size):
+        total = (total ^ words[k : k + len(total)]) * np.uint64(0x100000001B3) + np.uint64(k)
+        total = total ^ (total >> np.uint64(29))
+    return mixed(total)
+
+
 def shingles(texts: list[str]) -> list[np.ndarray]:
     """The sequence of shingle hashes of each text."""
-    out: list[np.ndarray] = []
-    hashes, counts = word_hashes(texts)
-    at = 0
-    for count in counts:
-        words = hashes[at : at + count]
-        at += count
-        size = min(WORDS, count)
-        total = np.zeros(max(count - size + 1, 0) if count else 0, np.uint64)
-        for k in range(size):
-            total = (total ^ words[k : k + len(total)]) * np.uint64(0x100000001B3) + np.uint64(k)
-            total = total ^ (total >> np.uint64(29))
-        out.append(mixed(total))
-    return out
+    return [shingled(words) for words in words_of(texts)]
+
+
+def packed(words: np.ndarray) -> np.ndarray:
+    """Word hashes as they are stored: their upper halves."""
+    return (words >> np.uint64(32)).astype(np.uint32).view(np.int32)
+
+
+def units(stored, by: str) -> np.ndarray:
+    """The words or shingles of a stored sequence."""
+    words = mixed(np.asarray(stored, np.int32).view(np.uint32).astype(np.uint64))
+    return words if by == "words" else shingled(words)
+
+
+def profile(sequence: np.ndarray) -> bytes:
+    """Units of the sequence counted in slots: a step, then every count in steps, rounded up."""
+    counts = np.bincount((sequence & np.uint64(SLOTS - 1)).astype(np.int64), minlength=SLOTS)
+    step = max(1, -(-int(counts.max()) // 255))
+    return np.uint32(step).tobytes() + (-(-counts // step)).astype(np.uint8).tobytes()
+
+
+def most_matches(x: list[bytes], y: list[bytes]) -> np.ndarray:
+    """What no alignment of sequences with these profiles can exceed."""
+
+    def counts(profiles: list[bytes]) -> np.ndarray:
+        rows = np.frombuffer(b"".join(profiles), np.uint8).reshape(-1, SLOTS + 4)
+        return rows[:, 4:].astype(np.int64) * np.ascontiguousarray(rows[:, :4]).view(np.uint32)
+
+    return np.minimum(counts(x), counts(y)).sum(axis=1)
 
 
 def _portions(texts: list[str]) -> Iterator[list[str]]:
@@ -171,20 +219,32 @@ def aligned(x: np.ndarray, y: np.ndarray, least: float = SIMILARITY) -> float:
 
 
 def _band(x: np.ndarray, y: np.ndarray, want: int) -> int:
-    """Matches of the best alignment that skips at most len - want shingles of either sequence."""
+    """Matches of the best alignment that skips at most len - want shingles of either sequence.
+
+    A row of the alignment is one number, whose cleared bits are the columns where the matches grow by one.
+    Rows are taken in stretches as long as the band is wide; a stretch sees the columns of its band only.
+    """
     below, above = len(x) - want, len(y) - want
-    width = below + above + 1
-    # Column d of row i stands for y[i + d - below]; beyond the ends of y nothing matches.
-    padded = np.concatenate((np.zeros(below, np.uint64), y, np.zeros(len(x) + above, np.uint64)))
-    real = np.concatenate((np.zeros(below, bool), np.ones(len(y), bool), np.zeros(len(x) + above, bool)))
-    row = np.zeros(width + 1, np.int32)
-    for i, shingle in enumerate(x):
-        equal = (padded[i : i + width] == shingle) & real[i : i + width]
-        row[:-1] = np.maximum.accumulate(np.maximum(row[:-1] + equal, row[1:]))
-        row[-1] = 0
-        if row[-2] + len(x) - 1 - i < want:
+    rows = max(64, below + above + 1)
+    span = rows + below + above
+    full, head = (1 << span) - 1, (1 << rows) - 1
+    columns, matched, row = y.tolist(), 0, full
+    for start in range(0, len(x), rows):
+        if start:
+            matched += rows - (row & head).bit_count()
+            row = (row >> rows) | (head << (span - rows))
+        places: dict[int, int] = {}
+        first = start - below
+        for j in range(max(first, 0), min(first + span, len(y))):
+            places[columns[j]] = places.get(columns[j], 0) | 1 << (j - first)
+        for unit in x[start : start + rows].tolist():
+            equal = row & places.get(unit, 0)
+            if equal:
+                row = ((row + equal) | (row - equal)) & full
+        so_far = matched + span - row.bit_count()
+        if so_far + max(len(x) - start - rows, 0) < want:
             return 0
-    return int(row[:-1].max())
+    return so_far
 
 
 def key_of(text: Column) -> Column:
@@ -252,32 +312,53 @@ def _may_hold(rows: DataFrame, wanted: DataFrame, key: str = "k") -> DataFrame:
     return marked.join(F.broadcast(words), "word").where(F.col("bits").bitwiseAND(mask) != 0).drop("bit", "word", "bits")
 
 
-def sequences(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(k, sequence) of the wanted texts; other texts are left out before the join."""
+def sequences(docs: DataFrame, wanted: DataFrame, by: str = "shingles") -> DataFrame:
+    """(k, words, n, profile) of the wanted texts; other texts and copies are left out before the shuffle."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             at = 0
             for texts in _portions(batch["text"].tolist()):
-                rows = [s.view(np.int64) for s in shingles(texts)]
-                yield pd.DataFrame({"k": batch["k"].iloc[at : at + len(texts)].tolist(), "sequence": rows})
+                rows = [packed(w) for w in words_of(texts)]
+                own = [units(w, by) for w in rows]
+                keys = batch["k"].iloc[at : at + len(texts)].tolist()
+                yield pd.DataFrame({"k": keys, "words": rows, "n": [len(u) for u in own], "profile": [profile(u) for u in own]})
                 at += len(texts)
 
     rows = docs.select(key_of(F.col("text")).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = _may_hold(rows, wanted)
-    return rows.join(wanted, "k").dropDuplicates(["k"]).mapInPandas(run, "k binary, sequence array<long>")
+    rows = _may_hold(rows, wanted).dropDuplicates(["k"])
+    return rows.join(wanted, "k").mapInPandas(run, "k binary, words array<int>, n int, profile binary")
+
+
+def possible(pairs: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
+    """(k, hub) of the pairs whose lengths and profiles allow the similarity."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                most = most_matches(batch["profile"].tolist(), batch["other"].tolist())
+                yield batch.loc[most >= batch["need"].to_numpy(), ["k", "hub"]]
+
+    first = found.select("k", "n", "profile")
+    other = found.select(F.col("k").alias("hub"), F.col("n").alias("m"), F.col("profile").alias("other"))
+    need = F.ceil((F.col("n") + F.col("m")) * F.lit(least / (1 + least)) - 1e-9)
+    rows = pairs.join(first, "k").join(other, "hub").withColumn("need", need).where("need <= least(n, m)")
+    return rows.select("k", "hub", "profile", "other", "need").mapInPandas(run, "k binary, hub binary")
 
 
-def verified(pairs: DataFrame, found: DataFrame, least: float = SIMILARITY) -> DataFrame:
+def verified(pairs: DataFrame, found: DataFrame, least: float = SIMILARITY, by: str = "shingles") -> DataFrame:
     """(k, hub, similarity) of the pairs that align well enough."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch["similarity"] = [aligned(np.asarray(x).view(np.uint64), np.asarray(y).view(np.uint64), least) for x, y in zip(batch["sequence"], batch["other"])]
+            batch["similarity"] = [aligned(units(x, by), units(y, by), least) for x, y in zip(batch["words"], batch["other"])]
             yield batch.loc[batch["similarity"] > 0, ["k", "hub", "similarity"]]
 
-    other = found.select(F.col("k").alias("hub"), F.col("sequence").alias("other"))
-    return pairs.join(found, "k").join(other, "hub").select("k", "hub", "sequence", "other").mapInPandas(run, "k binary, hub binary, similarity double")
+    pairs = materialize(possible(pairs, found, least), "possible")
+    words = found.select("k", "words")
+    first = _may_hold(words, pairs.select("k"))
+    other = _may_hold(words, pairs.select(F.col("hub").alias("k"))).toDF("hub", "other")
+    return pairs.join(first, "k").join(other, "hub").select("k", "hub", "words", "other").mapInPandas(run, "k binary, hub binary, similarity double")
 
 
 def _ordered(asked: DataFrame, *kept: str) -> DataFrame:
@@ -296,19 +377,29 @@ def unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
 
 
 def frequent(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent labelled shingles of a sample, ascending, with their counts."""
+    """The most frequent labelled shingles of the texts, ascending, with their counts.
+
+    All are counted; a table of counts by size gives the least count of those that are fetched.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            labels = [labelled(np.asarray(x).view(np.uint64)).view(np.int64) for x in batch["sequence"]]
+            labels = [labelled(units(x, "shingles")).view(np.int64) for x in batch["words"]]
             if labels:
                 label, n = np.unique(np.concatenate(labels), return_counts=True)
                 yield pd.DataFrame({"label": label, "n": n})
 
-    step = max(1, -(-texts.count() // SAMPLE_TEXTS))
-    sample = texts.where(F.pmod(F.xxhash64("k"), F.lit(step)) == 0)
-    counts = sample.mapInPandas(run, "label long, n long").groupBy("label").agg(F.sum("n").alias("n")).where("n > 1")
-    rows = counts.orderBy(F.desc("n"), "label").limit(FREQUENT).toPandas().sort_values("label")
+    counts = texts.select("words").mapInPandas(run, "label long, n long").groupBy("label").agg(F.sum("n").alias("n")).where("n > 1")
+    counts = materialize(counts, "label-counts")
+    size = F.floor(F.log2("n") * 16).alias("size")  # under a thousand sizes
+    total, lowest = 0, None
+    for row in counts.groupBy(size).agg(F.count(F.lit(1)).alias("labels")).orderBy(F.desc("size")).collect():
+        total += row["labels"]
+        if total > FREQUENT:
+            break
+        lowest = row["size"]
+    fetched = counts.where(size >= lowest) if lowest is not None else counts.limit(0)
+    rows = fetched.toPandas().sort_values("label")
     return rows["label"].to_numpy(np.int64), rows["n"].to_numpy(np.int64)
 
 
@@ -322,8 +413,8 @@ def prefixes(texts: DataFrame, label: np.ndarray, count: np.ndarray, least: floa
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows, held = [], 0
-            for k, root, sequence in zip(batch["k"], batch["root"], batch["sequence"]):
-                own = labelled(np.asarray(sequence).view(np.uint64))
+            for k, root, words in zip(batch["k"], batch["root"], batch["words"]):
+                own = labelled(units(words, "shingles"))
                 signed = own.view(np.int64)
                 place = np.searchsorted(label, signed)
                 often = np.where(label[place] == signed, count[place], 0)
@@ -337,7 +428,7 @@ def prefixes(texts: DataFrame, label: np.ndarray, count: np.ndarray, least: floa
             if rows:
                 yield pd.concat(rows)
 
-    return texts.select("k", "root", "sequence").mapInPandas(run, "label long, k binary, root long, at int, n int")
+    return texts.select("k", "root", "words").mapInPandas(run, "label long, k binary, root long, at int, n int")
 
 
 def candidates(members: DataFrame, found: DataFrame, payload: DataFrame, least: float) -> DataFrame:
@@ -346,7 +437,7 @@ def candidates(members: DataFrame, found: DataFrame, payload: DataFrame, least:
     Of the largest class of a key none is compared with its own; large keys are dealt to parts.
     """
     open_ = materialize(unsettled(members, found), "unsettled")
-    texts = materialize(payload.join(open_, "k"), "unsettled-sequences")
+    texts = materialize(payload.select("k", "words").join(open_, "k"), "unsettled-sequences")
     rows = materialize(prefixes(texts, *frequent(texts), least), "prefixes")
     shared = rows.groupBy("label").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("label")
     shared = materialize(shared, "shared-labels")
@@ -380,26 +471,26 @@ def _small_batches(spark: SparkSession) -> Iterator[None]:
             spark.conf.set(name, before)
 
 
-def links(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def links(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS, by: str = "shingles") -> DataFrame:
     """(k, hub, similarity): verified links between different texts, by their keys (k > hub), stored."""
     with _small_batches(docs.sparkSession):
-        return _links(docs, least, rounds)
+        return _links(docs, least, rounds, by)
 
 
-def _links(docs: DataFrame, least: float, rounds: int) -> DataFrame:
+def _links(docs: DataFrame, least: float, rounds: int, by: str) -> DataFrame:
     members = materialize(buckets(sketches(docs)), "buckets")
     weights = materialize(members.groupBy("k").agg(F.sum("n").alias("weight")), "weights")
     asked = materialize(hubs(members.select("b", "k"), weights), "asked")
     open_ = asked.select("b", "k")
     found = docs.sparkSession.createDataFrame([], "k binary, hub binary, similarity double")
-    tried, payload = found.select("k", "hub"), docs.sparkSession.createDataFrame([], "k binary, sequence array<long>")
+    tried, payload = found.select("k", "hub"), docs.sparkSession.createDataFrame([], "k binary, words array<int>, n int, profile binary")
     for turn in range(rounds):
         pairs = materialize(_ordered(asked).distinct().join(tried, ["k", "hub"], "left_anti"), "pairs")
         if pairs.isEmpty():
             break
         wanted = pairs.select("k").union(pairs.select("hub")).distinct().join(payload.select("k"), "k", "left_anti")
-        payload = payload.unionByName(materialize(sequences(docs, materialize(wanted, "wanted")), "sequences"))
-        found = found.unionByName(materialize(verified(pairs, payload, least), "links"))
+        payload = payload.unionByName(materialize(sequences(docs, materialize(wanted, "wanted"), by), "sequences"))
+        found = found.unionByName(materialize(verified(pairs, payload, least, by), "links"))
         tried = tried.unionByName(pairs)
         if turn + 1 < rounds:
             # Members that none of those they were compared with in a bucket resembles stay open there.
@@ -409,31 +500,31 @@ def _links(docs: DataFrame, least: float, rounds: int) -> DataFrame:
             open_ = materialize(open_.join(matched, ["b", "k"], "left_anti"), "open")
             asked = materialize(neighbours(members, open_, turn), "asked")
     pairs = _ordered(candidates(members, found, payload, least)).distinct().join(tried, ["k", "hub"], "left_anti")
-    return found.unionByName(materialize(verified(materialize(pairs, "pairs"), payload, least), "links"))
+    return found.unionByName(materialize(verified(materialize(pairs, "pairs"), payload, least, by), "links"))
 
 
-def text_classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def text_classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS, by: str = "shingles") -> DataFrame:
     """(k, root, doc_id, repeats, least, n) per different text: class, first id (null ids first) and rows
     with it, least id that is not null, rows with the text."""
-    root = components(links(docs, least, rounds), "k", "hub")
+    root = components(links(docs, least, rounds, by), "k", "hub")
     ids = docs.select(key_of(F.col("text")).alias("k"), "doc_id").groupBy("k", "doc_id").agg(F.count(F.lit(1)).alias("repeats"))
     texts = ids.groupBy("k").agg(F.min(F.struct("doc_id", "repeats")).alias("first"), F.min("doc_id").alias("least"), F.sum("repeats").alias("n"))
     joined = texts.join(root, texts["k"] == root["node"], "left")
     return joined.select("k", F.coalesce("root", "k").alias("root"), "first.doc_id", "first.repeats", "least", "n")
 
 
-def near_duplicates(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def near_duplicates(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS, by: str = "shingles") -> DataFrame:
     """doc_id, class_id (least id of its class) and class_size (documents) of every row."""
     docs = docs.select("doc_id", "text")
-    texts = materialize(text_classes(docs, least, rounds), "texts")
+    texts = materialize(text_classes(docs, least, rounds, by), "texts")
     sizes = texts.groupBy("root").agg(F.min("least").alias("class_id"), F.sum("n").alias("class_size"))
     classes = texts.select("k", "root").join(sizes, "root").drop("root")
     return docs.select("doc_id", key_of(F.col("text")).alias("k")).join(classes, "k").select("doc_id", "class_id", "class_size")
 
 
-def without_near_duplicates(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS) -> DataFrame:
+def without_near_duplicates(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS, by: str = "shingles") -> DataFrame:
     """One row of each class, the one with the least id; all columns kept."""
-    texts = materialize(text_classes(docs.select("doc_id", "text"), least, rounds), "texts")
+    texts = materialize(text_classes(docs.select("doc_id", "text"), least, rounds, by), "texts")
     first = texts.groupBy("root").agg(F.min(F.struct("doc_id", "k", "repeats")).alias("first")).select("first.*")
     kept = first.select(F.col("k").alias("_k"), F.col("doc_id").alias("_id"), F.col("repeats").alias("_repeats"))
     rows = docs.select(key_of(F.col("text")).alias("_key"), "doc_id", F.struct(*docs.columns).alias("_row"))

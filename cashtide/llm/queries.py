@@ -98,7 +98,7 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The class of near-duplicates of every document."""
-    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"), by="words")
 
 
 @query

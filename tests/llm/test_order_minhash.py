@@ -118,3 +118,41 @@ def test_odd_rows(spark):
     assert sorted((r.doc_id or 0, (r.text or "")[:5]) for r in kept) == [(0, ""), (0, REPEATED[:5]), (3, "x"), (4, "long ")]
     assert om.without_near_duplicates(docs).columns == docs.columns
     assert om.near_duplicates(docs.limit(0)).count() == 0 and om.without_near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_profiles_bound_what_can_match():
+    random.seed(4)
+    for limit in (5, 300, 5_000):
+        x, y = ([random.randrange(limit) for _ in range(random.randint(1, 2_000))] for _ in range(2))
+        x, y = om.mixed(np.array(x, np.uint64)), om.mixed(np.array(y, np.uint64))
+        common = len(np.intersect1d(om.labelled(x), om.labelled(y)))
+        assert common <= om.most_matches([om.profile(x)], [om.profile(y)])[0] <= max(len(x), len(y)) + 256 * (1 + max(len(x), len(y)) // 255)
+
+
+def test_words_of_all_scripts():
+    def words(text):
+        return om.words_of([text])[0].tolist()
+
+    assert words("It’s “fine”—no doubt") == words("it s fine no doubt")
+    assert words("Été naïve") == words("été, naïve!") and len(words("été")) == 1
+    assert len(words("今日は、天気")) == 5
+
+
+def test_near_copies_by_words(spark):
+    """Copies with one word in sixteen edited are one class with their original; unlike texts stay alone."""
+    random.seed(12)
+    words = ["".join(random.choice("abcdefgh") for _ in range(5)) for _ in range(3_000)]
+    texts, origin = [], []
+    for o in range(60):
+        text = random.choices(words, k=random.randint(100, 300))
+        for copy in range(random.choice([1, 2, 4, 12])):
+            edited = [random.choice(words) if copy and random.random() < 1 / 16 else w for w in text]
+            texts.append(" ".join(edited))
+            origin.append(o)
+    found = {r.doc_id: r.class_id for r in om.near_duplicates(docs_of(spark, list(enumerate(texts))), by="words").collect()}
+    assert all(origin[i] == origin[c] for i, c in found.items())
+    copies = [i for i in found if i and origin[i] == origin[i - 1]]
+    assert sum(found[i] == found[origin.index(origin[i])] for i in copies) >= 0.95 * len(copies)
+    own = [om.units(om.packed(w), "words") for w in om.words_of(texts)]
+    for i, c in found.items():
+        assert i == c or any(om.aligned(own[i], own[j]) > 0 for j in found if j != i and found[j] == c)
