@@ -39,6 +39,7 @@ an empty result; other columns are ignored or, in the filter, kept.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -65,6 +66,7 @@ _SEEDS = np.random.default_rng(20240101).integers(1, 2**63, 2 * SKETCHES, dtype=
 
 _WORD_BYTES = np.zeros(256, bool)
 _WORD_BYTES[[*range(48, 58), *range(97, 123), 95, *range(128, 256)]] = True
+_SIGNS = re.compile(r"[\x80-\xbf\xd7\xf7]|[^\x00-\u024f]")  # texts of Latin letters only hold none of these
 _NO_WORD = regex.compile(r"[^\w\x00-\x7f]+")
 _ALONE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 
@@ -89,7 +91,7 @@ _INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
 def _spaced(text: str) -> str:
     """Lower case, blanks for signs beyond ASCII, and blanks around letters of scripts without blanks."""
     text = text.lower()
-    return text if text.isascii() else _ALONE.sub(r" \g<0> ", _NO_WORD.sub(" ", text))
+    return text if text.isascii() or not _SIGNS.search(text) else _ALONE.sub(r" \g<0> ", _NO_WORD.sub(" ", text))
 
 
 def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
