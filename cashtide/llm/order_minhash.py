@@ -8,8 +8,8 @@ An edited word costs one word, but five shingles: texts in which one word in twe
 words and at 0.6 by shingles.  Every link by shingles is one by words too.
 
 Texts at 0.8 by shingles share a sketch with a chance of about 0.64, so all twelve miss with 5e-6.  With
-one word in n edited, texts share (1 - 1/n)^5 of their shingles: 5 % edits miss all sketches with 0.005,
-8 % with 0.05.  The links by words are those that sketches find and those that step 3 finds.
+one word in n edited, texts share (1 - 1/n)^5 of their shingles: 5 % edits miss all sketches with 0.003,
+8 % with 0.04.  The links by words are those that sketches find and those that step 3 finds.
 
 1. Equal texts are one class from the start; everything below is about different texts.
 2. Sketches are bucket keys, alone and together with the next sketch.  No pairs of a bucket are
