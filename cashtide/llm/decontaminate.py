@@ -10,8 +10,10 @@ Documents and items are compared lower-cased, with runs of other characters than
 one blank.  The documents are read once, whole, without a shuffle.  Items are sent to the tasks in
 blocks of at most ``BLOCK_CHARS`` characters each (a benchmark is a stated query set).
 
-Defined cases: null ids or texts of items, and items under ``min_chars`` normalised characters (no
-evidence of a leak), match nothing; null and empty documents have no items; an item that occurs
+Items under ``min_chars`` normalised characters are matched without edits and on word borders: an edit
+in so few characters makes another sentence, and a short word lies inside many others.
+
+Defined cases: null ids or texts of items, and items without letters or digits, match nothing; null and empty documents have no items; an item that occurs
 several times is listed once; rows are independent, so repeated rows and null ids are kept; empty
 tables give no items; other columns are ignored or, in the filter, kept.
 """
@@ -24,13 +26,15 @@ from functools import lru_cache
 
 import ahocorasick
 import pandas as pd
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ERROR_RATE = 0.07  # one edit in fourteen characters
-MIN_CHARS = 40
+MIN_CHARS = 40  # items from this length on may hold edits
 BLOCK_CHARS = 4_000_000
 _REST = re.compile(r"[\W_]+")
+_UNSPACED = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
 
 
 def normalized(text: str | None) -> str:
@@ -71,11 +75,22 @@ def least_distance(masks: dict[str, int], length: int, text: str) -> int:
     return best
 
 
+def _between_borders(text: str, start: int, end: int) -> bool:
+    """No word goes on over either end; scripts without blanks have no borders to keep."""
+    before, first, last, after = text[start - 1 : start], text[start], text[end - 1], text[end : end + 1]
+    return not (_joined(before, first) or _joined(last, after))
+
+
+def _joined(left: str, right: str) -> bool:
+    return left.strip() != "" and right.strip() != "" and not (_UNSPACED.match(left) and _UNSPACED.match(right))
+
+
 class Matcher:
     """Finds the items of one block in texts."""
 
-    def __init__(self, items: tuple[tuple[int, str], ...], error_rate: float):
-        self.items = [(number, text, int(len(text) * error_rate), masks_of(text)) for number, text in items]
+    def __init__(self, items: tuple[tuple[int, str], ...], error_rate: float, min_chars: int = MIN_CHARS):
+        self.min_chars = min_chars
+        self.items = [(number, text, self._errors(text, error_rate), masks_of(text)) for number, text in items]
         self.automaton = ahocorasick.Automaton()
         places: dict[str, list[tuple[int, int]]] = {}
         for i, (_, text, errors, _) in enumerate(self.items):
@@ -86,6 +101,9 @@ class Matcher:
         if places:
             self.automaton.make_automaton()
 
+    def _errors(self, text: str, error_rate: float) -> int:
+        return int(len(text) * error_rate) if len(text) >= self.min_chars else 0
+
     def find(self, text: str | None) -> list[int]:
         plain = normalized(text)
         if not plain or not self.items:
@@ -99,6 +117,8 @@ class Matcher:
     def _verified(self, i: int, starts: list[int], plain: str) -> bool:
         """Each stretch around hits that lie close together is compared once."""
         _, text, errors, masks = self.items[i]
+        if len(text) < self.min_chars:
+            return any(_between_borders(plain, at, at + len(text)) for at in starts)
         starts.sort()
         at = 0
         while at < len(starts):
@@ -113,17 +133,17 @@ class Matcher:
 
 
 @lru_cache(maxsize=4)
-def _matcher(items: tuple[tuple[int, str], ...], error_rate: float) -> Matcher:
-    return Matcher(items, error_rate)
+def _matcher(items: tuple[tuple[int, str], ...], error_rate: float, min_chars: int) -> Matcher:
+    return Matcher(items, error_rate, min_chars)
 
 
-def blocks(benchmark: DataFrame, min_chars: int = MIN_CHARS, block_chars: int = BLOCK_CHARS) -> Iterator[tuple[tuple[int, str], ...]]:
+def blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> Iterator[tuple[tuple[int, str], ...]]:
     """The usable items, normalised, in blocks of bounded size."""
     held, size = [], 0
     rows = benchmark.select("item_id", "text").where("item_id is not null and text is not null").distinct()
     for row in rows.orderBy("item_id", "text").toLocalIterator():
         text = normalized(row["text"])
-        if len(text) >= min_chars:
+        if text:
             held.append((row["item_id"], text))
             size += len(text)
         if size >= block_chars:
@@ -139,13 +159,13 @@ def leaked_items(text: Column, benchmark: DataFrame, error_rate: float = ERROR_R
     def finder(items):
         @F.pandas_udf("array<long>")
         def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            matcher = _matcher(items, error_rate)
+            matcher = _matcher(items, error_rate, min_chars)
             for texts in batches:
                 yield texts.map(matcher.find)
 
         return find(F.coalesce(text, F.lit("")))
 
-    found = [finder(items) for items in blocks(benchmark, min_chars)]
+    found = [finder(items) for items in blocks(benchmark)]
     if not found:
         return F.array().cast("array<long>")
     return found[0] if len(found) == 1 else F.array_sort(F.array_distinct(F.concat(*found)))

@@ -53,10 +53,18 @@ def test_table_equals_containment_where_passages_are_exact(spark):
     assert dc.without_leaks(docs, bench).count() == docs.count() - len({d for d, _ in found})
 
 
+def test_short_items_match_exactly_between_word_borders():
+    matcher = dc.Matcher(((1, "red fox"), (2, "人工智能"), (3, "x")), dc.ERROR_RATE)
+    found = lambda text: matcher.find(text)
+    assert found("A Red, fox!") == [1] and found("red fox") == [1] and found("x red foxes; hundred fox, red  fox x") == [1, 3]
+    assert found("hundred fox") == found("red foxes") == found("red box") == found("xx") == []
+    assert found("学习人工智能的书") == [2] and found("人工知能") == []
+
+
 def test_blocks_and_odd_rows(spark):
     text = "the quick brown fox jumps over the lazy dog and runs away from it"
     bench = spark.createDataFrame([(1, text), (1, text), (2, None), (None, text), (3, "short"), (4, text[::-1])], "item_id long, text string")
-    assert [[i for i, _ in b] for b in dc.blocks(bench, block_chars=10)] == [[1], [4]]
+    assert [[i for i, _ in b] for b in dc.blocks(bench, block_chars=10)] == [[1], [3, 4]]
     docs = docs_of(spark, [*ODD, (9, "X " + text.upper() + "!"), (9, "X " + text.upper() + "!"), (8, text[:40])])
     found = dc.leaks(docs, bench).collect()
     assert sorted(tuple(r["items"]) for r in found if r.contaminated) == [(1,), (1,)] and len(found) == len(ODD) + 3
