@@ -1,7 +1,7 @@
 """Connected components of an edge table by alternating large and small stars.
 
 Every round links the neighbours of each node to the least of them; the number of rounds grows with
-the logarithm of the longest path.  Sums and minima are combined in the tasks before each shuffle and
+the logarithm of the longest path.  Repeated edges go at the end of a round only, one shuffle less.  Sums and minima are combined in the tasks before each shuffle and
 joins carry no hint, so a node with very many neighbours is split by the planner.  Each round is
 stored in the shared folder, which cuts the lineage.
 """
@@ -20,7 +20,7 @@ def _state(edges: DataFrame) -> tuple:
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
@@ -41,3 +41,16 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
             break
     members = rows.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return members.unionByName(rows.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+
+
+def extended(roots: DataFrame, edges: DataFrame, left: str, right: str) -> DataFrame:
+    """(node, root) of components with further edges: only roots are linked again, not all their nodes.
+
+    The roots are read several times and should be stored.
+    """
+    own = lambda key, name: roots.select(F.col("node").alias(key), F.col("root").alias(name))
+    ends = edges.select(left, right).join(own(left, "x"), left, "left").join(own(right, "y"), right, "left")
+    ends = ends.select(F.coalesce("x", left).alias("x"), F.coalesce("y", right).alias("y"))
+    joined = materialize(components(ends, "x", "y"), "joined")
+    moved = roots.join(joined.toDF("root", "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return moved.unionByName(joined.join(roots.select("node"), "node", "left_anti"))

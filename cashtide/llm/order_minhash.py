@@ -49,7 +49,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from cashtide.llm.components import components
+from cashtide.llm.components import components, extended
 from cashtide.sources.workspace import materialize
 
 WORDS = 5
@@ -367,12 +367,12 @@ def _ordered(asked: DataFrame, *kept: str) -> DataFrame:
     return asked.select(*kept, F.greatest("k", "hub").alias("k"), F.least("k", "hub").alias("hub"))
 
 
-def unsettled(members: DataFrame, found: DataFrame) -> DataFrame:
-    """(k, root): members of the buckets of three or more that hold several classes of the links found.
+def unsettled(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(k, root): members of the buckets of three or more that hold several classes, as the roots tell.
 
     In a bucket of two the hub was compared with the other one.
     """
-    rows = members.where("n > 2").join(components(found, "k", "hub").withColumnRenamed("node", "k"), "k", "left")
+    rows = members.where("n > 2").join(roots.withColumnRenamed("node", "k"), "k", "left")
     rows = materialize(rows.select("b", "k", F.xxhash64(F.coalesce("root", "k")).alias("root")), "classes")
     several = rows.groupBy("b").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("b")
     return rows.join(several, "b", "left_semi").select("k", "root").distinct()
@@ -433,12 +433,12 @@ def prefixes(texts: DataFrame, label: np.ndarray, count: np.ndarray, least: floa
     return texts.select("k", "root", "words").mapInPandas(run, "label long, k binary, root long, at int, n int")
 
 
-def candidates(members: DataFrame, found: DataFrame, payload: DataFrame, least: float) -> DataFrame:
+def candidates(members: DataFrame, roots: DataFrame, payload: DataFrame, least: float) -> DataFrame:
     """(k, hub): all pairs of unsettled members of different classes that can be similar enough.
 
     Of the largest class of a key none is compared with its own; large keys are dealt to parts.
     """
-    open_ = materialize(unsettled(members, found), "unsettled")
+    open_ = materialize(unsettled(members, roots), "unsettled")
     texts = materialize(payload.select("k", "words").join(open_, "k"), "unsettled-sequences")
     rows = materialize(prefixes(texts, *frequent(texts), least), "prefixes")
     shared = rows.groupBy("label").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("label")
@@ -476,10 +476,23 @@ def _small_batches(spark: SparkSession) -> Iterator[None]:
 def links(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS, by: str = "shingles") -> DataFrame:
     """(k, hub, similarity): verified links between different texts, by their keys (k > hub), stored."""
     with _small_batches(docs.sparkSession):
-        return _links(docs, least, rounds, by)
+        found, _, more = _links(docs, least, rounds, by)
+        return found.unionByName(more)
 
 
-def _links(docs: DataFrame, least: float, rounds: int, by: str) -> DataFrame:
+def classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS, by: str = "shingles") -> DataFrame:
+    """(node, root): the least key of its class, for every text with a link.
+
+    The last search starts from the classes of the links before it; what it adds joins whole classes, so
+    only their roots are closed again.
+    """
+    with _small_batches(docs.sparkSession):
+        _, roots, more = _links(docs, least, rounds, by)
+    return roots if more.isEmpty() else extended(roots, more, "k", "hub")
+
+
+def _links(docs: DataFrame, least: float, rounds: int, by: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Links by sketches, hubs and neighbours; (node, root) of these; links of the exact search. All stored."""
     members = materialize(buckets(sketches(docs)), "buckets")
     weights = materialize(members.groupBy("k").agg(F.sum("n").alias("weight")), "weights")
     asked = materialize(hubs(members.select("b", "k"), weights), "asked")
@@ -501,14 +514,15 @@ def _links(docs: DataFrame, least: float, rounds: int, by: str) -> DataFrame:
             matched = answered.join(linked, ["x", "y"], "left_semi").select("b", "k")
             open_ = materialize(open_.join(matched, ["b", "k"], "left_anti"), "open")
             asked = materialize(neighbours(members, open_, turn), "asked")
-    pairs = _ordered(candidates(members, found, payload, least)).distinct().join(tried, ["k", "hub"], "left_anti")
-    return found.unionByName(materialize(verified(materialize(pairs, "pairs"), payload, least, by), "links"))
+    roots = materialize(components(found, "k", "hub"), "roots")
+    pairs = _ordered(candidates(members, roots, payload, least)).distinct().join(tried, ["k", "hub"], "left_anti")
+    return found, roots, materialize(verified(materialize(pairs, "pairs"), payload, least, by), "links")
 
 
 def text_classes(docs: DataFrame, least: float = SIMILARITY, rounds: int = ROUNDS, by: str = "shingles") -> DataFrame:
     """(k, root, doc_id, repeats, least, n) per different text: class, first id (null ids first) and rows
     with it, least id that is not null, rows with the text."""
-    root = components(links(docs, least, rounds, by), "k", "hub")
+    root = classes(docs, least, rounds, by)
     ids = docs.select(key_of(F.col("text")).alias("k"), "doc_id").groupBy("k", "doc_id").agg(F.count(F.lit(1)).alias("repeats"))
     texts = ids.groupBy("k").agg(F.min(F.struct("doc_id", "repeats")).alias("first"), F.min("doc_id").alias("least"), F.sum("repeats").alias("n"))
     joined = texts.join(root, texts["k"] == root["node"], "left")

@@ -4,7 +4,7 @@ import numpy as np
 from odd_rows import ODD, REPEATED, docs_of
 
 from cashtide.llm import order_minhash as om
-from cashtide.llm.components import components
+from cashtide.llm.components import components, extended
 
 
 def longest(x, y):
@@ -108,6 +108,17 @@ def test_components(spark):
     assert {r.node: r.root for r in rows} == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 150)}
 
 
+def test_components_with_further_edges(spark):
+    random.seed(9)
+    first = [(random.randrange(300), random.randrange(300)) for _ in range(110)]
+    more = [(random.randrange(340), random.randrange(340)) for _ in range(60)] + [(400, 401), (5, 5)]
+    table = lambda rows: spark.createDataFrame(rows, "a long, b long")
+    found = extended(components(table(first), "a", "b"), table(more), "a", "b").collect()
+    whole = components(table(first + more), "a", "b").collect()
+    assert len(found) == len(whole) and {(r.node, r.root) for r in found} == {(r.node, r.root) for r in whole}
+    assert extended(components(table([]), "a", "b"), table(more[:3]), "a", "b").count() == components(table(more[:3]), "a", "b").count()
+
+
 def test_odd_rows(spark):
     docs = docs_of(spark, ODD)
     found = om.near_duplicates(docs).collect()
