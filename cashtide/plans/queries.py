@@ -12,7 +12,7 @@ from cashtide.operators import alerts, duplicates, feeds, flows, pending, positi
 from cashtide.plans import panels
 from cashtide.sources import driver_tables as D
 from cashtide.sources.payments import merge_rails, routed, spread, topic_files
-from cashtide.sources.tables import read_batches
+from cashtide.sources.tables import part_files, read_batches
 from cashtide.sources.workspace import new_path
 from cashtide.streaming import engine, identity, jobs, silence
 
@@ -486,12 +486,24 @@ def _quarter(time):
     return sum([F.when(time >= F.lit(cut), 1).otherwise(0) for cut in _CUTS], F.lit(0))
 
 
-def _in_files(rows, number, files=4):
-    """Stored rows as a stream, a file in each micro-batch; ``number`` says which one, from 0."""
+FILE_ROWS = 200_000  # of a stored micro-batch, where it has more
+
+
+def _in_files(rows, number, batches=4, file_rows=FILE_ROWS):
+    """Stored rows as a stream of micro-batches; ``number`` says which one, from 0.
+
+    A trigger takes a fixed number of files, so every batch has as many as the largest one needs, written by
+    as many tasks; a batch that fills fewer gets empty files.
+    """
     spark, folder = rows.sparkSession, new_path(rows.sparkSession, "files")
-    for wanted in range(files):  # one after the other: files are read by their age
-        rows.where(number == wanted).coalesce(1).write.mode("append").parquet(folder)
-    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    largest = rows.groupBy(number.alias("batch")).count().agg(F.max("count")).first()[0]
+    files = max(1, -(-(largest or 0) // file_rows))
+    for wanted in range(batches):  # one after the other: files are read by their age
+        part = rows.where(number == wanted)
+        (part.coalesce(1) if files == 1 else part.repartition(files)).write.mode("append").parquet(folder)
+        for _ in range(files * (wanted + 1) - part_files(spark, folder)):
+            spark.createDataFrame([], rows.schema).coalesce(1).write.mode("append").parquet(folder)
+    return spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", files).parquet(folder)
 
 
 def _event_quarter():

@@ -215,6 +215,12 @@ def _path(spark: SparkSession, folder: str):
     return spark._jvm.org.apache.hadoop.fs.Path(folder)
 
 
+def part_files(spark: SparkSession, folder: str) -> int:
+    """How many data files lie in a folder that is not partitioned."""
+    files, path = _file_system(spark, folder)
+    return sum(status.getPath().getName().startswith("part-") for status in files.listStatus(path))
+
+
 def _file_system(spark: SparkSession, folder: str):
     path = _path(spark, folder)
     return path.getFileSystem(spark._jsc.hadoopConfiguration()), path

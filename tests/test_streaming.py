@@ -11,7 +11,7 @@ from cashtide import schemas as S
 from cashtide.operators import feeds, quality
 from cashtide.operators import thresholds as thresholds_op
 from cashtide.operators.thresholds import check_updates
-from cashtide.plans import panels
+from cashtide.plans import panels, queries
 from cashtide.sources import payments as sources
 from cashtide.sources.tables import batch_stream, read_batches
 from cashtide.streaming import engine, identity, jobs, silence
@@ -72,6 +72,24 @@ def test_restart_and_redelivery(spark, tmp_path):
     ]
 
 
+def test_a_micro_batch_is_stored_in_several_files(spark, tmp_path):
+    """Each batch has the rows of its own number, whatever the sizes of the others; none, few or null too."""
+    sizes = {0: 700, 1: 0, 2: 1, 3: 40}
+    rows = [(batch, i) for batch, size in sizes.items() for i in range(size)]
+    stored = spark.createDataFrame([*rows, (None, None)], "batch INT, i INT")
+    stream = queries._in_files(stored, F.col("batch"), file_rows=100)
+    found = {}
+
+    def take(batch, batch_id):
+        counts = batch.groupBy("batch").agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("i").alias("ids"), F.countDistinct("_file").alias("files"))
+        found[batch_id] = [tuple(r) for r in counts.collect()]
+
+    named = stream.withColumn("_file", F.col("_metadata.file_name"))
+    query = named.writeStream.foreachBatch(take).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start()
+    jobs.run_to_end(query)
+    assert found == {0: [(0, 700, 700, 7)], 1: [], 2: [(2, 1, 1, 1)], 3: [(3, 40, 40, found[3][0][3])]}
+
+
 def test_late_payment_counts_in_the_balance(spark, tmp_path):
     feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
     feed.add(payment(1, 100 * MILLION, at=7200))
