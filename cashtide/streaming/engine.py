@@ -41,16 +41,30 @@ STATE = T.StructType(
 APPLIED = T.StructType([T.StructField("key", T.StringType()), T.StructField("warning", S.MONEY), T.StructField("critical", S.MONEY)])
 
 
-def keyed_input(checked: DataFrame, updates: DataFrame | None) -> DataFrame:
-    """Accepted payments and threshold changes as one stream with the account key."""
-    payments = quality.valid_payments(checked, "seq", "arrived").select(*PAYMENT_COLUMNS, F.lit(PAYMENT_KIND).alias("kind"))
-    if updates is None:
-        no_bound = F.lit(None).cast("long")
-        return payments.withColumns({"warning_cents": no_bound, "critical_cents": no_bound})
-    changes = thresholds.accepted(updates).select(
+def keyed_payments(checked: DataFrame) -> DataFrame:
+    """Accepted payments with the account key, dealt by all their columns.
+
+    Rows and ids read this stream.  None of its columns can be left out for one of them, so they share
+    one shuffle, and messages are parsed once a batch.
+    """
+    payments = quality.valid_payments(checked, "seq", "arrived").select(*PAYMENT_COLUMNS)
+    return payments.repartition(*PAYMENT_COLUMNS)
+
+
+def keyed_changes(updates: DataFrame) -> DataFrame:
+    """Accepted threshold changes with the account key."""
+    return thresholds.accepted(updates).select(
         *S.ACCOUNT_KEY, "arrived", "seq", "warning_cents", "critical_cents", F.lit(THRESHOLD_KIND).alias("kind")
     )
-    return payments.unionByName(changes, allowMissingColumns=True)
+
+
+def engine_input(checked: DataFrame, updates: DataFrame | None, ttl: int | None = None) -> DataFrame:
+    """Payments, the sightings of their ids and threshold changes as one stream, in update mode."""
+    rows = identity.with_sightings(keyed_payments(checked), ttl)
+    if updates is None:
+        no_bound = F.lit(None).cast("long")
+        return rows.withColumns({"warning_cents": no_bound, "critical_cents": no_bound})
+    return rows.unionByName(keyed_changes(updates), allowMissingColumns=True)
 
 
 def start_engine(
@@ -73,7 +87,7 @@ def start_engine(
     configure(spark)
     if opening_bounds is not None:
         open_with(opening_bounds, output)
-    rows = jobs.timed(identity.with_sightings(keyed_input(checked, updates), id_ttl_seconds))
+    rows = jobs.timed(engine_input(checked, updates, id_ttl_seconds))
     writer = rows.writeStream.outputMode("update").foreachBatch(
         lambda batch, batch_id: process_batch(batch, batch_id, output, ranges)
     )

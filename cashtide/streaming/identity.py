@@ -51,10 +51,12 @@ def _sightings(payments: DataFrame, ttl: int | None) -> DataFrame:
     return found.where("sightings > 1 OR (sightings > 0 AND until IS NOT NULL)")
 
 
-def with_sightings(keyed: DataFrame, ttl: int | None = None) -> DataFrame:
-    """A stream of rows (``kind`` says which are payments) and the sightings of their ids, in update mode."""
-    rows = keyed.withColumn("slot", F.when(F.col("kind") == PAYMENT_KIND, _slot(F.col("arrived"), ttl)))
-    payments = keyed.where(F.col("kind") == PAYMENT_KIND)
+def with_sightings(payments: DataFrame, ttl: int | None = None) -> DataFrame:
+    """A stream of payments and the sightings of their ids (``kind`` says which), in update mode."""
+    # New names for all columns: else the union keeps those of the source on one side only, and the plans of
+    # ``payments`` on its two sides are not the same shuffle.
+    named = [F.col(name).alias(name) for name in payments.columns]
+    rows = payments.select(*named, F.lit(PAYMENT_KIND).alias("kind"), _slot(F.col("arrived"), ttl).alias("slot"))
     sightings = _sightings(payments, ttl).withColumn("kind", F.lit(SIGHTING_KIND))
     return rows.unionByName(sightings, allowMissingColumns=True)
 

@@ -72,6 +72,16 @@ def test_restart_and_redelivery(spark, tmp_path):
     ]
 
 
+def test_messages_are_read_and_parsed_once_a_batch(spark, tmp_path):
+    """Rows and ids share one shuffle of parsed payments, with and without a time limit."""
+    feed = Feed(spark, tmp_path / "in")
+    feed.add(*[payment(n % 8, 10 * MILLION) for n in range(10)])
+    for ttl in (None, 86_400):
+        output = jobs.Output(str(tmp_path / f"out-{ttl}"))
+        assert run_engine(feed.checked(), None, output, id_ttl_seconds=ttl).rows == 10
+        assert position(spark, output)["payment_count"] == 8
+
+
 def test_a_micro_batch_is_stored_in_several_files(spark, tmp_path):
     """Each batch has the rows of its own number, whatever the sizes of the others; none, few or null too."""
     sizes = {0: 700, 1: 0, 2: 1, 3: 40}
