@@ -113,6 +113,9 @@ def raw_feed(events: DataFrame) -> DataFrame:
         F.lit('", "event_time": "'), faulty(9, "yesterday", iso),
         F.lit('"}'),
     )
+    # A column of its own: written into every branch below, it makes code too long to be compiled.
+    p = p.withColumn("_message", message)
+    message = F.col("_message")
     raw = (
         F.when(F.col("_fault") == 1, F.concat(F.lit("not valid json {{ "), "payment_id"))
         .when(F.col("_fault") == 10, F.concat(F.lit('["'), "payment_id", F.lit('"]')))

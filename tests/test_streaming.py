@@ -12,6 +12,7 @@ from cashtide.operators import feeds, quality
 from cashtide.operators import thresholds as thresholds_op
 from cashtide.operators.thresholds import check_updates
 from cashtide.plans import panels, queries
+from cashtide.sources import driver_tables
 from cashtide.sources import payments as sources
 from cashtide.sources.tables import batch_stream, read_batches
 from cashtide.streaming import engine, identity, jobs, silence
@@ -100,6 +101,17 @@ def test_a_micro_batch_is_stored_in_several_files(spark, tmp_path):
     assert found == {0: [(0, 700, 700, 7)], 1: [], 2: [(2, 1, 1, 1)], 3: [(3, 40, 40, found[3][0][3])]}
 
 
+def test_a_message_is_written_once_in_the_plan(spark):
+    """Repeated in every branch of the faults, its code was too long to be compiled; the rows are the same."""
+    events = spark.range(40).selectExpr("id AS event_id", "TIMESTAMP_NTZ'2024-01-01 00:00:00' AS ts", "id AS user_id", "'click' AS event_type", "1.5D AS value", "'' AS props")
+    feed = driver_tables.raw_feed(events)
+    plan = feed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("date_format") == 1
+    rows = {r["seq"]: r["raw"] for r in feed.collect()}
+    assert json.loads(rows[30])["payment_id"] == "P15" and rows[26] == f"{rows[26][:len(rows[26]) // 2]} {rows[26][:len(rows[26]) // 2]}"
+    assert rows[24].endswith("}" + "x" * 600) and rows[28].endswith("}}") and rows[2] == "not valid json {{ P1" and rows[20] == '["P10"]'
+
+
 def test_late_payment_counts_in_the_balance(spark, tmp_path):
     feed, output = Feed(spark, tmp_path / "in"), jobs.Output(str(tmp_path / "out"))
     feed.add(payment(1, 100 * MILLION, at=7200))
