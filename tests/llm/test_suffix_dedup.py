@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from odd_rows import docs_of
 
@@ -100,6 +101,64 @@ def test_one_window_context_of_a_hot_key(spark):
     assert min(found.values()) >= sd.LENGTH
 
 
+def contexts_of(key, anchor, texts):
+    """Contexts as a bucket holds them: all windows around an anchor at the same place of every text."""
+    hi = min(anchor, sd.LENGTH - sd.GRAM)
+    rows = [(key, 9, False, b"%d" % i, anchor, 0, hi, t[anchor - hi : anchor + sd.LENGTH]) for i, t in enumerate(texts)]
+    return pd.DataFrame(rows, columns=[x.split(" ")[0] for x in sd._OPEN.split(", ")])
+
+
+def test_contained_contexts_are_settled_with_their_holder():
+    random.seed(7)
+    passage = bytes(random.choice(b"abcdefgh") for _ in range(900))
+    edited = [passage[:at] + b"#%d" % at + passage[at:] for at in (*range(110, 330, 20), *range(520, 800, 20))]
+    batch = contexts_of(1, 400, edited[11:] + [t[1 + len(str(at)) :] for at, t in zip(range(110, 330, 20), edited)] + [passage])
+    _, left = sd._collapsed(sd._narrowed(batch, sd.LENGTH), sd.LENGTH)
+    stretches, rest = sd._uncontained(left, sd.LENGTH)
+    assert len(rest) == 1 and len(left) > 20  # the text without edits holds what the others share
+    gone = left[~left["d"].isin(rest["d"])]
+    assert {(r.d, r.pos - r.hi, r.pos - r.lo + sd.LENGTH) for r in gone.itertuples()} <= set(stretches.itertuples(index=False, name=None))
+
+
+@pytest.mark.parametrize("letters", [b"ab", b"a\0"])
+def test_holders_equal_brute_force(letters):
+    random.seed(len(set(letters)) + letters[-1])
+    rows = {}
+    for _ in range(400):
+        hi, lo = random.randint(0, 8), random.randint(0, 3)
+        row = (random.choice((-5, 0, 3)), lo, hi, bytes(random.choices(letters, (9, 1), k=hi + 10 - lo)))
+        rows[row] = row
+    batch = pd.DataFrame([*rows], columns=["key", "lo", "hi", "data"])
+    held = sd._holders(batch, 10)
+
+    def holds(b, a):
+        return b is not a and b[0] == a[0] and b[2] >= a[2] and b[1] <= a[1] and b[3][b[2] - a[2] :].startswith(a[3])
+
+    listed = [*rows]
+    assert [h >= 0 for h in held] == [any(holds(b, a) for b in listed) for a in listed]
+    assert all(holds(listed[h], a) for h, a in zip(held, listed) if h >= 0) and 0 < (held >= 0).sum() < len(listed)
+
+
+@pytest.mark.parametrize("hot", [10_000, 20])
+def test_many_edited_copies(spark, monkeypatch, hot):
+    """Copies of a passage with an edit or two each: suffix arrays get few of them, texts are moved once, results are exact."""
+    random.seed(8)
+    passage = "".join(random.choice("abcdefgh ") for _ in range(1_600))
+    texts = [passage] * 2 + [passage[random.randint(0, 300) :] for _ in range(10)]
+    for i in range(90):
+        t = passage
+        for at in random.sample(range(1_600), 1 + i % 3):
+            t = t[:at] + random.choice("XYZ") + t[at + random.randint(0, 2) :]
+        texts.append("".join(random.choice("klmn") for _ in range(i % 7)) + t)
+    fetched = []
+    with_bytes = sd._with_bytes
+    monkeypatch.setattr(sd, "_with_bytes", lambda *x: fetched.append(1) or with_bytes(*x))
+    found = sd.removed(docs_of(spark, list(enumerate(texts))), hot=hot).collect()
+    wanted = brute([t.encode() for t in texts], sd.LENGTH)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == dict(enumerate(wanted))
+    assert len(fetched) == 1
+
+
 def test_repeated_rows_and_ids(spark):
     text, other = "z" + "abc" * 200, "".join(chr(97 + i * i % 23) for i in range(700))
     rows = sd.removed(docs_of(spark, [(1, text), (1, text), (None, other), (None, other), (2, "q" * 100)])).collect()
