@@ -159,6 +159,26 @@ def test_many_edited_copies(spark, monkeypatch, hot):
     assert len(fetched) == 1
 
 
+def test_copies_of_one_text_stay_where_they_are(spark, monkeypatch):
+    """Rows of a gram or a context that many copies share meet their counts by broadcast, not in one task."""
+    random.seed(9)
+    text = "".join(random.choice("abcdefgh ") for _ in range(900))
+    texts = [text] * 300 + [text[i:] + "x" * i for i in range(1, 30)]
+    rows, looked_up = {}, sd.looked_up
+
+    def noted(left, table, keys, copies, total):
+        out = looked_up(left, table, keys, copies, total)
+        key = ",".join(keys)
+        rows[key] = max(rows.get(key, 0), table.where(f"{copies} > {max(1, total // 1_000)}").agg({copies: "max"}).first()[0] or 0)
+        return out
+
+    monkeypatch.setattr(sd, "looked_up", noted)
+    found = sd.removed(docs_of(spark, list(enumerate(texts)))).collect()
+    wanted = brute([t.encode() for t in texts], sd.LENGTH)
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found} == dict(enumerate(wanted))
+    assert rows["key"] >= 300 and rows["key,c"] >= 300
+
+
 def test_repeated_rows_and_ids(spark):
     text, other = "z" + "abc" * 200, "".join(chr(97 + i * i % 23) for i in range(700))
     rows = sd.removed(docs_of(spark, [(1, text), (1, text), (None, other), (None, other), (2, "q" * 100)])).collect()
